@@ -952,14 +952,14 @@ def raw_tables(spark, sf) -> dict[str, DataFrame]:
 @query
 def conform_run(spark, sf):
     """Rows of every clean table that the conform job writes."""
-    _, report = conform.run(spark, raw_tables(spark, sf))
+    _, report = conform.run(spark, raw_tables(spark, sf), sectors=roles.sectors(spark, sf))
     return spark.createDataFrame(list(report.items()), "table_name string, rows bigint")
 
 
 @query
 def load_warehouse(spark, sf):
     """Balance sheets after a second load that repeats the first: as many rows, same totals."""
-    folder, report = conform.run(spark, raw_tables(spark, sf))
+    folder, report = conform.run(spark, raw_tables(spark, sf), sectors=roles.sectors(spark, sf))
     clean = {
         name: spark.read.parquet(f"{folder}/{name}") for name in report if name in TABLES
     }

@@ -89,19 +89,23 @@ def parse_period(text: Column) -> Column:
 
 
 def with_period(df: DataFrame, text: str) -> DataFrame:
-    """Add ``PERIOD_FIELDS`` for the raw labels in a column."""
+    """Replace a column of raw labels by ``PERIOD_FIELDS``.
+
+    Each step refers to the one before by its alias, so Spark computes it once per row.
+    """
     raw, prefix, bare = F.col("__raw"), F.col("__prefix"), F.col("__bare")
     month, written, year = F.col("__month"), F.col("__written"), F.col("__year")
-    steps = [
-        {"__raw": strip_space(F.col(text).cast("string"))},
-        {"__prefix": month_prefix(raw), "__bare": is_bare_year(raw)},
-        {
-            "__month": month_of(raw, prefix, bare),
-            "__written": written_year(raw, prefix, bare),
-        },
-        {"__year": full_year(written, bare)},
-        fields_of(raw, month, year, prefix),
-    ]
-    for step in steps:
-        df = df.withColumns(step)
-    return df.drop("__raw", "__prefix", "__bare", "__month", "__written", "__year")
+    fields = fields_of(raw, month, year, prefix)
+    steps = {
+        "__raw": strip_space(F.col(f"`{text}`").cast("string")),
+        "__prefix": month_prefix(raw),
+        "__bare": is_bare_year(raw),
+        "__month": month_of(raw, prefix, bare),
+        "__written": written_year(raw, prefix, bare),
+        "__year": full_year(written, bare),
+    }
+    others = [F.col(f"`{name}`") for name in df.columns if name not in (text, *PERIOD_FIELDS)]
+    staged = df.select(
+        *others, *[value.alias(name) for name, value in {**steps, **fields}.items()]
+    )
+    return staged.drop(*steps)

@@ -12,7 +12,7 @@ from statera.operators.measures import measures, price_statistics
 from statera.operators.nesting import nest_children
 from statera.operators.paging import ordered, page
 from statera.operators.position import ordered_position, surrogate_key
-from statera.operators.projection import keep_existing, rename_first, with_defaults
+from statera.operators.projection import keep_existing, rename_all, rename_first, with_defaults
 from statera.operators.quantiles import bounded_scores, exact_quantiles
 from statera.operators.search import search
 from statera.operators.sets import add_missing_entities, distinct_values, first_seen
@@ -42,6 +42,7 @@ __all__ = [
     "orphans",
     "page",
     "price_statistics",
+    "rename_all",
     "rename_first",
     "search",
     "split_to_rows",

@@ -42,6 +42,10 @@ def ordered_position(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # A slice holds at most one key that began in an earlier slice: one row per slice or none.
+    inside = F.sum(amount).over(so_far) - amount
+    if len(sliced.inputFiles()) <= 1:
+        # All rows fit one slice: nothing comes before it.
+        return sliced.select(*df.columns, inside.cast("bigint").alias(name))
     offsets = (
         sliced.groupBy(SLICE, *keys)
         .agg(F.sum(amount).alias("__size"))
@@ -49,12 +53,12 @@ def ordered_position(
         .filter(F.col("__before") > 0)
         .drop("__size")
     )
-    inside = sliced.withColumn("__inside", F.sum(amount).over(so_far) - amount).alias("r")
+    counted = sliced.withColumn("__inside", inside).alias("r")
     offsets = F.broadcast(offsets).alias("o")
     same = [F.col(f"r.{SLICE}") == F.col(f"o.{SLICE}")]
     same += [F.col(f"r.{key}").eqNullSafe(F.col(f"o.{key}")) for key in keys]
     total = F.col("__inside") + F.coalesce(F.col("__before"), F.lit(0))
-    return inside.join(offsets, same, "left").select(
+    return counted.join(offsets, same, "left").select(
         *[F.col(f"r.{column}") for column in df.columns], total.cast("bigint").alias(name)
     )
 

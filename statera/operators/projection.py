@@ -16,6 +16,17 @@ def rename_first(df: DataFrame, target: str, candidates: Sequence[str]) -> DataF
     return df.drop(target).withColumnRenamed(found, target)
 
 
+def rename_all(df: DataFrame, names: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``rename_first`` for several targets in one projection."""
+    renamed = {}
+    for target, candidates in names.items():
+        found = next((name for name in candidates if name in df.columns), None)
+        if found is not None and found != target:
+            renamed[found] = target
+    kept = [name for name in df.columns if name in renamed or name not in renamed.values()]
+    return df.select(*[F.col(f"`{name}`").alias(renamed.get(name, name)) for name in kept])
+
+
 def keep_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """The wanted columns that exist, in the wanted order."""
     return df.select(*[name for name in wanted if name in df.columns])

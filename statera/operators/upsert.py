@@ -27,11 +27,12 @@ def upsert(
     in the others. With ``order`` the last row of a repeated key wins; without it the batch must
     hold each key once. As in SQL, a key with a null in it equals no other: such rows are added.
 
-    Rows with a null key pass by the join. A batch measured as small leaves the stored table
-    where it lies, so Spark can broadcast the batch; a larger one is a full outer join, one
+    Rows with a null key pass by the join. A batch of at most ``small_batch_rows`` by count is
+    broadcast and the stored table stays where it lies; a larger one is a full outer join, one
     shuffle of each side.
     """
     key = list(key)
+    small = incoming.count() <= small_batch_rows
     incoming = incoming.select(*[c for c in target.columns if c in incoming.columns], *_order(order))
     updated = [c for c in incoming.columns if c in target.columns and c not in key]
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
@@ -42,21 +43,28 @@ def upsert(
     unkeyed = unkeyed.select(*key, *updated)
 
     if not updated:
-        merged = _append_new(target, keyed, key)
-    elif _has_at_most(keyed, small_batch_rows):
-        merged = _append_new(_overlay(target, keyed, key, updated, "left"), keyed, key, target)
+        merged = _append_new(target, keyed, key, target, small)
+    elif small:
+        laid_over = _overlay(target, F.broadcast(keyed), key, updated, "left")
+        merged = _append_new(laid_over, keyed, key, target, small)
     else:
         joined = _overlay(target.filter(has_key), keyed, key, updated, "full_outer")
         merged = joined.unionByName(target.filter(~has_key))
     return merged.unionByName(unkeyed, allowMissingColumns=True).select(*target.columns)
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+def insert_if_absent(
+    target: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str],
+    small_batch_rows: int = SMALL_BATCH_ROWS,
+) -> DataFrame:
     """``target`` with the rows of ``incoming`` whose key it lacks; null keys are always added."""
     key = list(key)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
     rows = incoming.filter(has_key).dropDuplicates(key)
-    added = _append_new(target, rows, key)
+    small = incoming.count() <= small_batch_rows
+    added = _append_new(target, rows, key, target, small)
     return added.unionByName(incoming.filter(~has_key), allowMissingColumns=True)
 
 
@@ -64,10 +72,6 @@ def _order(order: Sequence[Column] | None) -> list[Column]:
     return [column.alias(f"__o{i}") for i, column in enumerate(order or ())]
 
 
-def _has_at_most(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
-
-
 def _same(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"i.{k}") for k in key])
 
@@ -90,13 +94,14 @@ def _overlay(
 
 
 def _append_new(
-    merged: DataFrame, batch: DataFrame, key: list[str], stored: DataFrame | None = None
+    merged: DataFrame, batch: DataFrame, key: list[str], stored: DataFrame, small: bool
 ) -> DataFrame:
     """Add the batch rows whose key is not stored.
 
     The stored keys are cut down to those in the batch first, so the anti join compares two
     sides no larger than the batch.
     """
-    keys = (stored if stored is not None else merged).select(*key)
-    known = keys.join(batch.select(*key), key, "left_semi").distinct()
+    wanted = batch.select(*key)
+    wanted = F.broadcast(wanted) if small else wanted
+    known = stored.select(*key).join(wanted, key, "left_semi").distinct()
     return merged.unionByName(batch.join(known, key, "left_anti"), allowMissingColumns=True)

@@ -29,12 +29,12 @@ from statera.operators import (
     keep_existing,
     keep_first,
     lookup_with_default,
-    rename_first,
+    rename_all,
     split_to_rows,
     surrogate_key,
 )
 from statera.operators.projection import optional
-from statera.schemas import TABLES
+from statera.schemas import MONEY, TABLES
 from statera.session import scratch_path
 from statera.sources.files import ORDINAL, read_if_present, read_raw_csv
 from statera.sources.sinks import write_tables
@@ -56,14 +56,14 @@ RAW_TABLES = {
 YEAR_COLUMNS = ("year_id", *PERIOD_FIELDS)
 
 
-def with_symbol(df: DataFrame, names: Sequence[str] = SYMBOL_NAMES) -> DataFrame:
-    renamed = rename_first(df, "symbol", names)
-    return renamed.withColumn("symbol", normalize_symbol(F.col("symbol")))
-
-
-def with_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    present = {name: to_number(F.col(name)) for name in names if name in df.columns}
-    return df.withColumns(present) if present else df
+def cleaned(
+    df: DataFrame, numbers: Sequence[str] = (), others: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Normalised symbol, parsed numbers and other replaced columns in one projection."""
+    values = {name: to_number(F.col(name)) for name in numbers if name in df.columns}
+    return df.withColumns(
+        {"symbol": normalize_symbol(F.col("symbol")), **values, **(others or {})}
+    )
 
 
 def reading_order(df: DataFrame) -> list[Column]:
@@ -84,11 +84,14 @@ def build_year_dimension(frames: Sequence[DataFrame], year: str = "year") -> Dat
     raw = first_seen(with_year, year, ORDINAL, F.lit(None).cast(_ordinal_type(with_year)))
     # Blank labels are the only ones without a period. This filter is cheap where Spark moves it,
     # before the labels are made distinct; one on the parsed label would parse every row there.
-    parsed = with_period(raw.filter(strip_space(F.col(year)) != ""), year)
+    raw = raw.filter(strip_space(F.col(year)) != "").withColumn(
+        "__seen", F.struct("__seen", year)
+    )
+    parsed = with_period(raw, year)
     others = [name for name in PERIOD_FIELDS if name != "year_label"]
     labels = (
         parsed.groupBy("year_label")
-        .agg(F.min_by(F.struct(*others), F.struct("__seen", year)).alias("p"))
+        .agg(F.min_by(F.struct(*others), "__seen").alias("p"))
         .select("year_label", "p.*")
     )
     order = [F.col("sort_order").asc_nulls_last(), F.col("year_label").asc()]
@@ -106,12 +109,13 @@ def attach_year_id(df: DataFrame, dim_year: DataFrame, year: str = "year") -> Da
     """
     if year not in df.columns:
         return df
-    parsed = with_period(df.drop(*YEAR_COLUMNS), year).drop(year).alias("f")
+    parsed = with_period(df, year).alias("f")
     dim = keep_existing(dim_year, YEAR_COLUMNS).alias("d")
     joined = parsed.join(dim, F.col("f.year_label") == F.col("d.year_label"), "left")
     others = [F.col(f"f.`{name}`") for name in df.columns if name not in (year, *YEAR_COLUMNS)]
     fields = [
-        F.coalesce(F.col(f"d.{name}"), F.col(f"f.{name}")).alias(name) for name in PERIOD_FIELDS
+        F.coalesce(*[F.col(f"{side}.{name}") for side in sides]).alias(name)
+        for name, sides in ((n, "df" if n in dim.columns else "f") for n in PERIOD_FIELDS)
     ]
     return joined.select(*others, "d.year_id", *fields)
 
@@ -151,23 +155,23 @@ def normalize_companies(
 ) -> tuple[DataFrame, DataFrame]:
     """Company dimension, one row per symbol, and the sector of each symbol."""
     sectors = sectors if sectors is not None else sector_table(df.sparkSession)
-    df = rename_first(df, "symbol", ["company_id", "symbol", "ticker", "id"])
-    for target, names in {
-        "company_name": ["company_name", "name"],
-        "company_logo": ["company_logo", "logo", "company_logo_url"],
-        "nse_url": ["nse_url", "nse_profile", "nse_link"],
-        "bse_url": ["bse_url", "bse_profile", "bse_link"],
-        "about_company": ["about_company", "about"],
-        "roce": ["roce", "roce_pct", "roce_percentage"],
-        "roe": ["roe", "roe_pct", "roe_percentage"],
-    }.items():
-        df = rename_first(df, target, names)
-    df = with_numbers(df, ["face_value", "book_value", "roce", "roe"])
-    df = df.withColumns(
+    df = rename_all(
+        df,
         {
-            "symbol": normalize_symbol(F.col("symbol")),
-            "company_name": clean_text(F.col("company_name")),
-        }
+            "symbol": ["company_id", "symbol", "ticker", "id"],
+            "company_name": ["company_name", "name"],
+            "company_logo": ["company_logo", "logo", "company_logo_url"],
+            "nse_url": ["nse_url", "nse_profile", "nse_link"],
+            "bse_url": ["bse_url", "bse_profile", "bse_link"],
+            "about_company": ["about_company", "about"],
+            "roce": ["roce", "roce_pct", "roce_percentage"],
+            "roe": ["roe", "roe_pct", "roe_percentage"],
+        },
+    )
+    df = cleaned(
+        df,
+        ["face_value", "book_value", "roce", "roe"],
+        {"company_name": clean_text(F.col("company_name"))},
     )
     first = keep_first(df, ["symbol"], reading_order(df))
     companies = with_sectors(first, sectors)
@@ -178,9 +182,11 @@ def normalize_companies(
 def normalize_balance_sheet(
     df: DataFrame, dim_year: DataFrame, companies: DataFrame
 ) -> DataFrame:
-    df = rename_first(with_symbol(df), "other_assets", ["other_assets", "other_asset"])
-    money = [c for c, kind in TABLES["fact_balance_sheet"].columns.items() if "18" in kind]
-    df = attach_year_id(with_numbers(df, money), dim_year)
+    df = rename_all(
+        df, {"symbol": SYMBOL_NAMES, "other_assets": ["other_assets", "other_asset"]}
+    )
+    money = [c for c, kind in TABLES["fact_balance_sheet"].columns.items() if kind == MONEY]
+    df = attach_year_id(cleaned(df, money), dim_year)
     df = first_per_period(df)
     if "face_value" in companies.columns:
         faces = companies.select("symbol", F.col("face_value").cast("double"))
@@ -202,15 +208,17 @@ def normalize_balance_sheet(
 def normalize_profit_loss(
     df: DataFrame, dim_year: DataFrame, balance_sheet: DataFrame | None = None
 ) -> DataFrame:
-    df = with_symbol(df)
-    for target, other in {
-        "opm_pct": "opm_percentage",
-        "tax_pct": "tax_percentage",
-        "dividend_payout_pct": "dividend_payout",
-    }.items():
-        df = rename_first(df, target, [target, other])
+    df = rename_all(
+        df,
+        {
+            "symbol": SYMBOL_NAMES,
+            "opm_pct": ["opm_pct", "opm_percentage"],
+            "tax_pct": ["tax_pct", "tax_percentage"],
+            "dividend_payout_pct": ["dividend_payout_pct", "dividend_payout"],
+        },
+    )
     given = [c for c in TABLES["fact_profit_loss"].columns if c not in ("symbol", "year_id")]
-    df = attach_year_id(with_numbers(df, given), dim_year)
+    df = attach_year_id(cleaned(df, given), dim_year)
     df = with_other_fact(first_per_period(df), balance_sheet, "total_assets")
     sales, profit = optional(df, "sales"), optional(df, "net_profit")
     assets = optional(df, "total_assets")
@@ -232,7 +240,7 @@ def normalize_cash_flow(
     df: DataFrame, dim_year: DataFrame, profit_loss: DataFrame | None = None
 ) -> DataFrame:
     given = ["operating_activity", "investing_activity", "financing_activity", "net_cash_flow"]
-    df = attach_year_id(with_numbers(with_symbol(df), given), dim_year)
+    df = attach_year_id(cleaned(rename_all(df, {"symbol": SYMBOL_NAMES}), given), dim_year)
     df = with_other_fact(first_per_period(df), profit_loss, "net_profit")
     operating = optional(df, "operating_activity")
     df = df.withColumns(
@@ -258,7 +266,7 @@ def normalize_analysis(df: DataFrame, value_mode: str = "first") -> DataFrame:
     ``"percent"`` takes the number before the percent sign.
     """
     take = {"first": first_number, "percent": percent_value}[value_mode]
-    df = with_symbol(df)
+    df = cleaned(rename_all(df, {"symbol": SYMBOL_NAMES}))
     source = "period" if "period" in df.columns else "compounded_sales_growth"
     figures = {
         f"{name}_pct": take(F.col(name))
@@ -278,7 +286,7 @@ def normalize_analysis(df: DataFrame, value_mode: str = "first") -> DataFrame:
 
 
 def normalize_pros_cons(df: DataFrame) -> DataFrame:
-    df = with_symbol(df)
+    df = cleaned(rename_all(df, {"symbol": SYMBOL_NAMES}))
     if "category" not in df.columns:
         df = df.withColumn("category", F.lit(None).cast("string"))
     items = split_to_rows(df, ["symbol", "category"], {"pros": True, "cons": False})
@@ -294,10 +302,14 @@ def normalize_pros_cons(df: DataFrame) -> DataFrame:
 
 
 def normalize_documents(df: DataFrame) -> DataFrame:
-    df = rename_first(
-        with_symbol(df),
-        "document_url",
-        ["document_url", "annual_report_url", "annual_report", "url"],
+    df = cleaned(
+        rename_all(
+            df,
+            {
+                "symbol": SYMBOL_NAMES,
+                "document_url": ["document_url", "annual_report_url", "annual_report", "url"],
+            },
+        )
     )
     if "year" in df.columns:
         df = df.withColumn("year_label", parse_period(F.col("year"))["year_label"])
@@ -354,7 +366,7 @@ def run(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
     out: str | None = None,
-    sectors: Mapping[str, tuple] = SECTORS,
+    sectors: DataFrame | None = None,
     value_mode: str = "first",
 ) -> tuple[str, dict[str, int]]:
     """Write all clean tables as Parquet; returns the folder and the rows of each table.
@@ -371,7 +383,7 @@ def run(
         report.update(write_tables({name: df}, out))
         return spark.read.parquet(f"{out}/{name}")
 
-    lookup = sector_table(spark, sectors)
+    lookup = sectors if sectors is not None else sector_table(spark)
     statements = [raw[n] for n in ("balancesheet", "profitandloss", "cashflow") if n in raw]
     dim_year = None
     if statements:

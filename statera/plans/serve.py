@@ -213,11 +213,18 @@ def company_detail(
 
 
 def with_lists(companies: DataFrame, lists: Mapping[str, DataFrame]) -> DataFrame:
-    """Each company's parts: one at least, more where one of its lists has more."""
-    parts = reduce(lambda a, b: a.join(b, ["symbol", "part"], "full_outer"), lists.values())
-    return companies.join(parts, "symbol", "left").select(
+    """Each company's parts: one at least, more where one of its lists has more.
+
+    Every company brings a part 0 of its own, so that the join with the companies is an inner one,
+    where Spark can split a company with very many parts.
+    """
+    first = companies.select("symbol", F.lit(0).cast("bigint").alias("part"))
+    parts = reduce(
+        lambda a, b: a.join(b, ["symbol", "part"], "full_outer"), [first, *lists.values()]
+    )
+    return companies.join(parts, "symbol").select(
         *companies.columns,
-        F.coalesce(F.col("part"), F.lit(0)).cast("bigint").alias("part"),
+        "part",
         *[F.coalesce(F.col(name), F.array()).alias(name) for name in lists],
     )
 
