@@ -24,7 +24,6 @@ HEADLINE = (
     "period_parse",
     "year_dimension",
     "profit_ratios",
-    "balance_ratios",
     "cash_conversion",
     "split_to_rows",
     "latest_per_entity",
@@ -35,7 +34,6 @@ HEADLINE = (
     "measures_by_sector",
     "price_stats",
     "upsert_update",
-    "upsert_large_batch",
     "fk_audit",
     "unique_audit",
     "ordered_page",
@@ -55,7 +53,7 @@ def seconds(spark: SparkSession, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
