@@ -24,20 +24,38 @@ def nest_children(
 
     A key with up to ``part_rows`` children has the single part 0. A larger one continues in
     parts 1, 2, ..., so no array and no task holds an unbounded group, and nothing is left out.
-    ``order`` must be total within a key and made of ``fields``.
+    ``order`` is made of ``fields`` and tells all but copies apart.
     """
-    rows = children.filter(F.col(key).isNotNull())
+    rows = children.filter(F.col(key).isNotNull()).select(key, *fields)
     large = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > part_rows)
-    parts = rows.withColumn("part", F.lit(0).cast("bigint"))
-    if not large.isEmpty():
-        small = rows.join(large, key, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
-        placed = ordered_position(rows.join(large, key, "left_semi"), order, [key], name="part")
-        parts = small.unionByName(
-            placed.withColumn("part", F.floor(F.col("part") / part_rows).cast("bigint"))
+    once = {"part": F.lit(0).cast("bigint"), "times": F.lit(1)}
+    if large.isEmpty():
+        parts = rows.withColumns(once)
+    else:
+        parts = rows.join(large, key, "left_anti").withColumns(once)
+        parts = parts.unionByName(
+            parts_of_large(rows.join(large, key, "left_semi"), key, fields, order, part_rows)
         )
-    entry = F.struct(*fields)
     sort_key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order)])
-    gathered = F.sort_array(F.collect_list(F.struct(sort_key.alias("k"), entry.alias("v"))))
-    return parts.groupBy(key, "part").agg(
-        F.transform(gathered, lambda pair: pair["v"]).alias(name)
-    )
+    entry = F.struct(sort_key.alias("k"), F.struct(*fields).alias("v"), "times")
+    gathered = F.sort_array(F.collect_list(entry))
+    repeated = F.transform(gathered, lambda x: F.array_repeat(x["v"], x["times"]))
+    return parts.groupBy(key, "part").agg(F.flatten(repeated).alias(name))
+
+
+def parts_of_large(
+    rows: DataFrame, key: str, fields: Sequence[str], order: Sequence[Column], part_rows: int
+) -> DataFrame:
+    """Rows with the part they fall into and how often they occur there.
+
+    Copies of a row are counted before the rows are placed, so that they are one row however many
+    there are; copies that cross a part's end are shared out between the parts.
+    """
+    counted = rows.groupBy(key, *fields).agg(F.count("*").alias("n"))
+    placed = ordered_position(counted, order, [key], weight="n", name="start")
+    start, end = F.col("start"), F.col("start") + F.col("n")
+    first, last = F.floor(start / part_rows), F.floor((end - 1) / part_rows)
+    spread = placed.withColumn("part", F.explode(F.sequence(first, last)))
+    part = F.col("part")
+    times = F.least(end, (part + 1) * part_rows) - F.greatest(start, part * part_rows)
+    return spread.select(key, *fields, part.cast("bigint").alias("part"), times.cast("int").alias("times"))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from statera.operators.position import ordered_position
 
 PAGE_SIZE = 100
-# Up to this row the top rows fit a task's heap; deeper pages go by position.
-SHALLOW_ROWS = 100_000
+# Every task sends this many top rows at most; deeper pages go by position.
+SHALLOW_ROWS = 1_000
 
 
 def ordering_columns(terms: Sequence[str]) -> list[Column]:

@@ -17,6 +17,9 @@ RECOMMENDED = {
 }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
@@ -25,11 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="statera-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="statera-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

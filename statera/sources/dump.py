@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statera.functions.cleaning import strip_space
+from statera.session import scratch_path
 
 HEAD = r"(?is)INSERT\s+INTO\s+`?(\w+)`?\s*\(([^)]*)\)\s*VALUES\s*(.*)"
 # A row in brackets; a value may hold one more pair, as NOW() does.
@@ -51,12 +52,17 @@ def _value(cell: Column) -> Column:
     return F.when(F.upper(text) != "NULL", text)
 
 
-def read_rows(spark: SparkSession, path: str, terminator: str = ";\n") -> DataFrame:
-    """One row per inserted row: lower-case table name and a map from column to text.
+def read_rows(
+    spark: SparkSession, path: str, tables: Sequence[str], terminator: str = ";\n"
+) -> DataFrame:
+    """One row per row inserted into ``tables``: table name and a map from column to text.
 
-    The file is cut at ``terminator``, so that tasks share it; a statement is one record.
+    The file is cut at ``terminator``, so that tasks share it; a statement is one record. Records
+    without a statement for the tables are left out before anything is cut up.
     """
-    records = spark.read.text(path, lineSep=terminator).select(
+    names = "|".join(tables)
+    wanted = F.col("value").rlike(rf"(?i)INSERT\s+INTO\s+`?(?:{names})`?\s*\(")
+    records = spark.read.text(path, lineSep=terminator).filter(wanted).select(
         F.explode(F.split(_mask_quoted(_mask_escapes(F.col("value"))), ";")).alias("statement")
     )
     statements = records.filter(F.col("statement").rlike(HEAD)).select(
@@ -67,7 +73,7 @@ def read_rows(spark: SparkSession, path: str, terminator: str = ";\n") -> DataFr
         ).alias("names"),
         F.regexp_extract("statement", HEAD, 3).alias("rows"),
     )
-    rows = statements.select(
+    rows = statements.filter(F.col("table").isin(*tables)).select(
         "table", "names", F.explode(F.regexp_extract_all("rows", F.lit(ROW), 1)).alias("row")
     )
     return rows.select(
@@ -84,9 +90,14 @@ def read_dump(
 ) -> dict[str, DataFrame]:
     """All-string tables from a dump: ``tables`` names each table's columns.
 
-    Batches of a table are put together; a column that a batch lacks is null there.
+    Batches of a table are put together; a column that a batch lacks is null there. For several
+    tables the dump is read once and its rows are stored by table.
     """
-    rows = read_rows(spark, path, terminator)
+    rows = read_rows(spark, path, [table.lower() for table in tables], terminator)
+    if len(tables) > 1:
+        folder = scratch_path(spark, "dump")
+        rows.write.partitionBy("table").parquet(folder)
+        rows = spark.read.schema(rows.schema).parquet(folder)
     return {
         table.lower(): rows.filter(F.col("table") == table.lower()).select(
             *[F.try_element_at("cells", F.lit(name.lower())).alias(name) for name in columns]

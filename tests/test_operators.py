@@ -225,6 +225,17 @@ def test_nest_children_in_parts(spark):
     assert joined == [f"{i:03}" for i in range(95)]
 
 
+def test_copies_share_out_between_parts(spark):
+    """Many copies of one child are one row until they are written into bounded parts."""
+    data = [("hot", "a")] * 3 + [("hot", "b")] * 57 + [("hot", "c"), ("hot", None)]
+    df = spread(spark, data, "symbol string, text string")
+    got = op.nest_children(df, "symbol", ["text"], [F.col("text")], "texts", part_rows=10).collect()
+    parts = {r["part"]: [x["text"] for x in r["texts"]] for r in got}
+    assert [len(parts[i]) for i in range(7)] == [10] * 6 + [2]
+    joined = [text for i in range(7) for text in parts[i]]
+    assert joined == [None] + ["a"] * 3 + ["b"] * 57 + ["c"]
+
+
 def test_completion(spark):
     known = spark.createDataFrame([("A", "Alpha")], "symbol string, name string")
     a = spark.createDataFrame([("A",), ("C",), (None,)], "s string")
