@@ -603,6 +603,28 @@ ORACLES: dict[str, str] = {
     "not_null_audit": """SELECT 'o_orderkey' AS "column", 0::BIGINT AS nulls
         UNION ALL SELECT 'price', count(*) FROM orders WHERE o_orderpriority = '5-LOW'
         UNION ALL SELECT 'status', count(*) FROM orders WHERE o_orderstatus <> 'F'""",
+    "warehouse_audit": f"""WITH {SCORE_ROWS},
+        rich AS (SELECT * FROM customer WHERE c_acctbal >= 0),
+        doubled AS (SELECT * FROM score_rows UNION ALL
+            SELECT * FROM score_rows WHERE score > 50)
+        SELECT 'dim_company' AS table_name, 'unique(symbol)' AS rule, 0::BIGINT AS violations
+        UNION ALL SELECT 'dim_company', 'not_null(symbol)', 0
+        UNION ALL SELECT 'dim_company', 'not_null(company_name)', count(*) FROM rich
+            WHERE c_nationkey = 0
+        UNION ALL SELECT 'fact_ml_scores', 'unique(symbol, computed_at)', count(*)
+            FROM score_rows WHERE score > 50
+        UNION ALL SELECT 'fact_ml_scores', 'not_null(' || c || ')', 0
+            FROM (VALUES ('symbol'), ('computed_at'), ('overall_score')) v(c)
+        UNION ALL SELECT 'fact_ml_scores', 'reference(symbol)', count(*) FROM doubled
+            WHERE symbol NOT IN (SELECT 'C' || c_custkey FROM rich)
+        UNION ALL SELECT 'fact_ml_scores', 'reference(health_label_id)', count(*) FROM doubled
+            WHERE label = 'EXCELLENT'
+        UNION ALL SELECT 'dim_health_label', r, 0 FROM (VALUES ('unique(label_id)'),
+            ('unique(label_name)'), ('not_null(label_id)'), ('not_null(label_name)'),
+            ('not_null(min_score)'), ('not_null(max_score)'), ('not_null(color_hex)')) v(r)""",
+    "company_json": """SELECT '{"symbol":"C' || c_custkey || '","company_name":"' || c_name
+            || '","sector":"' || c_mktsegment || '","website":null}' AS document
+        FROM customer""",
     "company_search": f"""{SEARCHABLE} SELECT * FROM found
         ORDER BY book_value DESC NULLS FIRST, symbol LIMIT 100""",
     "company_search_count": f'{SEARCHABLE} SELECT count(*) AS "count" FROM found',

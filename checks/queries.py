@@ -500,6 +500,30 @@ def unique_audit(spark, sf):
     return plain(op.unique_audit(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]))
 
 
+@query
+def warehouse_audit(spark, sf):
+    """Every declared rule over companies in credit, and the score rows of all companies."""
+    rich = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
+    companies = rich.select(
+        symbol("c_custkey").alias("symbol"),
+        F.when(F.col("c_nationkey") > 0, F.col("c_name")).alias("company_name"),
+    )
+    first = score_rows(spark, sf)
+    return load.warehouse_audit(
+        {
+            "dim_company": companies,
+            "fact_ml_scores": first.unionByName(first.filter(F.col("overall_score") > 50)),
+            "dim_health_label": load.health_labels(spark).filter(F.col("label_id") < 5),
+        }
+    )
+
+
+@query
+def company_json(spark, sf):
+    companies = searchable(spark, sf).select("symbol", "company_name", "sector", "website")
+    return serve.as_json(companies)
+
+
 @query
 def not_null_audit(spark, sf):
     orders = table(spark, sf, "orders").select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from statera.operators import (
     insert_if_absent,
     keep_existing,
     label_lookup,
+    not_null_audit,
     surrogate_key,
+    unique_audit,
     upsert,
 )
 from statera.schemas import TABLES
@@ -90,6 +93,58 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame | None:
     return foreign_key_audit(checks) if checks else None
 
 
+def warehouse_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Violations of every declared key, reference and required column of the given tables.
+
+    One row per rule: the table, the rule, and how many rows (of a key: how many key values)
+    violate it. References to tables that are not given are left out; a null reference in a
+    column that may be null is none.
+    """
+    reports = []
+    references = {}
+    for name, df in tables.items():
+        spec = TABLES[name]
+        for key in spec.unique:
+            repeated = unique_audit(df, key).agg(F.count("*").alias("violations"))
+            reports.append((name, f"unique({', '.join(key)})", repeated))
+        required = [c for c in spec.required if c in df.columns]
+        if required:
+            nulls = not_null_audit(df, required)
+            reports.append((name, None, nulls))
+        for ref in spec.foreign_keys:
+            if ref.parent in tables and ref.column in df.columns:
+                child = df if ref.column in spec.required else df.dropna(subset=[ref.column])
+                parent = tables[ref.parent]
+                references[f"{name}.{ref.column}"] = (
+                    child,
+                    [ref.column],
+                    parent,
+                    [ref.parent_column],
+                )
+    rows = []
+    for name, rule, report in reports:
+        label = F.lit(rule) if rule else F.concat(F.lit("not_null("), "column", F.lit(")"))
+        count = F.col("violations") if rule else F.col("nulls")
+        rows.append(
+            report.select(
+                F.lit(name).alias("table_name"),
+                label.alias("rule"),
+                count.cast("bigint").alias("violations"),
+            )
+        )
+    if references:
+        rows.append(
+            foreign_key_audit(references).select(
+                F.substring_index("check", ".", 1).alias("table_name"),
+                F.concat(
+                    F.lit("reference("), F.substring_index("check", ".", -1), F.lit(")")
+                ).alias("rule"),
+                "violations",
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 def load_warehouse(
     spark: SparkSession,
     incoming: Mapping[str, DataFrame],

@@ -85,6 +85,9 @@ SCORE_LIST = Listing(
     ("symbol", "computed_at"),
 )
 
+# Other names under which a request may filter.
+FILTER_NAMES = {"year": "year_id", "health_label": "health_label_id"}
+
 DOCUMENT_FIELDS = ("year_label", "document_url")
 REMARK_FIELDS = ("is_pro", "category", "text", "source", "confidence", "generated_at")
 
@@ -98,6 +101,7 @@ def _listed(
     size: int,
 ) -> Page:
     for name, value in (filters or {}).items():
+        name = FILTER_NAMES.get(name, name)
         if name in listing.filters:
             df = df.filter(F.col(name) == F.lit(value))
     asked = (ordering or "").replace("year__sort_order", "sort_order")
@@ -105,6 +109,11 @@ def _listed(
     return Page(page(df, order, number, size), df.agg(F.count("*").alias("count")))
 
 
+def as_json(df: DataFrame, name: str = "document") -> DataFrame:
+    """Each row as one JSON text, nulls and nested lists included."""
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
+
+
 def with_company_name(df: DataFrame, companies: DataFrame) -> DataFrame:
     return df.join(companies.select("symbol", "company_name"), "symbol")
 

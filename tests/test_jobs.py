@@ -305,6 +305,31 @@ def test_null_key_is_refused(spark, house, tmp_path):
         load.load_warehouse(spark, {"fact_profit_loss": bad}, str(tmp_path), stored)
 
 
+def test_warehouse_audit(house):
+    tables = dict(house[0])
+    assert {r["violations"] for r in load.warehouse_audit(tables).collect()} == {0}
+    tables["dim_year"] = tables["dim_year"].filter("year_id < 5").unionByName(
+        tables["dim_year"].filter("year_id = 1").withColumn("sort_order", F.lit(None).cast("int"))
+    )
+    broken = {
+        (r["table_name"], r["rule"]): r["violations"]
+        for r in load.warehouse_audit(tables).filter("violations > 0").collect()
+    }
+    assert broken == {
+        ("dim_year", "unique(year_id)"): 1,
+        ("dim_year", "unique(year_label)"): 1,
+        ("dim_year", "not_null(sort_order)"): 1,
+        ("fact_profit_loss", "reference(year_id)"): 1,
+    }
+
+
+def test_json(house):
+    row = serve.as_json(house[0]["dim_health_label"].filter("label_id = 1")).first()
+    assert row["document"] == (
+        '{"label_id":1,"label_name":"POOR","min_score":0.00,"max_score":20.00,"color_hex":"#B91C1C"}'
+    )
+
+
 def test_company_list(house):
     companies = house[0]["dim_company"]
     found = serve.company_list(companies, "tata")
