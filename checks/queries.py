@@ -877,11 +877,12 @@ def dump_ingest(spark, sf):
 
 @query
 def banner_read(spark, sf):
-    """Parts in a file per size below banner and header, with an empty column and empty rows."""
-    text = part_text(spark, sf).withColumn("size", F.col("p_size"))
+    """Files of 1000 parts below banner and header, with an empty column and empty rows."""
+    number = F.floor(F.col("p_partkey").cast("bigint") / 1000)
+    text = part_text(spark, sf).withColumn("file", number)
     cells = F.struct(*PART_COLUMNS, F.lit(None).cast("string").alias("spare"))
     body = text.select(
-        "size",
+        "file",
         F.explode(
             F.array(
                 F.to_csv(cells, {"quote": '"', "escape": '"'}), F.lit("," * len(PART_COLUMNS))
@@ -890,17 +891,17 @@ def banner_read(spark, sf):
         F.lit(2).alias("line"),
     )
     header = ",".join(f" {name.upper()} " for name in PART_COLUMNS) + ",SPARE"
-    top = text.select("size").distinct().select(
-        "size",
+    top = text.select("file").distinct().select(
+        "file",
         F.posexplode(F.array(F.lit("Parts of this year"), F.lit(header))).alias("line", "value"),
     )
     path = scratch_path(spark, "banner")
     (
         body.unionByName(top)
-        .repartition("size")
-        .sortWithinPartitions("size", "line")
+        .repartition("file")
+        .sortWithinPartitions("file", "line")
         .drop("line")
-        .write.partitionBy("size")
+        .write.partitionBy("file")
         .text(path)
     )
     return typed_parts(read_banner_table(spark, f"{path}/*/"))

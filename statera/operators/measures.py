@@ -46,7 +46,7 @@ def price_statistics(
     A return is price over the previous price, less 1. Volatility is the sample deviation of the
     price. Rows are range-partitioned by entity and order, so a long series spreads over many
     slices; each slice is summed up alone, and the return across two slices comes from the last
-    price of one and the first of the next.
+    price of one and the first of the next. ``order`` holds plain columns, total within an entity.
     """
     value = F.col(price).cast("double")
     exact = F.col(price).cast("decimal(18,4)")
