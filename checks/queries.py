@@ -139,9 +139,8 @@ def cash_conversion(spark, sf):
 
 @query
 def period_parse(spark, sf):
-    period = fn.parse_period(roles.mixed_period("o_orderkey", "o_orderdate"))
-    parsed = table(spark, sf, "orders").select("o_orderkey", period.alias("p"))
-    return plain(parsed.select("o_orderkey", "p.*"))
+    labels = roles.mixed_period("o_orderkey", "o_orderdate").alias("label")
+    return plain(fn.with_period(table(spark, sf, "orders").select("o_orderkey", labels), "label"))
 
 
 def mixed_frames(spark, sf) -> list[DataFrame]:

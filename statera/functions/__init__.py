@@ -11,7 +11,7 @@ from statera.functions.cleaning import (
     strip_space,
     to_number,
 )
-from statera.functions.periods import parse_period
+from statera.functions.periods import parse_period, with_period
 from statera.functions.ratios import (
     book_value_per_share,
     guarded_ratio,
@@ -39,4 +39,5 @@ __all__ = [
     "strip_space",
     "sum_null_as_zero",
     "to_number",
+    "with_period",
 ]
