@@ -6,10 +6,11 @@ returns is written as Parquet and read again as the next one's ``docs``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statera.llm import mixing, quality_rules, secret_scan
+from statera.llm import mixing, near_dedup, quality_rules, secret_scan, sentence_pieces
 from statera.llm.common import documents
 from statera.session import stored
 
@@ -30,6 +31,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(judged, docs.columns, "cleaned")
 
 
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one with the smallest id."""
+    return near_dedup.one_of_each(docs, near_dedup.near_duplicates(docs))
+
+
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; no document goes."""
     found = secret_scan.scan_secrets(docs, secret_scan.corpus_model(docs))
@@ -41,10 +47,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.emit(docs, mixing.mix_sources(docs))
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of every copy and their spans: doc_id, n_tokens, ids, begins, ends."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = sentence_pieces.encode_pieces(docs, model)
+    n_tokens = F.size("ids").cast("bigint").alias("n_tokens")
+    return coded.select("doc_id", n_tokens, "ids", "begins", "ends", "decoded")
+
+
 STAGES = [
     ("quality rules", clean),
+    ("MinHash near-dedup", deduplicate),
     ("secret scans", redact),
     ("mixing sources to target weights", mix),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 

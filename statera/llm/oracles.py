@@ -104,3 +104,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   CAST(coalesce(list_sum(list_transform(bad, lambda x: x.chars)), 0) AS BIGINT) AS lost_chars
 FROM judged
 """
+
+ORACLES["op9_url_filter"] = r"""
+WITH parts AS (
+  SELECT page_id,
+    regexp_extract(CASE WHEN contains(url, '://') THEN regexp_replace(url, '^(?s:.*?)://', '') ELSE '' END,
+                   '^[^?#]*') AS rest
+  FROM pages
+), split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_replace(rest, '^[^/]*', '') AS path
+  FROM parts
+), ruled AS (
+  SELECT *, CASE
+    WHEN ends_with('.' || host, '.www.example.com') AND starts_with(path, '/en/')
+      THEN 'www.example.com/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/'
+  END AS rule, '.' || host || path AS whole, '.' || host AS h
+  FROM split
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN contains(whole, 'spam') OR contains(h, 'cheap-pills') OR contains(h, 'casino')
+      OR contains(h, 'viagra') OR contains(h, 'xxx')
+      OR regexp_matches(whole, '^[^/]*[.]ads[.]')
+      OR contains(whole, '/wp-login') OR ends_with(whole, '.exe') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statera.llm import mixing, quality_rules, secret_scan
+from statera.llm import (
+    fingerprints,
+    language_model,
+    mixing,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sentence_pieces,
+    token_counts,
+    url_filter,
+)
 from statera.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +73,48 @@ def op4_secret_scan(spark, sf):
         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
         secret_scan.joined(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op8_sentence_pieces(spark, sf):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = sentence_pieces.encode_pieces(documents(spark, sf), model)
+    return coded.select("doc_id", *sentence_pieces.digests())
+
+
+@query
+def op10_near_dedup(spark, sf):
+    return near_dedup.near_duplicates(documents(spark, sf))
+
+
+@query
+def op2_token_counts(spark, sf):
+    model = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.count_tokens(documents(spark, sf), model)
+
+
+@query
+def op6_quality_classifier(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    weights = quality_classifier.fit_quality(docs, labels.filter(~held_out))
+    return quality_classifier.score_quality(docs, weights).withColumn("held_out", held_out)
+
+
+@query
+def op9_url_filter(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    return url_filter.judge_urls(pages).drop("url")
+
+
+@query
+def op5_fingerprints(spark, sf):
+    return fingerprints.fingerprint_edits(documents(spark, sf))
+
+
+@query
+def op7_language_model(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return language_model.model_scores(docs, ~held_out).withColumn("held_out", held_out)
