@@ -245,7 +245,8 @@ overall AS (
     SELECT *, CASE WHEN {present} > 0 THEN {r2(f'({total}) / ({present})')} END AS overall_score
     FROM scored
 )
-SELECT symbol, overall_score, {rounded}, {label_ladder('overall_score')} AS health_label
+SELECT symbol, DATE '2024-01-31' AS computed_on, overall_score, {rounded},
+    {label_ladder('overall_score')} AS health_label
 FROM overall"""
 
 
@@ -373,70 +374,185 @@ SELECT coalesce(b.o_orderkey, s.o_orderkey) AS o_orderkey,
 FROM stored s FULL JOIN batch b ON s.o_orderkey = b.o_orderkey"""
 
 
-def detail_parts(rows: int) -> str:
-    """Documents and remarks of each company in parts of so many rows."""
-    return f"""filings AS (
-    SELECT 'C' || o_custkey AS symbol, strftime(o_orderdate, '%b %Y') AS year_label,
-        '/o/' || o_orderkey AS document_url
+def list_parts(rows: int, growth: bool = False) -> str:
+    """Documents, remarks and growth figures of each company in parts of so many rows."""
+    figures = (
+        "compounded_sales_growth_pct, compounded_profit_growth_pct, stock_price_cagr_pct, roe_pct"
+    )
+    more = f"""UNION ALL
+    SELECT symbol, 'analysis', concat_ws('~', period_label, {figures}, company_name),
+        row_number() OVER (PARTITION BY symbol ORDER BY period_label)
+    FROM growth JOIN company USING (symbol)"""
+    return f"""entries AS (
+    SELECT 'C' || o_custkey AS symbol, 'documents' AS list,
+        strftime(o_orderdate, '%b %Y') || '~/o/' || o_orderkey AS item,
+        row_number() OVER (PARTITION BY o_custkey
+            ORDER BY strftime(o_orderdate, '%b %Y'), '/o/' || o_orderkey) AS n
     FROM orders
-),
-docs AS (
-    SELECT symbol, part, count(*) AS n_documents,
-        string_agg(year_label || '~' || document_url, '|' ORDER BY year_label, document_url)
-            AS documents
-    FROM (
-        SELECT *, (row_number() OVER (PARTITION BY symbol ORDER BY year_label, document_url) - 1)
-            // {rows} AS part
-        FROM filings
-    ) GROUP BY ALL
-),
-notes AS (
-    SELECT 'C' || user_id AS symbol, event_type <> 'error' AS is_pro, event_type AS category,
-        props || ' ' || event_id AS text
+    UNION ALL
+    SELECT 'C' || user_id, 'pros_cons', (event_type <> 'error') || '~' || event_type || '~'
+        || props || ' ' || event_id || '~MANUAL~100.0',
+        row_number() OVER (PARTITION BY user_id
+            ORDER BY event_type <> 'error', event_type, props || ' ' || event_id)
     FROM events
-),
-remarks AS (
-    SELECT symbol, part, count(*) AS n_remarks,
-        string_agg(is_pro || '~' || text, '|' ORDER BY is_pro, category, text) AS pros_cons
-    FROM (
-        SELECT *, (row_number() OVER (PARTITION BY symbol ORDER BY is_pro, category, text) - 1)
-            // {rows} AS part
-        FROM notes
-    ) GROUP BY ALL
+    {more if growth else ""}
 ),
 parts AS (
-    SELECT c.symbol, c.company_name, coalesce(k.part, 0) AS part,
-        coalesce(n_documents, 0) AS n_documents, coalesce(n_remarks, 0) AS n_remarks,
-        coalesce(documents, '') AS documents, coalesce(pros_cons, '') AS pros_cons
-    FROM company c LEFT JOIN (
-        SELECT symbol, part, n_documents, documents, n_remarks, pros_cons
-        FROM docs FULL JOIN remarks USING (symbol, part)
-    ) k ON c.symbol = k.symbol
+    SELECT symbol, list, (n - 1) // {rows} AS part, count(*) AS entries,
+        string_agg(item, '|' ORDER BY n) AS items
+    FROM entries JOIN (SELECT symbol FROM company) USING (symbol) GROUP BY ALL
 )"""
 
 
-def newest_of(name: str, column: str) -> str:
-    return f"""(SELECT symbol, year_label, {column} FROM {name} QUALIFY row_number() OVER (
+def newest_of(name: str) -> str:
+    return f"""(SELECT * FROM {name} QUALIFY row_number() OVER (
         PARTITION BY symbol ORDER BY sort_order DESC, year_id DESC) = 1)"""
 
 
-SNAPSHOT = f"""{WAREHOUSE}, {detail_parts(1000)}, {GROWTH_BY_SYMBOL}, {SCORE_ROWS},
-lists AS (
-    SELECT symbol, string_agg(period_label, '|' ORDER BY period_label) AS analysis
-    FROM growth GROUP BY symbol
-)
-SELECT d.symbol, d.part, d.company_name, d.n_documents, d.n_remarks,
-    p.year_label AS profit_loss_year, p.net_profit, b.year_label AS balance_sheet_year,
-    b.total_assets, f.year_label AS cash_flow_year, f.operating_activity,
-    coalesce(l.analysis, '') AS analysis, s.label AS health_label_name
-FROM parts d
-LEFT JOIN {newest_of('pl', 'net_profit')} p ON d.symbol = p.symbol
-LEFT JOIN {newest_of('bs', 'total_assets')} b ON d.symbol = b.symbol
-LEFT JOIN {newest_of('cf', 'operating_activity')} f ON d.symbol = f.symbol
-LEFT JOIN lists l ON d.symbol = l.symbol
+def struct_columns(alias: str, name: str, columns: str) -> str:
+    return ", ".join(f"{alias}.{c.strip()} AS {name}_{c.strip()}" for c in columns.split(","))
+
+
+SNAPSHOT = f"""{WAREHOUSE}, {SCORE_ROWS}
+SELECT d.symbol,
+    {struct_columns("d", "company",
+                    "company_name, sector, sub_sector, face_value, book_value, roce")},
+    {struct_columns("p", "profit_loss", "year_label, sales, expenses, operating_profit, interest,"
+                    " net_profit, eps")},
+    CASE WHEN p.symbol IS NOT NULL THEN d.company_name END AS profit_loss_company_name,
+    {struct_columns("b", "balance_sheet", "year_label, equity_capital, reserves, borrowings,"
+                    " other_assets, total_assets")},
+    {struct_columns("f", "cash_flow", "year_label, operating_activity, investing_activity,"
+                    " financing_activity")},
+    CAST({LABEL_ID} AS BIGINT) AS ml_score_health_label_id, s.label AS ml_score_health_label_name,
+    s.score AS ml_score_profitability_score
+FROM company d
+LEFT JOIN {newest_of('pl')} p ON d.symbol = p.symbol
+LEFT JOIN {newest_of('bs')} b ON d.symbol = b.symbol
+LEFT JOIN {newest_of('cf')} f ON d.symbol = f.symbol
 LEFT JOIN (SELECT * FROM score_rows WHERE computed_on = DATE '2024-02-29') s
     ON d.symbol = s.symbol"""
 
+
+def json_of(**fields: str) -> str:
+    """A JSON object of texts that are JSON already."""
+    inner = " || ',' || ".join(f"""'"{name}":' || {value}""" for name, value in fields.items())
+    return f"'{{' || {inner} || '}}'"
+
+
+def json_text(value: str) -> str:
+    return f"""coalesce('"' || {value} || '"', 'null')"""
+
+
+def json_statement(where: str) -> str:
+    return json_of(
+        year_id="year_id",
+        symbol=json_text("symbol"),
+        total_assets=json_text("CAST(CAST(total_assets AS DECIMAL(18, 2)) AS VARCHAR)"),
+        year_label=json_text("year_label"),
+        company_name=json_text("company_name"),
+    ) + f""" AS j FROM (SELECT * FROM bs WHERE {where} QUALIFY row_number() OVER (
+        PARTITION BY symbol ORDER BY sort_order DESC, year_id DESC) = 1) JOIN company USING (symbol)"""
+
+
+COMPANY_JSON = f"""{WAREHOUSE}, {GROWTH_BY_SYMBOL}, {SCORE_ROWS},
+pl_json AS (SELECT symbol, {json_statement("TRUE")}),
+bs_json AS (SELECT symbol, {json_statement("total_assets > 500000")}),
+score_json AS (SELECT symbol, {json_of(
+    health_label_id=f"coalesce(CAST({LABEL_ID} AS VARCHAR), 'null')",
+    symbol=json_text("symbol"),
+    computed_at="""'"2024-02-29T00:00:00.000Z"'""",
+    score="""'"12.50"'""",
+    company_name=json_text("company_name"),
+    health_label_name=json_text("label"),
+)} AS j FROM score_rows JOIN company USING (symbol) WHERE computed_on = DATE '2024-02-29'),
+entries AS (
+    SELECT 'C' || o_custkey AS symbol, 'documents' AS list, {json_of(
+        year_label=json_text("strftime(o_orderdate, '%b %Y')"),
+        document_url=json_text("'/o/' || o_orderkey"),
+    )} AS item,
+        row_number() OVER (PARTITION BY o_custkey
+            ORDER BY strftime(o_orderdate, '%b %Y'), '/o/' || o_orderkey) AS n
+    FROM orders
+    UNION ALL
+    SELECT 'C' || user_id, 'pros_cons', {json_of(
+        is_pro="CAST(event_type <> 'error' AS VARCHAR)",
+        category=json_text("event_type"),
+        text=json_text("event_type"),
+        source="""'"MANUAL"'""",
+        confidence="'100.0'",
+        generated_at="'null'",
+    )}, row_number() OVER (PARTITION BY user_id ORDER BY event_type <> 'error', event_type)
+    FROM events
+    UNION ALL
+    SELECT symbol, 'analysis', {json_of(
+        period_label=json_text("period_label"),
+        compounded_sales_growth_pct=json_text(
+            "CAST(CAST(compounded_sales_growth_pct AS DECIMAL(6, 2)) AS VARCHAR)"),
+        company_name=json_text("company_name"),
+    )}, row_number() OVER (PARTITION BY symbol ORDER BY period_label)
+    FROM growth JOIN company USING (symbol)
+)
+SELECT symbol, NULL AS list, NULL::BIGINT AS part, {json_of(
+    symbol=json_text("c.symbol"),
+    company=json_of(
+        symbol=json_text("c.symbol"),
+        company_name=json_text("c.company_name"),
+        book_value=json_text("CAST(CAST(c.book_value AS DECIMAL(12, 2)) AS VARCHAR)"),
+    ),
+    latest_profit_loss="coalesce(p.j, 'null')",
+    latest_balance_sheet="coalesce(b.j, 'null')",
+    latest_cash_flow="'null'",
+    latest_ml_score="coalesce(s.j, 'null')",
+)} AS document
+FROM company c LEFT JOIN pl_json p USING (symbol) LEFT JOIN bs_json b USING (symbol)
+LEFT JOIN score_json s USING (symbol)
+UNION ALL
+SELECT symbol, list, (n - 1) // 1000, '[' || string_agg(item, ',' ORDER BY n) || ']'
+FROM entries JOIN (SELECT symbol FROM company) USING (symbol)
+GROUP BY symbol, list, (n - 1) // 1000"""
+
+REMARK_ROWS = """remark_rows AS (
+    SELECT user_id, event_type AS text FROM events WHERE event_type <> 'error' UNION ALL
+    SELECT user_id, 'seen ' || event_id FROM events WHERE event_type <> 'error' UNION ALL
+    SELECT user_id, 'failed ' || event_id FROM events WHERE event_type = 'error'
+)"""
+
+LAST_GROWTH = f"""last_growth AS (
+    SELECT * EXCLUDE k FROM (
+        SELECT * EXCLUDE k, min(k) AS k
+        FROM ({growth('first').replace("SELECT DISTINCT", "SELECT o_orderkey AS k,")}) GROUP BY ALL
+    ) QUALIFY row_number() OVER (PARTITION BY symbol, period_label ORDER BY k DESC) = 1
+)"""
+
+WITH_STUBS = """(SELECT symbol, face_value, book_value, roce FROM company UNION ALL
+    SELECT DISTINCT 'C' || user_id, NULL, NULL, NULL FROM events
+    WHERE 'C' || user_id NOT IN (SELECT symbol FROM company))"""
+
+BS_FIGURES = ["equity_capital", "reserves", "borrowings", "other_assets", "total_assets"]
+PL_FIGURES = ["sales", "expenses", "operating_profit", "interest", "net_profit", "eps"]
+CF_FIGURES = ["operating_activity", "investing_activity", "financing_activity"]
+GROWTH_FIGURES = [
+    "compounded_sales_growth_pct",
+    "compounded_profit_growth_pct",
+    "stock_price_cagr_pct",
+]
+
+
+def totals(tables: dict[str, tuple]) -> str:
+    """Rows and sums of tables; a third entry is the digits that figures are stored with."""
+    parts = []
+    for name, (source, figures, *digits) in tables.items():
+        parts.append(f"SELECT '{name}.rows' AS item, CAST(count(*) AS DOUBLE) AS total FROM {source}")
+        for figure in figures:
+            value = f"CAST(CAST({figure} AS VARCHAR) AS DECIMAL(24, {(digits or [4])[0]}))"
+            parts.append(
+                f"SELECT '{name}.{figure}', CAST(sum(CAST({value} AS DECIMAL(38, 4))) AS DOUBLE)"
+                f" FROM {source}"
+            )
+    return " UNION ALL ".join(parts)
+
+
 PARTS = """SELECT p_partkey, CASE WHEN p_size > 3 THEN p_name || ', it''s (a); "b"' END AS p_name,
     p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, {price} AS p_retailprice FROM part"""
 PART_PRICE = "CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS DOUBLE)"
@@ -548,7 +664,7 @@ ORACLES: dict[str, str] = {
         CASE WHEN c_nationkey = 3 THEN 7.5::DOUBLE END AS same, CAST(NULL AS DOUBLE) AS none,
         50.0::DOUBLE AS same_score, CAST(NULL AS DOUBLE) AS none_score FROM customer""",
     "health_scores": health(aligned=True),
-    "health_scores_unaligned": health(aligned=False),
+    "health_scores_unaligned": f"SELECT * EXCLUDE computed_on FROM ({health(aligned=False)})",
     "health_label_band": f"""SELECT c_custkey, {label_ladder('c_acctbal / 100')} AS label,
         CASE WHEN c_acctbal >= 0 AND c_acctbal <= 10000
             THEN {label_ladder('c_acctbal / 100')} END AS band FROM customer""",
@@ -572,7 +688,12 @@ ORACLES: dict[str, str] = {
             {r4('min(change)')} AS min_daily_return
         FROM r GROUP BY user_id""",
     "upsert_update": UPSERTED,
-    "upsert_large_batch": UPSERTED,
+    "upsert_large_batch": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+        CASE WHEN l_returnflag <> 'R' THEN l_partkey END AS l_partkey,
+        l_quantity + 1 AS l_quantity, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END
+            AS l_returnflag
+        FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+            ORDER BY l_partkey, l_quantity, l_returnflag) = 1""",
     "upsert_last_wins": """SELECT c_custkey, c_name, coalesce(o.status, '-') AS status
         FROM customer LEFT JOIN (SELECT o_custkey, max_by(o_orderstatus, o_orderkey) AS status
             FROM orders GROUP BY o_custkey) o ON c_custkey = o_custkey""",
@@ -622,9 +743,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'dim_health_label', r, 0 FROM (VALUES ('unique(label_id)'),
             ('unique(label_name)'), ('not_null(label_id)'), ('not_null(label_name)'),
             ('not_null(min_score)'), ('not_null(max_score)'), ('not_null(color_hex)')) v(r)""",
-    "company_json": """SELECT '{"symbol":"C' || c_custkey || '","company_name":"' || c_name
-            || '","sector":"' || c_mktsegment || '","website":null}' AS document
-        FROM customer""",
+    "company_json": COMPANY_JSON,
     "company_search": f"""{SEARCHABLE} SELECT * FROM found
         ORDER BY book_value DESC NULLS FIRST, symbol LIMIT 100""",
     "company_search_count": f'{SEARCHABLE} SELECT count(*) AS "count" FROM found',
@@ -637,9 +756,12 @@ ORACLES: dict[str, str] = {
         l_partkey, count(*) AS lines,
         row_number() OVER (ORDER BY l_partkey, l_orderkey, l_linenumber) - 1 AS position
         FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey""",
-    "position_in_group": f"""SELECT o_orderstatus, o_orderkey, p,
-        CAST(sum(p) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - p AS BIGINT) AS before
-        FROM (SELECT o_orderstatus, o_orderkey, {cents('o_totalprice')} AS p FROM orders)""",
+    "position_in_group": f"""SELECT o_orderstatus, o_orderkey, CAST(p AS DOUBLE) / 100 AS p,
+        CAST(coalesce(sum(coalesce(p, 0)) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) / 100 AS before
+        FROM (SELECT o_orderstatus, o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN
+            CASE WHEN o_orderkey % 2 = 0 THEN {cents('o_totalprice')}
+            ELSE -{cents('o_totalprice')} END END AS p FROM orders)""",
     "profit_loss_list": f"""{WAREHOUSE} SELECT symbol, company_name, year_label, sales, net_profit
         FROM pl JOIN company USING (symbol) WHERE symbol = 'C7'
         ORDER BY sort_order DESC, year_id LIMIT 100""",
@@ -660,41 +782,80 @@ ORACLES: dict[str, str] = {
             CAST({LABEL_ID} AS BIGINT) AS health_label_id, label AS health_label_name
         FROM score_rows JOIN company USING (symbol)
         ORDER BY score DESC, symbol, computed_on LIMIT 1000""",
-    "company_detail": f"""WITH {COMPANIES.strip()}, {detail_parts(1000)}
-        SELECT symbol, company_name, part, n_documents, documents, pros_cons FROM parts""",
-    "company_detail_parts": f"""WITH {COMPANIES.strip()}, {detail_parts(8)}
-        SELECT symbol, part, documents, pros_cons FROM parts""",
+    "company_detail": f"""WITH {COMPANIES.strip()}, {list_parts(1000)}
+        SELECT symbol, list, part, entries, items FROM parts
+        UNION ALL SELECT symbol, 'company', 0, 1, company_name FROM company""",
+    "company_detail_parts": f"""WITH {COMPANIES.strip()}, {list_parts(8)}
+        SELECT symbol, list, part, entries, items FROM parts""",
     "snapshot": SNAPSHOT,
+    "snapshot_lists": f"""WITH {COMPANIES.strip()}, {GROWTH_BY_SYMBOL}, {list_parts(1000, True)}
+        SELECT symbol, list, part, entries, items FROM parts""",
     "snapshot_of_one": f"{SNAPSHOT} WHERE d.symbol = 'C7'",
     "dump_ingest": PARTS.format(price=PART_PRICE),
-    "banner_read": PARTS.format(price=PART_PRICE),
+    "banner_read": f"""{PARTS.format(price=PART_PRICE)} UNION ALL
+        SELECT NULL, ' P_NAME ', ' P_BRAND ', ' P_TYPE ', NULL, NULL
+        FROM (SELECT DISTINCT p_partkey // 1000 FROM part)""",
     "raw_csv_scan": PARTS.format(price=PART_PRICE),
-    "clean_csv_scan": PARTS.format(price=f"CASE WHEN p_size <> 7 THEN {PART_PRICE} END"),
-    "conform_write": f"""WITH {SCORE_ROWS} SELECT symbol, computed_on,
+    "clean_csv_scan": "SELECT * REPLACE (p_partkey + 9007199254740993 AS p_partkey) FROM ("
+    + PARTS.format(price=f"CASE WHEN p_size <> 7 THEN {PART_PRICE} END")
+    + ")",
+    "conform_write": f"""WITH {COMPANIES.strip()}, {SCORE_ROWS} SELECT symbol, computed_on,
         CAST(CAST(score AS DECIMAL(6, 2)) AS DOUBLE) AS overall_score,
-        CAST(NULL AS DOUBLE) AS trend_score, CAST({LABEL_ID} AS BIGINT) AS health_label_id
-        FROM score_rows WHERE score >= 0""",
+        CAST(NULL AS DOUBLE) AS trend_score, CAST({LABEL_ID} AS BIGINT) AS health_label_id,
+        company_name, CAST(CAST(book_value AS DECIMAL(12, 2)) AS DOUBLE) AS book_value
+        FROM score_rows JOIN company USING (symbol)""",
     "write_report": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
+        f"SELECT '{name}' AS table_name, count(*) AS rows, count(*) AS reported FROM {name}"
         for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
     ),
-    "conform_run": f"""{WAREHOUSE}, growth AS ({growth('first')}),
+    "conform_run": f"""{WAREHOUSE}, growth AS ({growth('first')}), {REMARK_ROWS},
         sector_names AS (SELECT DISTINCT sector FROM company)
-        SELECT 'dim_year' AS table_name, count(*) AS rows FROM years
-        UNION ALL SELECT 'dim_company', count(*) FROM company
-        UNION ALL SELECT 'sector_mapping', count(*) FROM company
-        UNION ALL SELECT 'dim_sector', count(*) FROM sector_names
-        UNION ALL SELECT 'fact_balance_sheet', count(*) FROM bs
-        UNION ALL SELECT 'fact_profit_loss', count(*) FROM pl
-        UNION ALL SELECT 'fact_cash_flow', count(*) FROM cf
-        UNION ALL SELECT 'fact_analysis', count(*) FROM growth
-        UNION ALL SELECT 'documents', count(*) FROM orders""",
-    "load_warehouse": f"""{WAREHOUSE},
+        {totals({
+            "dim_year": ("years", ["fiscal_year", "sort_order"]),
+            "dim_company": (WITH_STUBS, ["face_value", "book_value", "roce"]),
+            "sector_mapping": (WITH_STUBS, []),
+            "dim_sector": ("(SELECT sector FROM sector_names UNION SELECT 'Other')", []),
+            "fact_balance_sheet": ("bs", BS_FIGURES),
+            "fact_profit_loss": ("pl", PL_FIGURES),
+            "fact_cash_flow": ("cf", CF_FIGURES),
+            "fact_analysis": ("growth", GROWTH_FIGURES),
+            "fact_pros_cons": ("remark_rows", []),
+            "documents": ("orders", []),
+        })}""",
+    "load_warehouse": f"""{WAREHOUSE}, {LAST_GROWTH}, {REMARK_ROWS},
         sector_names AS (SELECT DISTINCT sector FROM company)
-        SELECT 'fact_balance_sheet' AS item, count(*) AS rows FROM bs
-        UNION ALL SELECT 'fact_profit_loss', count(*) FROM pl
-        UNION ALL SELECT 'fact_cash_flow', count(*) FROM cf
-        UNION ALL SELECT 'dim_sector', count(*) FROM sector_names
-        UNION ALL SELECT 'orphan_profit_loss', 0 UNION ALL SELECT 'orphan_balance_sheet', 0
-        UNION ALL SELECT 'orphan_cash_flow', 0 UNION ALL SELECT 'missing_year_dim', 0""",
+        {totals({
+            "dim_sector": ("(SELECT sector FROM sector_names UNION SELECT 'Other')", []),
+            "dim_company": (WITH_STUBS, ["face_value", "book_value", "roce"], 2),
+            "dim_year": ("years", ["fiscal_year", "sort_order"]),
+            "dim_health_label": ("range(5)", []),
+            "fact_balance_sheet": ("bs", BS_FIGURES, 2),
+            "fact_profit_loss": ("pl", PL_FIGURES, 2),
+            "fact_cash_flow": ("cf", CF_FIGURES, 2),
+            "fact_analysis": ("last_growth", GROWTH_FIGURES, 2),
+            "fact_pros_cons": ("(SELECT DISTINCT * FROM remark_rows)", []),
+            "documents": ("orders", []),
+            "fact_ml_scores": ("customer", []),
+        })}
+        UNION ALL SELECT 'fact_ml_scores.trend_score', 50.0 * count(*) FROM customer
+        UNION ALL SELECT unnest(['orphan_profit_loss', 'orphan_balance_sheet',
+            'orphan_cash_flow', 'missing_year_dim']), 0""",
+    "load_repeated_keys": f"""WITH {COMPANIES.strip()}, last AS (
+            SELECT 'C' || o_custkey AS symbol, min(o_orderkey) AS k,
+                arg_min(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey)
+        SELECT symbol, coalesce('order ' || k, company_name) AS company_name,
+            CAST(CAST(price AS DECIMAL(12, 2)) AS DOUBLE) AS book_value
+        FROM company LEFT JOIN last USING (symbol)""",
+    "load_later_periods": f"""WITH months AS (
+            SELECT DISTINCT strftime(o_orderdate, '%b %Y') AS year_label,
+                {fiscal_place('o_orderdate')} AS sort_order FROM orders),
+        ids AS (SELECT year_label, row_number() OVER (ORDER BY sort_order, year_label) AS year_id
+            FROM months)
+        SELECT 'C' || o_custkey AS symbol, year_id, year_label,
+            CAST(sum({cents('o_totalprice')}) AS DOUBLE) / 100 AS total_assets
+        FROM (SELECT *, strftime(o_orderdate, '%b %Y') AS year_label FROM orders)
+        JOIN ids USING (year_label) GROUP BY ALL""",
+    "score_job": f"""SELECT symbol, DATE '2024-01-31' AS computed_on, overall_score,
+        CAST({LABEL_ID.replace("CASE label", "CASE health_label")} AS BIGINT) AS health_label_id
+        FROM ({health(True)}) WHERE overall_score IS NOT NULL""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -306,7 +307,8 @@ def health_scores(spark, sf):
     scores = scoring.compute_health_scores(
         house.profit_loss, house.balance_sheet, house.cash_flow, fixed_time()
     )
-    return rounded(scores.drop("computed_at"), *scoring.SCORES)
+    dated = scores.withColumn("computed_at", F.to_date("computed_at"))
+    return rounded(dated.withColumnRenamed("computed_at", "computed_on"), *scoring.SCORES)
 
 
 @query
@@ -399,9 +401,17 @@ def measures_by_sector_year(spark, sf):
 
 @query
 def price_stats(spark, sf):
-    events = table(spark, sf, "events").withColumn("volume", F.length("props"))
+    # Exact prices, so that totals do not depend on the order of rows.
+    events = table(spark, sf, "events").withColumns(
+        {"volume": F.length("props"), "value": F.col("value").cast("decimal(18,4)")}
+    )
     return op.price_statistics(
-        events, "user_id", "value", [F.col("ts"), F.col("event_id")], "volume"
+        events,
+        "user_id",
+        "value",
+        [F.col("ts"), F.col("event_id")],
+        "volume",
+        slice_by=F.date_trunc("day", "ts"),
     )
 
 
@@ -433,8 +443,15 @@ def upsert_update(spark, sf):
 
 @query
 def upsert_large_batch(spark, sf):
-    stored, batch = order_store(spark, sf)
-    return op.upsert(stored, batch, ["o_orderkey"], small_batch_rows=0)
+    """A batch of all line items, as large as the stored table."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"
+    )
+    key = ["l_orderkey", "l_linenumber"]
+    kept = op.keep_first(lines, key, [F.col(c) for c in lines.columns])
+    stored = kept.filter(F.col("l_returnflag") != "R")
+    batch = kept.select(*key, (F.col("l_quantity") + 1).alias("l_quantity"))
+    return plain(op.upsert(stored, batch, key))
 
 
 @query
@@ -519,8 +536,38 @@ def warehouse_audit(spark, sf):
 
 @query
 def company_json(spark, sf):
-    companies = searchable(spark, sf).select("symbol", "company_name", "sector", "website")
-    return serve.as_json(companies)
+    """Every company's snapshot with its lists as JSON, money as text."""
+    sheets = Warehouse(spark, sf, keep=True)
+    fact = sheets.balance_sheet.select(
+        "symbol",
+        "year_id",
+        "year_label",
+        "sort_order",
+        F.col("total_assets").cast("decimal(18,2)").alias("total_assets"),
+    )
+    companies = sheets.companies.select(
+        "symbol", "company_name", F.col("book_value").cast("decimal(12,2)").alias("book_value")
+    )
+    growth = growth_by_symbol(spark, sf).select(
+        "symbol", "period_label", F.col("compounded_sales_growth_pct").cast("decimal(6,2)")
+    )
+    scores = score_rows(spark, sf).select(
+        "symbol", "computed_at", F.lit(12.5).cast("decimal(6,2)").alias("score"), "health_label_id"
+    )
+    shot = serve.snapshot(
+        companies,
+        filings(spark, sf),
+        remarks(spark, sf).select(*[c for c in serve.REMARK_FIELDS if c != "text"], "symbol",
+                                  F.col("category").alias("text")),
+        fact,
+        fact.filter("total_assets > 500000"),
+        fact.limit(0),
+        growth,
+        scores,
+        sheets.years,
+        load.health_labels(spark),
+    )
+    return serve.detail_json(shot)
 
 
 @query
@@ -583,7 +630,7 @@ def deep_page(spark, sf):
     """A page behind more rows than a task's heap may hold, picked by position."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     order = op.ordered("-o_orderpriority", ["o_orderpriority"], ["o_orderkey"], ["o_orderkey"])
-    return op.page(orders, order, number=90, shallow_rows=1000)
+    return op.page_by_position(orders, order, number=90)
 
 
 @query
@@ -599,18 +646,21 @@ def ordered_position(spark, sf):
 
 @query
 def position_in_group(spark, sf):
-    """Running quantity of a customer's orders, whole groups spread over many tasks."""
+    """Running sums over a status's orders, of amounts that are negative, null or fractional."""
+    p = cents("o_totalprice")
+    amount = F.when(F.col("o_orderkey") % 7 > 0, F.when(F.col("o_orderkey") % 2 == 0, p).otherwise(-p))
     orders = table(spark, sf, "orders").select(
-        "o_orderstatus", "o_orderkey", cents("o_totalprice").alias("p")
+        "o_orderstatus", "o_orderkey", (amount.cast("decimal(12,0)") / 100).alias("p")
     )
-    return op.ordered_position(
+    placed = op.ordered_position(
         orders, [F.col("o_orderkey")], ["o_orderstatus"], weight="p", name="before"
     )
+    return plain(placed)
 
 
 @query
 def profit_loss_list(spark, sf):
-    house = Warehouse(spark, sf)
+    house = Warehouse(spark, sf, keep=True)
     rows = serve.profit_loss_list(
         house.profit_loss,
         house.companies,
@@ -623,7 +673,7 @@ def profit_loss_list(spark, sf):
 
 @query
 def legacy_metrics(spark, sf):
-    house = Warehouse(spark, sf)
+    house = Warehouse(spark, sf, keep=True)
     rows = serve.legacy_metrics(
         house.profit_loss, house.companies, house.years, ordering="sales"
     ).rows
@@ -743,38 +793,63 @@ def joined_text(array: str, *fields: str) -> Column:
     )
 
 
+def list_rows(lists: DataFrame) -> DataFrame:
+    """Every entry's fields, as one text for each part of a list."""
+    fields = {
+        "documents": serve.DOCUMENT_FIELDS,
+        "pros_cons": serve.REMARK_FIELDS,
+        "analysis": [
+            "period_label",
+            "compounded_sales_growth_pct",
+            "compounded_profit_growth_pct",
+            "stock_price_cagr_pct",
+            "roe_pct",
+            "company_name",
+        ],
+    }
+    texts = [
+        F.when(F.col("list") == name, joined_text(name, *names))
+        for name, names in fields.items()
+        if name in lists.columns
+    ]
+    sizes = [F.size(name) for name in fields if name in lists.columns]
+    return lists.select(
+        "symbol",
+        "list",
+        "part",
+        F.greatest(*sizes).cast("bigint").alias("entries"),
+        F.coalesce(*texts).alias("items"),
+    )
+
+
 @query
 def company_detail(spark, sf):
+    """Companies and all their documents and remarks."""
     detail = serve.company_detail(
         roles.companies(spark, sf), filings(spark, sf), remarks(spark, sf)
     )
-    return detail.select(
+    own = detail.companies.select(
         "symbol",
-        "company_name",
-        "part",
-        F.size("documents").cast("bigint").alias("n_documents"),
-        joined_text("documents", "year_label", "document_url").alias("documents"),
-        joined_text("pros_cons", "is_pro", "text").alias("pros_cons"),
+        F.lit("company").alias("list"),
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(1).cast("bigint").alias("entries"),
+        F.col("company_name").alias("items"),
     )
+    return own.unionByName(list_rows(detail.lists))
 
 
 @query
 def company_detail_parts(spark, sf):
-    """The same lists with short parts, so that companies go on over several rows."""
+    """The same lists in short parts."""
     detail = serve.company_detail(
         roles.companies(spark, sf), filings(spark, sf), remarks(spark, sf), part_rows=8
     )
-    return detail.select(
-        "symbol",
-        "part",
-        joined_text("documents", "year_label", "document_url").alias("documents"),
-        joined_text("pros_cons", "is_pro", "text").alias("pros_cons"),
-    )
+    return list_rows(detail.lists)
 
 
-def snapshot_rows(spark, sf, wanted=None) -> DataFrame:
+def snapshot_of(spark, sf, wanted=None) -> serve.Detail:
     house = Warehouse(spark, sf, keep=True)
-    shot = serve.snapshot(
+    return serve.snapshot(
         house.companies,
         filings(spark, sf),
         remarks(spark, sf),
@@ -787,33 +862,60 @@ def snapshot_rows(spark, sf, wanted=None) -> DataFrame:
         load.health_labels(spark),
         wanted,
     )
-    return plain(
-        shot.select(
-            "symbol",
-            "part",
-            F.col("company.company_name").alias("company_name"),
-            F.size("company.documents").alias("n_documents"),
-            F.size("company.pros_cons").alias("n_remarks"),
-            F.col("latest_profit_loss.year_label").alias("profit_loss_year"),
-            F.col("latest_profit_loss.net_profit").alias("net_profit"),
-            F.col("latest_balance_sheet.year_label").alias("balance_sheet_year"),
-            F.col("latest_balance_sheet.total_assets").alias("total_assets"),
-            F.col("latest_cash_flow.year_label").alias("cash_flow_year"),
-            F.col("latest_cash_flow.operating_activity").alias("operating_activity"),
-            joined_text("analysis", "period_label").alias("analysis"),
-            F.col("latest_ml_score.health_label_name").alias("health_label_name"),
-        )
-    )
+
+
+def snapshot_rows(shot: serve.Detail) -> DataFrame:
+    wanted = {
+        "company": ["company_name", "sector", "sub_sector", "face_value", "book_value", "roce"],
+        "latest_profit_loss": [
+            "year_label",
+            "company_name",
+            "sales",
+            "expenses",
+            "operating_profit",
+            "interest",
+            "net_profit",
+            "eps",
+        ],
+        "latest_balance_sheet": [
+            "year_label",
+            "equity_capital",
+            "reserves",
+            "borrowings",
+            "other_assets",
+            "total_assets",
+        ],
+        "latest_cash_flow": [
+            "year_label",
+            "operating_activity",
+            "investing_activity",
+            "financing_activity",
+        ],
+        "latest_ml_score": ["health_label_id", "health_label_name", "profitability_score"],
+    }
+    columns = [
+        F.col(f"{part}.{name}").alias(f"{part.removeprefix('latest_')}_{name}")
+        for part, names in wanted.items()
+        for name in names
+    ]
+    return plain(shot.companies.select("symbol", *columns))
 
 
 @query
 def snapshot(spark, sf):
-    return snapshot_rows(spark, sf)
+    """One row per company: itself, its latest statements and its latest score."""
+    return snapshot_rows(snapshot_of(spark, sf))
+
+
+@query
+def snapshot_lists(spark, sf):
+    """The lists that go with the snapshot, every field of every entry."""
+    return list_rows(snapshot_of(spark, sf).lists)
 
 
 @query
 def snapshot_of_one(spark, sf):
-    return snapshot_rows(spark, sf, "c7")
+    return snapshot_rows(snapshot_of(spark, sf, "c7"))
 
 
 # Sources and sinks: the given tables written as text and read back
@@ -862,11 +964,12 @@ def dump_ingest(spark, sf):
         ).alias("row"),
     )
     names = ", ".join(f"`{name}`" for name in PART_COLUMNS)
+    # Comments with quotes in them, and the line ends of another system.
     statements = rows.groupBy("batch").agg(
         F.concat(
-            F.lit(f"INSERT INTO `Part` ({names}) VALUES "),
-            F.array_join(F.collect_list("row"), ",\n"),
-            F.lit(";"),
+            F.lit(f"-- don't edit\r\n/* it's; generated */ INSERT INTO `Part` ({names}) VALUES # '\r\n"),
+            F.array_join(F.collect_list("row"), ",\r\n"),
+            F.lit(";\r"),
         ).alias("value")
     )
     path = scratch_path(spark, "dump")
@@ -876,7 +979,10 @@ def dump_ingest(spark, sf):
 
 @query
 def banner_read(spark, sf):
-    """Files of 1000 parts below banner and header, with an empty column and empty rows."""
+    """Files of 1000 parts below banner and header, with an empty column and empty rows.
+
+    The header comes again further down; there it is a row like any other, which the query drops.
+    """
     number = F.floor(F.col("p_partkey").cast("bigint") / 1000)
     text = part_text(spark, sf).withColumn("file", number)
     cells = F.struct(*PART_COLUMNS, F.lit(None).cast("string").alias("spare"))
@@ -894,16 +1000,24 @@ def banner_read(spark, sf):
         "file",
         F.posexplode(F.array(F.lit("Parts of this year"), F.lit(header))).alias("line", "value"),
     )
+    again = top.filter("line = 1").withColumn("line", F.lit(2))
     path = scratch_path(spark, "banner")
     (
         body.unionByName(top)
+        .unionByName(again)
         .repartition("file")
         .sortWithinPartitions("file", "line")
         .drop("line")
         .write.partitionBy("file")
         .text(path)
     )
-    return typed_parts(read_banner_table(spark, f"{path}/*/"))
+    read = read_banner_table(spark, f"{path}/*/")
+    # The repeated header has texts where parts have numbers.
+    numbers = {
+        name: F.col(name).try_cast("string" if kind == "string" else kind)
+        for name, kind in typed_parts(part_text(spark, sf)).dtypes
+    }
+    return read.select(*[value.alias(name) for name, value in numbers.items()])
 
 
 @query
@@ -924,30 +1038,37 @@ def raw_csv_scan(spark, sf):
 @query
 def clean_csv_scan(spark, sf):
     path = scratch_path(spark, "clean")
-    spoilt = part_text(spark, sf).withColumn(
-        "p_retailprice", F.when(F.col("p_size") != "7", F.col("p_retailprice")).otherwise("NaN")
+    spoilt = part_text(spark, sf).withColumns(
+        {
+            "p_retailprice": F.when(F.col("p_size") != "7", F.col("p_retailprice")).otherwise("NaN"),
+            # Keys beyond what a double can hold, and sizes written with a point.
+            "p_partkey": (F.col("p_partkey").cast("bigint") + 9007199254740993).cast("string"),
+            "p_size": F.concat("p_size", F.lit(".0")),
+        }
     )
     write_tables({"part": spoilt}, path, "csv")
-    schema = typed_parts(spoilt).schema
-    return read_clean_csv(spark, f"{path}/part", schema, multiline=False)
+    schema = typed_parts(part_text(spark, sf)).schema
+    return read_clean_csv(spark, f"{path}/part", schema)
 
 
 @query
 def conform_write(spark, sf):
     """Companies and their scores cast to the warehouse's types, written and read back."""
     path = scratch_path(spark, "warehouse")
-    scores = score_rows(spark, sf).filter(F.col("overall_score") >= 0)
-    write_tables({"fact_ml_scores": to_schema(scores, "fact_ml_scores")}, path)
-    stored = spark.read.parquet(f"{path}/fact_ml_scores")
-    return plain(
-        stored.select(
-            "symbol",
-            F.to_date("computed_at").alias("computed_on"),
-            "overall_score",
-            "trend_score",
-            "health_label_id",
-        )
+    written = {
+        "fact_ml_scores": to_schema(score_rows(spark, sf), "fact_ml_scores"),
+        "dim_company": to_schema(roles.companies(spark, sf), "dim_company"),
+    }
+    write_tables(written, path)
+    scores = spark.read.parquet(f"{path}/fact_ml_scores").select(
+        "symbol",
+        F.to_date("computed_at").alias("computed_on"),
+        "overall_score",
+        "trend_score",
+        "health_label_id",
     )
+    companies = spark.read.parquet(f"{path}/dim_company")
+    return plain(scores.join(companies.select("symbol", "company_name", "book_value"), "symbol"))
 
 
 @query
@@ -956,49 +1077,186 @@ def write_report(spark, sf):
     path = scratch_path(spark, "report")
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
     report = write_tables({name: table(spark, sf, name) for name in names}, path)
-    return spark.createDataFrame(list(report.items()), "table_name string, rows bigint")
+    counts = [
+        spark.read.parquet(f"{path}/{name}").agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("rows"),
+            F.lit(report[name]).cast("bigint").alias("reported"),
+        )
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # Whole jobs
 
 
 def raw_tables(spark, sf) -> dict[str, DataFrame]:
+    """Raw tables in the order of their keys, with growth texts that repeat a period."""
+    growth = roles.raw_analysis(spark, sf, ordinal=True)
+    events = table(spark, sf, "events")
+    failed = F.col("event_type") == "error"
+    remarks_ = events.select(
+        roles.symbol_text("user_id").alias("company_id"),
+        F.when(~failed, F.concat("event_type", F.lit("; seen "), "event_id")).alias("pros"),
+        F.when(failed, F.concat(F.lit("failed "), "event_id")).alias("cons"),
+        F.col("event_id").alias(ORDINAL),
+    )
     return {
         "companies": roles.raw_companies(spark, sf),
         "balancesheet": roles.raw_balance_sheet(spark, sf),
         "profitandloss": roles.raw_profit_loss(spark, sf),
         "cashflow": roles.raw_cash_flow(spark, sf),
-        "analysis": roles.raw_analysis(spark, sf),
+        "analysis": growth,
+        "prosandcons": remarks_,
         "documents": filings(spark, sf).withColumnRenamed("document_url", "url"),
     }
 
 
+FIGURES = {
+    "fact_balance_sheet": ["equity_capital", "reserves", "borrowings", "other_assets", "total_assets"],
+    "fact_profit_loss": ["sales", "expenses", "operating_profit", "interest", "net_profit", "eps"],
+    "fact_cash_flow": ["operating_activity", "investing_activity", "financing_activity"],
+    "fact_analysis": [
+        "compounded_sales_growth_pct", "compounded_profit_growth_pct", "stock_price_cagr_pct",
+    ],
+    "dim_company": ["face_value", "book_value", "roce"],
+    "dim_year": ["fiscal_year", "sort_order"],
+}
+
+
+def totals(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of every table and the sum of every figure: item and total."""
+    parts = []
+    for name, df in tables.items():
+        sums = [F.count(F.lit(1)).cast("decimal(38,4)").alias("rows")]
+        sums += [
+            F.sum(F.col(c).cast("decimal(24,4)")).cast("decimal(38,4)").alias(c)
+            for c in FIGURES.get(name, [])
+        ]
+        one = df.agg(*sums)
+        parts.append(
+            one.unpivot([], one.columns, "item", "total").withColumn(
+                "item", F.concat(F.lit(f"{name}."), "item")
+            )
+        )
+    return plain(reduce(DataFrame.unionByName, parts))
+
+
+def conformed(spark, sf) -> dict[str, DataFrame]:
+    folder, report = conform.run(spark, raw_tables(spark, sf), sectors=roles.sectors(spark, sf))
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in report}
+
+
 @query
 def conform_run(spark, sf):
-    """Rows of every clean table that the conform job writes."""
-    _, report = conform.run(spark, raw_tables(spark, sf), sectors=roles.sectors(spark, sf))
-    return spark.createDataFrame(list(report.items()), "table_name string, rows bigint")
+    """Rows and sums of every clean table that the conform job writes."""
+    return totals(conformed(spark, sf))
 
 
 @query
 def load_warehouse(spark, sf):
-    """Balance sheets after a second load that repeats the first: as many rows, same totals."""
-    folder, report = conform.run(spark, raw_tables(spark, sf), sectors=roles.sectors(spark, sf))
-    clean = {
-        name: spark.read.parquet(f"{folder}/{name}") for name in report if name in TABLES
+    """Rows and sums of every warehouse table after a load, and a second that changes some.
+
+    Growth figures repeat keys; the last of them in reading order counts. The second batch repeats
+    the scores of the first load with others, and all else lies where it was.
+    """
+    clean = {n: df for n, df in conformed(spark, sf).items() if n in TABLES}
+    clean["fact_ml_scores"] = labelled_scores(spark, sf)
+    first = load.load_warehouse(spark, clean, scratch_path(spark, "first"))
+    changed = clean["fact_ml_scores"].withColumn("trend_score", F.lit(50.0))
+    again = {"fact_ml_scores": changed, "fact_balance_sheet": clean["fact_balance_sheet"]}
+    second = load.load_warehouse(spark, again, scratch_path(spark, "second"), first.tables)
+    scores = second.tables["fact_ml_scores"].agg(
+        F.lit("fact_ml_scores.trend_score").alias("item"),
+        F.sum("trend_score").cast("double").alias("total"),
+    )
+    quality = second.quality.select(
+        F.col("check").alias("item"), F.col("violations").cast("double").alias("total")
+    )
+    return totals(second.tables).unionByName(scores).unionByName(quality)
+
+
+def labelled_scores(spark, sf) -> DataFrame:
+    """Scores with the name of their label, as the scoring job writes them."""
+    score = F.col("c_acctbal") / 100
+    return table(spark, sf, "customer").select(
+        symbol("c_custkey").alias("symbol"),
+        fixed_time().alias("computed_at"),
+        score.alias("overall_score"),
+        fn.health_label(score).alias("health_label"),
+    )
+
+
+@query
+def load_repeated_keys(spark, sf):
+    """A batch in which orders repeat their customer: the last in reading order counts."""
+    companies = roles.companies(spark, sf).select("symbol", "company_name")
+    out = scratch_path(spark, "first")
+    first = load.load_warehouse(spark, {"dim_company": companies}, out)
+    batch = table(spark, sf, "orders").select(
+        symbol("o_custkey").alias("symbol"),
+        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("company_name"),
+        F.col("o_totalprice").alias("book_value"),
+        (-F.col("o_orderkey")).alias(ORDINAL),
+    )
+    second = load.load_warehouse(
+        spark, {"dim_company": batch}, scratch_path(spark, "second"), first.tables
+    )
+    return plain(second.tables["dim_company"].select("symbol", "company_name", "book_value"))
+
+
+@query
+def load_later_periods(spark, sf):
+    """A later batch brings earlier periods: every old fact keeps its label.
+
+    The first load holds the odd months of orders, the second the even ones, so that all ids move.
+    """
+    def batch(rest: int) -> dict[str, DataFrame]:
+        dated = table(spark, sf, "orders").filter(F.month("o_orderdate") % 2 == rest)
+        months = dated.select(
+            symbol("o_custkey").alias("symbol"),
+            F.date_format("o_orderdate", "MMM yyyy").alias("year"),
+            cents("o_totalprice").alias("p"),
+        )
+        sums = months.groupBy("symbol", "year").agg(
+            (F.sum("p").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("total_assets")
+        )
+        parsed = conform.parsed_labels([months])
+        years = stored(conform.build_year_dimension([months], parsed=parsed))
+        labels = conform.label_periods(parsed, years)
+        return {
+            "dim_company": roles.companies(spark, sf).select("symbol", "company_name"),
+            "dim_year": years,
+            "fact_balance_sheet": conform.attach_year_id(sums, years, labels=labels),
+        }
+
+    first = load.load_warehouse(spark, batch(1), scratch_path(spark, "first"))
+    second = load.load_warehouse(spark, batch(0), scratch_path(spark, "second"), first.tables)
+    named = second.tables["fact_balance_sheet"].join(second.tables["dim_year"], "year_id")
+    return plain(named.select("symbol", "year_id", "year_label", "total_assets"))
+
+
+@query
+def score_job(spark, sf):
+    """Health scores, taken into the warehouse with the id of their label."""
+    house = Warehouse(spark, sf, keep=True)
+    scores = scoring.run(
+        spark,
+        {
+            "fact_profit_loss": house.profit_loss,
+            "fact_balance_sheet": house.balance_sheet,
+            "fact_cash_flow": house.cash_flow,
+        },
+        computed_at=fixed_time(),
+    )
+    batch = {
+        "dim_company": house.companies.select("symbol", "company_name"),
+        "fact_ml_scores": scores.filter(F.col("overall_score").isNotNull()),
     }
-    # A growth figure per symbol and period; the raw remarks give several.
-    clean["fact_analysis"] = clean["fact_analysis"].dropDuplicates(["symbol", "period_label"])
-    first, second = scratch_path(spark, "first"), scratch_path(spark, "second")
-    load.load_warehouse(spark, clean, first)
-    stored = {name: spark.read.parquet(f"{first}/{name}") for name in clean}
-    _, quality = load.load_warehouse(spark, clean, second, stored)
-    facts = [
-        spark.read.parquet(f"{second}/{name}").agg(
-            F.lit(name).alias("check"), F.count("*").alias("violations")
+    loaded = load.load_warehouse(spark, batch, scratch_path(spark, "scored"))
+    return plain(
+        loaded.tables["fact_ml_scores"].select(
+            "symbol", F.to_date("computed_at").alias("computed_on"), "overall_score", "health_label_id"
         )
-        for name in ("fact_balance_sheet", "fact_profit_loss", "fact_cash_flow", "dim_sector")
-    ]
-    for fact in facts:
-        quality = quality.unionByName(fact)
-    return quality.select(F.col("check").alias("item"), F.col("violations").alias("rows"))
+    )

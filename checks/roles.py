@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from statera.plans import conform
 from statera.session import stored
+from statera.sources import ORDINAL
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -170,13 +171,13 @@ def raw_cash_flow(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def years(spark: SparkSession, sf: str) -> DataFrame:
-    """Period dimension; the months alone are read, not the statements built on them."""
+def labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw period labels; the months alone are read, not the statements built on them."""
     frames = []
     for name, date in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
         months = table(spark, sf, name).select(month_of(date).alias("month")).distinct()
         frames.append(months.select(period_text("month").alias("year")))
-    return conform.build_year_dimension(frames)
+    return conform.parsed_labels(frames)
 
 
 class Warehouse:
@@ -189,25 +190,28 @@ class Warehouse:
         def fact(df: DataFrame) -> DataFrame:
             return stored(df) if keep else df
 
-        self.years = years(spark, sf)
+        # Two small tables that every fact is joined with.
+        parsed = stored(labels(spark, sf), "labels")
+        self.years = stored(conform.build_year_dimension([], parsed=parsed), "years")
+        periods = stored(conform.label_periods(parsed, self.years), "periods")
         self.companies = companies(spark, sf)
         self.balance_sheet = fact(
             conform.normalize_balance_sheet(
-                raw_balance_sheet(spark, sf), self.years, self.companies
+                raw_balance_sheet(spark, sf), self.years, self.companies, periods
             )
         )
         self.profit_loss = fact(
             conform.normalize_profit_loss(
-                raw_profit_loss(spark, sf), self.years, self.balance_sheet
+                raw_profit_loss(spark, sf), self.years, self.balance_sheet, periods
             )
         )
         self.cash_flow = conform.normalize_cash_flow(
-            raw_cash_flow(spark, sf), self.years, self.profit_loss
+            raw_cash_flow(spark, sf), self.years, self.profit_loss, periods
         )
 
 
-def raw_analysis(spark: SparkSession, sf: str) -> DataFrame:
-    """Growth remarks of several shapes, by order."""
+def raw_analysis(spark: SparkSession, sf: str, ordinal: bool = False) -> DataFrame:
+    """Growth remarks of several shapes, by order; in order of the keys, if asked for."""
     key = F.col("o_orderkey")
     number = (key % 40 - 10).cast("string")
 
@@ -227,6 +231,7 @@ def raw_analysis(spark: SparkSession, sf: str) -> DataFrame:
         remark(["10 Years: ", "Last Year: "]).alias("compounded_profit_growth"),
         F.when(key % 3 > 0, remark(["TTM "])).alias("stock_price_cagr"),
         F.lit("n.a.").alias("roe"),
+        *([F.col("o_orderkey").alias(ORDINAL)] if ordinal else []),
     )
 
 

@@ -32,9 +32,14 @@ def book_value_per_share(net_worth: Column, equity_capital: Column, face_value:
 
 
 def row_mean(parts: Sequence[Column]) -> Column:
-    """Mean of a row's non-null values; null where there is none."""
-    present = reduce(lambda a, b: a + b, [F.when(p.isNull(), 0).otherwise(1) for p in parts])
-    return F.when(present > 0, sum_null_as_zero(*parts) / present)
+    """Mean of a row's numbers; nulls and NaN do not count, and without a number it is null."""
+    numbers = [nan_as_null(part) for part in parts]
+    present = reduce(lambda a, b: a + b, [F.when(n.isNull(), 0).otherwise(1) for n in numbers])
+    return F.when(present > 0, sum_null_as_zero(*numbers) / present)
+
+
+def nan_as_null(value: Column) -> Column:
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
 def round_half_even(value: Column, digits: int = 2) -> Column:

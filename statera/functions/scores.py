@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from statera.fixed_values import HEALTH_BANDS
+from statera.functions.ratios import nan_as_null
 
 
 def health_label(score: Column, bands: Sequence[tuple] = HEALTH_BANDS) -> Column:
@@ -23,17 +24,16 @@ def health_label(score: Column, bands: Sequence[tuple] = HEALTH_BANDS) -> Column
 
 
 def scale_between(
-    value: Column, low: float | None, high: float | None, higher_is_better: bool = True
+    value: Column, low: Column, high: Column, higher_is_better: bool = True
 ) -> Column:
     """Clip to ``[low, high]`` and scale to 0..100.
 
-    Without bounds (no values) the score is null; with equal bounds it is 50 in every row.
+    Without bounds (no values) the score is null; with equal bounds it is 50 in every row. A null
+    or NaN value has no score between different bounds.
     """
-    if low is None or high is None:
-        return F.lit(None).cast("double")
-    if low == high:
-        return F.lit(50.0)
-    number = value.cast("double")
-    clipped = F.when(number < low, F.lit(low)).when(number > high, F.lit(high)).otherwise(number)
-    scaled = (clipped - F.lit(low)) / F.lit(high - low) * 100
-    return scaled if higher_is_better else 100 - scaled
+    number = nan_as_null(value)
+    clipped = F.when(number < low, low).when(number > high, high).otherwise(number)
+    scaled = (clipped - low) / (high - low) * 100
+    if not higher_is_better:
+        scaled = 100 - scaled
+    return F.when(low == high, F.lit(50.0)).when(low < high, scaled)

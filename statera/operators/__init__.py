@@ -10,7 +10,7 @@ from statera.operators.latest import keep_first, latest_coalesced, latest_per_en
 from statera.operators.lookup import band_lookup, label_lookup, lookup_with_default
 from statera.operators.measures import measures, price_statistics
 from statera.operators.nesting import nest_children
-from statera.operators.paging import ordered, page
+from statera.operators.paging import ordered, page, page_by_position
 from statera.operators.position import ordered_position, surrogate_key
 from statera.operators.projection import keep_existing, rename_all, rename_first, with_defaults
 from statera.operators.quantiles import bounded_scores, exact_quantiles
@@ -41,6 +41,7 @@ __all__ = [
     "ordered_position",
     "orphans",
     "page",
+    "page_by_position",
     "price_statistics",
     "rename_all",
     "rename_first",

@@ -40,26 +40,26 @@ def price_statistics(
     price: str,
     order: Sequence[Column],
     volume: str | None = None,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Count, mean, extremes, volatility and daily returns of each entity's price series.
 
     A return is price over the previous price, less 1. Volatility is the sample deviation of the
-    price. Rows are range-partitioned by entity and order, so a long series spreads over many
-    slices; each slice is summed up alone, and the return across two slices comes from the last
-    price of one and the first of the next. ``order`` holds plain columns, total within an entity.
+    price. ``slice_by`` cuts a long series, by month say: rows are shuffled once, by entity and
+    slice, each slice is summed up alone, and the return across two slices comes from the last
+    price of one and the first of the next. It must never fall along ``order``, which holds plain
+    columns, total within an entity. Sums have the type that Spark gives them: decimals stay exact.
     """
     value = F.col(price).cast("double")
-    exact = F.col(price).cast("decimal(18,4)")
-    inputs = df.select(
+    traded = F.col(volume) if volume else F.lit(None).cast("bigint")
+    sliced = df.select(
         F.col(entity),
         value.alias("__price"),
-        exact.alias("__exact"),
-        (F.col(volume).cast("decimal(18,4)") if volume else F.lit(None).cast("decimal(18,4)")).alias(
-            "__volume"
-        ),
+        F.col(price).alias("__exact"),
+        traded.alias("__volume"),
         F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("__at"),
+        (F.lit(0) if slice_by is None else slice_by).alias(SLICE),
     )
-    sliced = inputs.repartitionByRange(entity, "__at").withColumn(SLICE, F.spark_partition_id())
     previous = F.lag("__price").over(Window.partitionBy(SLICE, entity).orderBy("__at"))
     with_return = sliced.withColumn("__return", daily_return(F.col("__price"), previous))
     per_slice = with_return.groupBy(SLICE, entity).agg(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statera.operators.position import ordered_position
@@ -13,49 +14,43 @@ PART_ROWS = 1000
 
 
 def nest_children(
-    children: DataFrame,
-    key: str,
-    fields: Sequence[str],
-    order: Sequence[Column],
-    name: str,
-    part_rows: int = PART_ROWS,
+    lists: Mapping[str, tuple[DataFrame, Sequence[str]]], key: str, part_rows: int = PART_ROWS
 ) -> DataFrame:
-    """One row per key and part, with the part's children as a sorted array of structs.
+    """Lists of child rows by key, list and part: key, ``list``, ``part`` and an array per list.
 
-    A key with up to ``part_rows`` children has the single part 0. A larger one continues in
-    parts 1, 2, ..., so no array and no task holds an unbounded group, and nothing is left out.
-    ``order`` is made of ``fields`` and tells all but copies apart.
-    """
-    rows = children.filter(F.col(key).isNotNull()).select(key, *fields)
-    large = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > part_rows)
-    once = {"part": F.lit(0).cast("bigint"), "times": F.lit(1)}
-    if large.isEmpty():
-        parts = rows.withColumns(once)
-    else:
-        parts = rows.join(large, key, "left_anti").withColumns(once)
-        parts = parts.unionByName(
-            parts_of_large(rows.join(large, key, "left_semi"), key, fields, order, part_rows)
-        )
-    sort_key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order)])
-    entry = F.struct(sort_key.alias("k"), F.struct(*fields).alias("v"), "times")
-    gathered = F.sort_array(F.collect_list(entry))
-    repeated = F.transform(gathered, lambda x: F.array_repeat(x["v"], x["times"]))
-    return parts.groupBy(key, "part").agg(F.flatten(repeated).alias(name))
-
-
-def parts_of_large(
-    rows: DataFrame, key: str, fields: Sequence[str], order: Sequence[Column], part_rows: int
-) -> DataFrame:
-    """Rows with the part they fall into and how often they occur there.
+    ``lists`` names each list's rows and the fields its entries are made of. A list is sorted by
+    its fields and cut into parts of ``part_rows`` entries, numbered from 0, the same way for every
+    key: no array and no task holds an unbounded group, and nothing is left out. The array of
+    another list than the row's is null. Rows without a key go.
 
-    Copies of a row are counted before the rows are placed, so that they are one row however many
-    there are; copies that cross a part's end are shared out between the parts.
+    Copies of an entry are counted before the entries are placed, so that they are one row however
+    many there are; copies that cross a part's end are shared out between the parts.
     """
-    counted = rows.groupBy(key, *fields).agg(F.count("*").alias("n"))
-    placed = ordered_position(counted, order, [key], weight="n", name="start")
+    names = list(lists)
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            df.filter(F.col(key).isNotNull()).select(
+                key, F.lit(name).alias("list"), F.struct(*fields).alias(name)
+            )
+            for name, (df, fields) in lists.items()
+        ],
+    )
+    counted = rows.groupBy(key, "list", *names).agg(F.count("*").alias("n"))
+    order = [F.col(name) for name in names]
+    placed = ordered_position(counted, order, [key, "list"], weight="n", name="start")
     start, end = F.col("start"), F.col("start") + F.col("n")
     first, last = F.floor(start / part_rows), F.floor((end - 1) / part_rows)
     spread = placed.withColumn("part", F.explode(F.sequence(first, last)))
     part = F.col("part")
     times = F.least(end, (part + 1) * part_rows) - F.greatest(start, part * part_rows)
-    return spread.select(key, *fields, part.cast("bigint").alias("part"), times.cast("int").alias("times"))
+    spread = spread.withColumn("times", times.cast("int"))
+
+    def gathered(name: str):
+        entry = F.when(F.col("list") == name, F.struct(F.col(name).alias("v"), "times"))
+        repeated = F.transform(
+            F.sort_array(F.collect_list(entry)), lambda x: F.array_repeat(x["v"], x["times"])
+        )
+        return F.when(F.first("list") == name, F.flatten(repeated)).alias(name)
+
+    return spread.groupBy(key, "list", "part").agg(*[gathered(name) for name in names])

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from statera.operators.position import ordered_position
 
 PAGE_SIZE = 100
-# Every task sends this many top rows at most; deeper pages go by position.
-SHALLOW_ROWS = 1_000
 
 
 def ordering_columns(terms: Sequence[str]) -> list[Column]:
@@ -45,20 +43,20 @@ def ordered(
 
 
 def page(
-    df: DataFrame,
-    order: Sequence[Column],
-    number: int = 1,
-    size: int = PAGE_SIZE,
-    shallow_rows: int = SHALLOW_ROWS,
+    df: DataFrame, order: Sequence[Column], number: int = 1, size: int = PAGE_SIZE
 ) -> DataFrame:
-    """The given page, counted from 1.
+    """The given page, counted from 1: a top-k in which every task holds the rows up to its end.
 
-    A shallow page is a top-k of every task; a deep one is picked by position, so that no task
-    holds all rows before it.
+    For pages behind more rows than a task should hold, ask ``page_by_position``.
     """
+    return df.orderBy(*order).offset((number - 1) * size).limit(size)
+
+
+def page_by_position(
+    df: DataFrame, order: Sequence[Column], number: int = 1, size: int = PAGE_SIZE
+) -> DataFrame:
+    """The same page, picked by position, so that no task holds the rows before it."""
     start = (number - 1) * size
-    if start + size <= shallow_rows:
-        return df.orderBy(*order).offset(start).limit(size)
     placed = ordered_position(df, order, name="__place")
     inside = placed.filter((F.col("__place") >= start) & (F.col("__place") < start + size))
     return inside.orderBy("__place").drop("__place")

@@ -23,11 +23,12 @@ def ordered_position(
 
     Rows are range-partitioned by keys and order, so a key with a third of all rows spreads over
     many slices. Each slice counts for itself; what comes before a slice is added from a table
-    with at most one row per slice. The sliced rows are stored first because both steps must see
-    the same slices. ``order`` must be total within a key.
+    with one row per slice and key. The sliced rows are stored first because both steps must see
+    the same slices. ``order`` must be total within a key. Counts are bigint; a sum of weights has
+    the type that Spark gives the sum, and a null weight counts as 0.
     """
     keys = list(keys)
-    amount = F.col(weight) if weight else F.lit(1)
+    amount = F.coalesce(F.col(weight), F.lit(0)) if weight else F.lit(1).cast("bigint")
     sliced = stored(
         df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id())
     )
@@ -41,25 +42,23 @@ def ordered_position(
         .orderBy(SLICE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # A slice holds at most one key that began in an earlier slice: one row per slice or none.
     inside = F.sum(amount).over(so_far) - amount
-    if len(sliced.inputFiles()) <= 1:
-        # All rows fit one slice: nothing comes before it.
-        return sliced.select(*df.columns, inside.cast("bigint").alias(name))
     offsets = (
         sliced.groupBy(SLICE, *keys)
         .agg(F.sum(amount).alias("__size"))
         .withColumn("__before", F.sum("__size").over(earlier_slices))
-        .filter(F.col("__before") > 0)
+        # Of the keys of a slice only the one that began in an earlier slice has something before.
+        .filter(F.col("__before").isNotNull())
         .drop("__size")
     )
     counted = sliced.withColumn("__inside", inside).alias("r")
+    # At most one row per slice.
     offsets = F.broadcast(offsets).alias("o")
     same = [F.col(f"r.{SLICE}") == F.col(f"o.{SLICE}")]
     same += [F.col(f"r.{key}").eqNullSafe(F.col(f"o.{key}")) for key in keys]
     total = F.col("__inside") + F.coalesce(F.col("__before"), F.lit(0))
     return counted.join(offsets, same, "left").select(
-        *[F.col(f"r.{column}") for column in df.columns], total.cast("bigint").alias(name)
+        *[F.col(f"r.{column}") for column in df.columns], total.alias(name)
     )
 
 

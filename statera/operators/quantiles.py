@@ -91,18 +91,27 @@ def bounded_scores(
     """Add 0..100 scores, each scaled between a metric's low and high quantile.
 
     ``scores`` maps a new column to its metric and whether a higher value is better. The bounds
-    (one row per metric) come to the driver and enter the plan as literals. ``df`` is read twice,
-    so hand in something stored. ``accuracy`` switches to approximate quantiles.
+    (one row per metric) enter the plan as one scalar subquery; nothing runs before the result is
+    asked for but the storing of the counted values. ``df`` is read twice, so hand in something
+    stored. ``accuracy`` switches to approximate quantiles.
     """
     metrics = list(dict.fromkeys(metric for metric, _ in scores.values()))
     if accuracy is None:
         bounds = exact_quantiles(df, metrics, [low, high])
     else:
         bounds = approximate_quantiles(df, metrics, [low, high], accuracy)
-    found = {row["metric"]: (row["q0"], row["q1"]) for row in bounds.collect()}
-    return df.withColumns(
+    found = bounds.agg(
+        *[
+            F.max(F.when(F.col("metric") == metric, F.struct("q0", "q1"))).alias(f"b{i}")
+            for i, metric in enumerate(metrics)
+        ]
+    )
+    one_row = found.select(F.struct("*").alias("bounds")).scalar()
+    bounded = df.withColumn("__bounds", one_row)
+    at = {metric: F.col("__bounds")[f"b{i}"] for i, metric in enumerate(metrics)}
+    return bounded.withColumns(
         {
-            name: scale_between(F.col(metric), *found.get(metric, (None, None)), better)
+            name: scale_between(F.col(metric), at[metric]["q0"], at[metric]["q1"], better)
             for name, (metric, better) in scores.items()
         }
-    )
+    ).drop("__bounds")

@@ -10,16 +10,12 @@ from pyspark.sql import functions as F
 
 from statera.operators.latest import first_by
 
-# An incoming batch of up to this many rows is merged without shuffling the stored table.
-SMALL_BATCH_ROWS = 100_000
-
 
 def upsert(
     target: DataFrame,
     incoming: DataFrame,
     key: Sequence[str],
     order: Sequence[Column] | None = None,
-    small_batch_rows: int = SMALL_BATCH_ROWS,
 ) -> DataFrame:
     """``target`` with the rows of ``incoming`` updated by key or added.
 
@@ -27,12 +23,11 @@ def upsert(
     in the others. With ``order`` the last row of a repeated key wins; without it the batch must
     hold each key once. As in SQL, a key with a null in it equals no other: such rows are added.
 
-    Rows with a null key pass by the join. A batch of at most ``small_batch_rows`` by count is
-    broadcast and the stored table stays where it lies; a larger one is a full outer join, one
-    shuffle of each side.
+    Rows with a null key pass by the join. Stored rows take the batch's values by a left join and
+    new rows come from an anti join, at any size; Spark broadcasts a batch that it knows is small,
+    and the stored table then stays where it lies.
     """
     key = list(key)
-    small = incoming.count() <= small_batch_rows
     incoming = incoming.select(*[c for c in target.columns if c in incoming.columns], *_order(order))
     updated = [c for c in incoming.columns if c in target.columns and c not in key]
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
@@ -41,30 +36,17 @@ def upsert(
         keyed = first_by(keyed, key, [F.col(f"__o{i}").desc() for i in range(len(order))])
     keyed = keyed.select(*key, *updated)
     unkeyed = unkeyed.select(*key, *updated)
-
-    if not updated:
-        merged = _append_new(target, keyed, key, target, small)
-    elif small:
-        laid_over = _overlay(target, F.broadcast(keyed), key, updated, "left")
-        merged = _append_new(laid_over, keyed, key, target, small)
-    else:
-        joined = _overlay(target.filter(has_key), keyed, key, updated, "full_outer")
-        merged = joined.unionByName(target.filter(~has_key))
+    laid_over = _overlay(target, keyed, key, updated) if updated else target
+    merged = _append_new(laid_over, keyed, key, target)
     return merged.unionByName(unkeyed, allowMissingColumns=True).select(*target.columns)
 
 
-def insert_if_absent(
-    target: DataFrame,
-    incoming: DataFrame,
-    key: Sequence[str],
-    small_batch_rows: int = SMALL_BATCH_ROWS,
-) -> DataFrame:
+def insert_if_absent(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """``target`` with the rows of ``incoming`` whose key it lacks; null keys are always added."""
     key = list(key)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
     rows = incoming.filter(has_key).dropDuplicates(key)
-    small = incoming.count() <= small_batch_rows
-    added = _append_new(target, rows, key, target, small)
+    added = _append_new(target, rows, key, target)
     return added.unionByName(incoming.filter(~has_key), allowMissingColumns=True)
 
 
@@ -72,20 +54,15 @@ def _order(order: Sequence[Column] | None) -> list[Column]:
     return [column.alias(f"__o{i}") for i, column in enumerate(order or ())]
 
 
-def _same(key: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"i.{k}") for k in key])
-
-
 def _overlay(
-    target: DataFrame, batch: DataFrame, key: list[str], updated: list[str], how: str
+    target: DataFrame, batch: DataFrame, key: list[str], updated: list[str]
 ) -> DataFrame:
     """Stored rows with the batch's values laid over them."""
     marked = batch.withColumn("__in", F.lit(True))
-    joined = target.alias("t").join(marked.alias("i"), _same(key), how)
+    same = [F.col(f"t.{k}") == F.col(f"i.{k}") for k in key]
+    joined = target.alias("t").join(marked.alias("i"), same, "left")
 
     def value(name: str) -> Column:
-        if name in key:
-            return F.coalesce(F.col(f"t.{name}"), F.col(f"i.{name}"))
         if name in updated:
             return F.when(F.col("i.__in"), F.col(f"i.{name}")).otherwise(F.col(f"t.{name}"))
         return F.col(f"t.{name}")
@@ -94,14 +71,12 @@ def _overlay(
 
 
 def _append_new(
-    merged: DataFrame, batch: DataFrame, key: list[str], stored: DataFrame, small: bool
+    merged: DataFrame, batch: DataFrame, key: list[str], stored: DataFrame
 ) -> DataFrame:
     """Add the batch rows whose key is not stored.
 
     The stored keys are cut down to those in the batch first, so the anti join compares two
     sides no larger than the batch.
     """
-    wanted = batch.select(*key)
-    wanted = F.broadcast(wanted) if small else wanted
-    known = stored.select(*key).join(wanted, key, "left_semi").distinct()
+    known = stored.select(*key).join(batch.select(*key), key, "left_semi").distinct()
     return merged.unionByName(batch.join(known, key, "left_anti"), allowMissingColumns=True)

@@ -35,9 +35,9 @@ from statera.operators import (
 )
 from statera.operators.projection import optional
 from statera.schemas import MONEY, TABLES
-from statera.session import scratch_path
+from statera.session import scratch_path, stored
 from statera.sources.files import ORDINAL, read_if_present, read_raw_csv
-from statera.sources.sinks import write_tables
+from statera.sources.sinks import refuse_reading, write_tables
 
 SYMBOL_NAMES = ("company_id", "symbol", "ticker")
 
@@ -72,11 +72,11 @@ def reading_order(df: DataFrame) -> list[Column]:
     return [F.col(name) for name in names]
 
 
-def build_year_dimension(frames: Sequence[DataFrame], year: str = "year") -> DataFrame:
-    """Distinct period labels of all tables, numbered in fiscal order.
+def parsed_labels(frames: Sequence[DataFrame], year: str = "year") -> DataFrame:
+    """The distinct raw period labels of all tables, ``raw_label``, with their parsed fields.
 
-    The raw labels are cut to distinct ones before they are parsed. Where two raw labels give the
-    same period, the one read first decides its flags.
+    Labels are cut to distinct ones before they are parsed. ``__seen`` sorts them by where each was
+    read first.
     """
     with_year = [df for df in frames if year in df.columns]
     if not with_year:
@@ -84,10 +84,21 @@ def build_year_dimension(frames: Sequence[DataFrame], year: str = "year") -> Dat
     raw = first_seen(with_year, year, ORDINAL, F.lit(None).cast(_ordinal_type(with_year)))
     # Blank labels are the only ones without a period. This filter is cheap where Spark moves it,
     # before the labels are made distinct; one on the parsed label would parse every row there.
-    raw = raw.filter(strip_space(F.col(year)) != "").withColumn(
-        "__seen", F.struct("__seen", year)
+    raw = raw.filter(strip_space(F.col(year)) != "").select(
+        F.col(year).alias("raw_label"), F.col(year), F.struct("__seen", year).alias("__seen")
     )
-    parsed = with_period(raw, year)
+    return with_period(raw, year)
+
+
+def build_year_dimension(
+    frames: Sequence[DataFrame], year: str = "year", parsed: DataFrame | None = None
+) -> DataFrame:
+    """Distinct period labels of all tables, numbered in fiscal order.
+
+    Where two raw labels give the same period, the one read first decides its flags. ``parsed``
+    takes labels that ``parsed_labels`` has found already.
+    """
+    parsed = parsed if parsed is not None else parsed_labels(frames, year)
     others = [name for name in PERIOD_FIELDS if name != "year_label"]
     labels = (
         parsed.groupBy("year_label")
@@ -98,26 +109,53 @@ def build_year_dimension(frames: Sequence[DataFrame], year: str = "year") -> Dat
     return surrogate_key(labels, "year_id", order)
 
 
+def label_periods(parsed: DataFrame, dim_year: DataFrame) -> DataFrame:
+    """The period of every raw label: ``raw_label``, ``year_id`` and the dimension's fields."""
+    dim = keep_existing(dim_year, YEAR_COLUMNS)
+    return parsed.select("raw_label", "year_label").join(dim, "year_label", "left").select(
+        "raw_label", *dim.columns
+    )
+
+
 def _ordinal_type(frames: Sequence[DataFrame]):
     return next((df.schema[ORDINAL].dataType for df in frames if ORDINAL in df.columns), "string")
 
 
-def attach_year_id(df: DataFrame, dim_year: DataFrame, year: str = "year") -> DataFrame:
+def attach_year_id(
+    df: DataFrame, dim_year: DataFrame, year: str = "year", labels: DataFrame | None = None
+) -> DataFrame:
     """Replace the raw period column by its parsed fields and the dimension's ``year_id``.
 
-    The dimension's values win over the parsed ones.
+    The dimension's values win over the parsed ones. With ``labels`` (see ``label_periods``) no row
+    is parsed: each takes the period of its raw label, of which there are few.
     """
     if year not in df.columns:
         return df
+    others = [name for name in df.columns if name not in (year, *YEAR_COLUMNS)]
+    if labels is not None:
+        known = [name for name in PERIOD_FIELDS if name in labels.columns]
+        joined = df.alias("f").join(
+            labels.alias("d"), F.col(f"f.`{year}`") == F.col("d.raw_label"), "left"
+        )
+        flags = ("is_ttm", "is_half_year")
+        return joined.select(
+            *[F.col(f"f.`{name}`") for name in others],
+            "d.year_id",
+            *[
+                F.coalesce(F.col(f"d.{name}"), F.lit(False)).alias(name)
+                if name in flags
+                else F.col(f"d.{name}")
+                for name in known
+            ],
+        )
     parsed = with_period(df, year).alias("f")
     dim = keep_existing(dim_year, YEAR_COLUMNS).alias("d")
     joined = parsed.join(dim, F.col("f.year_label") == F.col("d.year_label"), "left")
-    others = [F.col(f"f.`{name}`") for name in df.columns if name not in (year, *YEAR_COLUMNS)]
     fields = [
         F.coalesce(*[F.col(f"{side}.{name}") for side in sides]).alias(name)
         for name, sides in ((n, "df" if n in dim.columns else "f") for n in PERIOD_FIELDS)
     ]
-    return joined.select(*others, "d.year_id", *fields)
+    return joined.select(*[F.col(f"f.`{name}`") for name in others], "d.year_id", *fields)
 
 
 def first_per_period(df: DataFrame) -> DataFrame:
@@ -175,18 +213,18 @@ def normalize_companies(
     )
     first = keep_first(df, ["symbol"], reading_order(df))
     companies = with_sectors(first, sectors)
-    companies = keep_existing(companies, list(TABLES["dim_company"].columns))
+    companies = keep_existing(companies, [*TABLES["dim_company"].columns])
     return companies, companies.select("symbol", "sector", "sub_sector")
 
 
 def normalize_balance_sheet(
-    df: DataFrame, dim_year: DataFrame, companies: DataFrame
+    df: DataFrame, dim_year: DataFrame, companies: DataFrame, labels: DataFrame | None = None
 ) -> DataFrame:
     df = rename_all(
         df, {"symbol": SYMBOL_NAMES, "other_assets": ["other_assets", "other_asset"]}
     )
     money = [c for c, kind in TABLES["fact_balance_sheet"].columns.items() if kind == MONEY]
-    df = attach_year_id(cleaned(df, money), dim_year)
+    df = attach_year_id(cleaned(df, money), dim_year, labels=labels)
     df = first_per_period(df)
     if "face_value" in companies.columns:
         faces = companies.select("symbol", F.col("face_value").cast("double"))
@@ -206,7 +244,10 @@ def normalize_balance_sheet(
 
 
 def normalize_profit_loss(
-    df: DataFrame, dim_year: DataFrame, balance_sheet: DataFrame | None = None
+    df: DataFrame,
+    dim_year: DataFrame,
+    balance_sheet: DataFrame | None = None,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     df = rename_all(
         df,
@@ -218,7 +259,7 @@ def normalize_profit_loss(
         },
     )
     given = [c for c in TABLES["fact_profit_loss"].columns if c not in ("symbol", "year_id")]
-    df = attach_year_id(cleaned(df, given), dim_year)
+    df = attach_year_id(cleaned(df, given), dim_year, labels=labels)
     df = with_other_fact(first_per_period(df), balance_sheet, "total_assets")
     sales, profit = optional(df, "sales"), optional(df, "net_profit")
     assets = optional(df, "total_assets")
@@ -237,10 +278,14 @@ def normalize_profit_loss(
 
 
 def normalize_cash_flow(
-    df: DataFrame, dim_year: DataFrame, profit_loss: DataFrame | None = None
+    df: DataFrame,
+    dim_year: DataFrame,
+    profit_loss: DataFrame | None = None,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     given = ["operating_activity", "investing_activity", "financing_activity", "net_cash_flow"]
-    df = attach_year_id(cleaned(rename_all(df, {"symbol": SYMBOL_NAMES}), given), dim_year)
+    df = cleaned(rename_all(df, {"symbol": SYMBOL_NAMES}), given)
+    df = attach_year_id(df, dim_year, labels=labels)
     df = with_other_fact(first_per_period(df), profit_loss, "net_profit")
     operating = optional(df, "operating_activity")
     df = df.withColumns(
@@ -256,7 +301,16 @@ def normalize_cash_flow(
 
 def _fact(df: DataFrame, table: str) -> DataFrame:
     values = [c for c in TABLES[table].columns if c not in ("symbol", "year_id")]
-    return keep_existing(df, ["symbol", "year_id", "year_label", "sort_order", *values])
+    # The reading order goes along: the load needs it to tell the last of repeated keys.
+    return keep_existing(df, ["symbol", "year_id", "year_label", "sort_order", *values, ORDINAL])
+
+
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows; of copies the first in reading order counts."""
+    if ORDINAL not in df.columns:
+        return df.distinct()
+    values = [name for name in df.columns if name != ORDINAL]
+    return df.groupBy(*values).agg(F.min(ORDINAL).alias(ORDINAL))
 
 
 def normalize_analysis(df: DataFrame, value_mode: str = "first") -> DataFrame:
@@ -281,15 +335,16 @@ def normalize_analysis(df: DataFrame, value_mode: str = "first") -> DataFrame:
     if "period_label" not in df.columns:
         figures["period_label"] = period_bucket(F.col(source))
     df = df.withColumns(figures)
-    kept = keep_existing(df, list(TABLES["fact_analysis"].columns))
-    return kept.dropna(subset=["symbol", "period_label"]).distinct()
+    kept = keep_existing(df, [*TABLES["fact_analysis"].columns, ORDINAL])
+    return _distinct_rows(kept.dropna(subset=["symbol", "period_label"]))
 
 
 def normalize_pros_cons(df: DataFrame) -> DataFrame:
     df = cleaned(rename_all(df, {"symbol": SYMBOL_NAMES}))
     if "category" not in df.columns:
         df = df.withColumn("category", F.lit(None).cast("string"))
-    items = split_to_rows(df, ["symbol", "category"], {"pros": True, "cons": False})
+    carried = [ORDINAL] if ORDINAL in df.columns else []
+    items = split_to_rows(df, ["symbol", "category", *carried], {"pros": True, "cons": False})
     return items.select(
         "symbol",
         "is_pro",
@@ -298,6 +353,7 @@ def normalize_pros_cons(df: DataFrame) -> DataFrame:
         F.lit("MANUAL").alias("source"),
         F.lit(100.0).alias("confidence"),
         F.lit(None).cast("timestamp").alias("generated_at"),
+        *carried,
     )
 
 
@@ -315,8 +371,8 @@ def normalize_documents(df: DataFrame) -> DataFrame:
         df = df.withColumn("year_label", parse_period(F.col("year"))["year_label"])
     elif "year_label" not in df.columns:
         df = df.withColumn("year_label", F.lit(None).cast("string"))
-    kept = keep_existing(df, list(TABLES["documents"].columns))
-    return kept.dropna(subset=["symbol", "document_url"]).distinct()
+    kept = keep_existing(df, [*TABLES["documents"].columns, ORDINAL])
+    return _distinct_rows(kept.dropna(subset=["symbol", "document_url"]))
 
 
 def build_dim_sector(mapping: DataFrame, sector: str = "sector") -> DataFrame:
@@ -377,6 +433,7 @@ def run(
     if "companies" not in raw:
         raise FileNotFoundError("the companies table is required")
     out = out or scratch_path(spark, "clean")
+    refuse_reading(out, raw)
     report: dict[str, int] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
@@ -385,9 +442,11 @@ def run(
 
     lookup = sectors if sectors is not None else sector_table(spark)
     statements = [raw[n] for n in ("balancesheet", "profitandloss", "cashflow") if n in raw]
-    dim_year = None
+    dim_year = labels = None
     if statements:
-        dim_year = store("dim_year", build_year_dimension(statements))
+        parsed = stored(parsed_labels(statements), "labels")
+        dim_year = store("dim_year", build_year_dimension(statements, parsed=parsed))
+        labels = stored(label_periods(parsed, dim_year), "periods")
     companies, _ = normalize_companies(raw["companies"], lookup)
     companies = store("dim_company", complete_companies(companies, raw, lookup))
     mapping = store("sector_mapping", companies.select("symbol", "sector", "sub_sector"))
@@ -395,15 +454,20 @@ def run(
     balance_sheet = profit_loss = None
     if "balancesheet" in raw:
         balance_sheet = store(
-            "fact_balance_sheet", normalize_balance_sheet(raw["balancesheet"], dim_year, companies)
+            "fact_balance_sheet",
+            normalize_balance_sheet(
+                raw["balancesheet"], dim_year, companies, labels
+            ),
         )
     if "profitandloss" in raw:
         profit_loss = store(
             "fact_profit_loss",
-            normalize_profit_loss(raw["profitandloss"], dim_year, balance_sheet),
+            normalize_profit_loss(raw["profitandloss"], dim_year, balance_sheet, labels),
         )
     if "cashflow" in raw:
-        store("fact_cash_flow", normalize_cash_flow(raw["cashflow"], dim_year, profit_loss))
+        store(
+            "fact_cash_flow", normalize_cash_flow(raw["cashflow"], dim_year, profit_loss, labels)
+        )
     if "analysis" in raw:
         store("fact_analysis", normalize_analysis(raw["analysis"], value_mode))
     if "prosandcons" in raw:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from statera.operators import (
 )
 from statera.schemas import TABLES
 from statera.sources.files import ORDINAL
-from statera.sources.sinks import conform, write_tables
+from statera.sources.sinks import conform, refuse_reading, write_tables
 
 QUALITY_CHECKS = {
     "orphan_profit_loss": ("fact_profit_loss", "symbol", "dim_company"),
@@ -53,7 +54,8 @@ def merge_table(
 ) -> DataFrame:
     """A warehouse table after one incoming batch.
 
-    Of a key that the batch repeats the last row counts, by the source's ordinal if there is one.
+    Of a key that the batch repeats the last row by the source's ordinal counts; a batch without
+    ordinals that repeats a key with other values fails.
     """
     spec = TABLES[name]
     if name == "fact_ml_scores" and "health_label_id" not in incoming.columns:
@@ -64,9 +66,10 @@ def merge_table(
     target = stored if stored is not None else empty_table(spark, name)
     if set(columns) <= set(spec.conflict):
         merged = insert_if_absent(target, typed.select(*columns), spec.conflict)
+    elif carry:
+        merged = upsert(target, typed, spec.conflict, [F.col(c) for c in (*carry, *columns)])
     else:
-        order = [F.col(c) for c in carry or columns]
-        merged = upsert(target, typed, spec.conflict, order)
+        merged = upsert(target, _each_key_once(typed, spec.conflict), spec.conflict)
     for key in spec.generated:
         merged = number_new_rows(merged, key, [F.col(c) for c in spec.conflict])
     absent = {c: v for c, v in spec.defaults.items() if c not in columns}
@@ -75,6 +78,58 @@ def merge_table(
     return conform(merged, spec)
 
 
+def _each_key_once(batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The distinct rows of a batch; the job fails where two of them have the same key."""
+    rows = batch.distinct()
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    others = [c for c in rows.columns if c not in key]
+    grouped = rows.filter(whole).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(F.struct(*others)).alias("__v")
+    )
+    said = F.concat(F.lit("repeated without a reading order: "), F.concat_ws(", ", *key))
+    checked = grouped.withColumn(
+        "__v", F.when(F.col("__n") > 1, F.raise_error(said)).otherwise(F.col("__v"))
+    )
+    return checked.select(*key, "__v.*").unionByName(rows.filter(~whole)).select(*rows.columns)
+
+
+def merged_years(stored: DataFrame | None, incoming: DataFrame) -> DataFrame:
+    """The period dimension after a batch: periods by label, numbered anew in fiscal order."""
+    spec = TABLES["dim_year"]
+    batch = keep_existing(incoming, [c for c in spec.columns if c != "year_id"])
+    if stored is not None:
+        kept = stored.drop("year_id")
+        batch = upsert(kept, _each_key_once(batch, ["year_label"]), ["year_label"])
+    else:
+        batch = _each_key_once(batch, ["year_label"])
+    order = [F.col("sort_order").asc_nulls_last(), F.col("year_label").asc()]
+    return conform(surrogate_key(batch, "year_id", order), spec)
+
+
+def renumbered(fact: DataFrame, old: DataFrame | None, new: DataFrame) -> DataFrame:
+    """A fact whose ``year_id`` counts in the new dimension.
+
+    Rows go by their ``year_label``, or else by the label that their id has in the dimension they
+    were made with. A fact with neither is refused: its ids may count in any numbering.
+    """
+    if "year_id" not in fact.columns:
+        return fact
+    ids = new.select(F.col("year_label").alias("__label"), F.col("year_id").alias("__new"))
+    if "year_label" in fact.columns:
+        known = fact.withColumnRenamed("year_label", "__own")
+    elif old is not None:
+        own = old.select(F.col("year_id").alias("__old"), F.col("year_label").alias("__own"))
+        known = fact.join(own, F.col("year_id") == F.col("__old"), "left").drop("__old")
+    else:
+        raise ValueError("a fact with year_id needs year_label, or the dim_year of its numbering")
+    joined = known.join(ids, F.col("__own") == F.col("__label"), "left")
+    # An id that its own dimension lacks stays what it is, for the audit to find.
+    unknown = F.when(F.col("__own").isNull(), F.col("year_id"))
+    return joined.withColumn("year_id", F.coalesce("__new", unknown).cast("int")).select(
+        *[c for c in fact.columns if c != "year_label"]
+    )
+
+
 def number_new_rows(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Give rows without a generated key the numbers after the greatest one."""
     new = surrogate_key(df.filter(F.col(key).isNull()).drop(key), key, order)
@@ -145,34 +200,72 @@ def warehouse_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+class Load(NamedTuple):
+    """What was done to each table, the tables after the load, and the quality report."""
+
+    status: dict[str, str]
+    tables: dict[str, DataFrame]
+    quality: DataFrame | None
+
+
 def load_warehouse(
     spark: SparkSession,
     incoming: Mapping[str, DataFrame],
     out: str,
     stored: Mapping[str, DataFrame] | None = None,
-) -> tuple[dict[str, str], DataFrame | None]:
-    """Merge a batch of clean tables into the stored warehouse and write the result to ``out``.
+) -> Load:
+    """Merge a batch of clean tables into the stored warehouse and write what changes to ``out``.
 
-    ``out`` must not be the folder ``stored`` was read from: a load that fails leaves the old
-    warehouse whole and can be repeated. Tables are handled in order of reference. Returns what
-    was done to each table, and the quality report over the result.
+    Tables without a batch stay where they lie and are not written again. Periods are merged by
+    their label and numbered anew; where that moves stored ids, the facts that hold them are
+    written with the new ones. Facts of the batch go by their ``year_label``, or by the
+    ``dim_year`` of the batch, or count in the stored numbering if the batch brings no periods.
+
+    ``out`` must not be a folder that ``stored`` or the batch is read from: a load that fails
+    leaves the old warehouse whole and can be repeated. Tables are handled in order of reference.
     """
-    stored = dict(stored or {})
-    labels = stored.get("dim_health_label", health_labels(spark))
+    known = dict(stored or {})
+    refuse_reading(out, {**known, **{f"batch of {name}": df for name, df in incoming.items()}})
+    labels = known.get("dim_health_label", health_labels(spark))
+    years, moved = known.get("dim_year"), False
+    batch_years = incoming.get("dim_year", years)
     status: dict[str, str] = {}
-    result: dict[str, DataFrame] = {}
+    tables: dict[str, DataFrame] = {}
+
+    def write(name: str, df: DataFrame, what: str) -> None:
+        status[name] = f"{what}, {write_tables({name: df}, out)[name]} rows"
+        tables[name] = spark.read.parquet(f"{out}/{name}")
+
     for name in TABLES:
+        old = known.get(name)
+        batch = incoming.get(name)
+        by_period = "year_id" in TABLES[name].columns and name != "dim_year"
+        if old is not None and by_period and moved:
+            old = renumbered(old, known["dim_year"], years)
         if name == "dim_health_label":
-            merged, status[name] = labels, "seeded"
-        elif name not in incoming:
-            merged, status[name] = stored.get(name), "missing"
-        elif incoming[name].isEmpty():
-            merged, status[name] = stored.get(name), "skipped"
+            if old is None:
+                write(name, labels, "seeded")
+            else:
+                status[name], tables[name] = "kept", old
+        elif batch is None or batch.isEmpty():
+            status[name] = "missing" if batch is None else "skipped"
+            if old is not None and by_period and moved:
+                write(name, conform(old, name), f"{status[name]}, renumbered")
+            elif old is not None:
+                tables[name] = old
+        elif name == "dim_year":
+            write(name, merged_years(old, batch), "merged")
+            years = tables[name]
+            moved = old is not None and _moves(old, years)
         else:
-            merged = merge_table(spark, name, stored.get(name), incoming[name], labels)
-            status[name] = "merged"
-        if merged is not None:
-            rows = write_tables({name: merged}, out)[name]
-            status[name] += f", {rows} rows"
-            result[name] = spark.read.parquet(f"{out}/{name}")
-    return status, quality_report(result)
+            if by_period and years is not None:
+                batch = renumbered(batch, batch_years, years)
+            write(name, merge_table(spark, name, old, batch, labels), "merged")
+    return Load(status, tables, quality_report(tables))
+
+
+def _moves(old: DataFrame, new: DataFrame) -> bool:
+    """Whether a period that was there has another id now."""
+    ids = new.select("year_label", F.col("year_id").alias("__new"))
+    moved = old.join(ids, "year_label").filter(F.col("year_id") != F.col("__new"))
+    return not moved.isEmpty()

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statera.functions import health_label, round_half_even, row_mean
 from statera.operators import bounded_scores, latest_per_entity
-from statera.session import stored
+from statera.session import scratch_path, stored
+from statera.sources.sinks import write_tables
 
 # Score: (metric, is higher better).
 SCORES = {
@@ -76,3 +79,23 @@ def compute_health_scores(
         *SCORES,
         health_label(F.col("overall_score")).alias("health_label"),
     )
+
+
+def run(
+    spark: SparkSession,
+    clean: Mapping[str, DataFrame],
+    out: str | None = None,
+    computed_at: Column | None = None,
+    aligned: bool = True,
+) -> DataFrame:
+    """Score the clean facts and write ``fact_ml_scores`` below ``out``; returns what is written."""
+    out = out or scratch_path(spark, "scores")
+    scores = compute_health_scores(
+        clean["fact_profit_loss"],
+        clean["fact_balance_sheet"],
+        clean["fact_cash_flow"],
+        computed_at,
+        aligned,
+    )
+    write_tables({"fact_ml_scores": scores}, out)
+    return spark.read.parquet(f"{out}/fact_ml_scores")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statera.operators import (
     latest_coalesced,
@@ -109,9 +109,32 @@ def _listed(
     return Page(page(df, order, number, size), df.agg(F.count("*").alias("count")))
 
 
-def as_json(df: DataFrame, name: str = "document") -> DataFrame:
-    """Each row as one JSON text, nulls and nested lists included."""
-    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
+JSON_OPTIONS = {"ignoreNullFields": "false"}
+
+
+def _as_text(value: Column, kind: T.DataType) -> Column:
+    """The value with every decimal inside it as text, which keeps its digits in JSON."""
+    if isinstance(kind, T.DecimalType):
+        return value.cast("string")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _as_text(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_as_text(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
+def money_as_text(df: DataFrame, name: str) -> Column:
+    return _as_text(F.col(name), df.schema[name].dataType).alias(name)
+
+
+def as_json(df: DataFrame, name: str = "document", keep: Sequence[str] = ()) -> DataFrame:
+    """Each row as one JSON text, beside the columns to keep.
+
+    Nulls and nested values are included; decimals are texts, so ``20000.00`` keeps its zeros.
+    """
+    row = F.struct(*[money_as_text(df, column) for column in df.columns])
+    return df.select(*keep, F.to_json(row, JSON_OPTIONS).alias(name))
 
 
 def with_company_name(df: DataFrame, companies: DataFrame) -> DataFrame:
@@ -198,48 +221,50 @@ def score_list(
     return _listed(named, SCORE_LIST, filters, ordering, number, size)
 
 
+class Detail(NamedTuple):
+    """One row per company, and its lists by symbol, list and part (see ``nest_children``)."""
+
+    companies: DataFrame
+    lists: DataFrame
+
+
+class UnknownSymbol(LookupError):
+    """No company has the symbol."""
+
+
+def require_company(companies: DataFrame, symbol: str) -> None:
+    """Raise ``UnknownSymbol`` unless a company has exactly this symbol."""
+    if companies.filter(F.col("symbol") == symbol).isEmpty():
+        raise UnknownSymbol(symbol)
+
+
 def company_detail(
     companies: DataFrame,
     documents: DataFrame,
     pros_cons: DataFrame,
     symbol: str | None = None,
     part_rows: int = PART_ROWS,
-) -> DataFrame:
-    """Companies with their documents and remarks as arrays, or one company by exact symbol.
+) -> Detail:
+    """Companies with their documents and remarks, or one company by exact symbol.
 
-    One row per company; a company with more than ``part_rows`` documents or remarks goes on in
-    further rows, numbered by ``part``. An unknown symbol gives no row.
+    A company is one row whatever it has; its lists are rows of their own, in parts. An unknown
+    symbol gives no row; ``require_company`` tells it from a company without lists.
     """
     if symbol is not None:
         companies, documents, pros_cons = (
             df.filter(F.col("symbol") == symbol) for df in (companies, documents, pros_cons)
         )
-    lists = {
-        "documents": _nested(documents, DOCUMENT_FIELDS, "documents", part_rows),
-        "pros_cons": _nested(pros_cons, REMARK_FIELDS, "pros_cons", part_rows),
-    }
-    return with_lists(companies, lists)
+    lists = {"documents": (documents, DOCUMENT_FIELDS), "pros_cons": (pros_cons, REMARK_FIELDS)}
+    return Detail(companies, _lists_of(companies, lists, part_rows))
 
 
-def with_lists(companies: DataFrame, lists: Mapping[str, DataFrame]) -> DataFrame:
-    """Each company's parts: one at least, more where one of its lists has more.
-
-    Every company brings a part 0 of its own, so that the join with the companies is an inner one,
-    where Spark can split a company with very many parts.
-    """
-    first = companies.select("symbol", F.lit(0).cast("bigint").alias("part"))
-    parts = reduce(
-        lambda a, b: a.join(b, ["symbol", "part"], "full_outer"), [first, *lists.values()]
-    )
-    return companies.join(parts, "symbol").select(
-        *companies.columns,
-        "part",
-        *[F.coalesce(F.col(name), F.array()).alias(name) for name in lists],
-    )
-
-
-def _nested(df: DataFrame, fields: Sequence[str], name: str, part_rows: int) -> DataFrame:
-    return nest_children(df, "symbol", fields, [F.col(f) for f in fields], name, part_rows)
+def _lists_of(
+    companies: DataFrame,
+    lists: Mapping[str, tuple[DataFrame, Sequence[str]]],
+    part_rows: int,
+) -> DataFrame:
+    nested = nest_children(lists, "symbol", part_rows)
+    return nested.join(companies.select("symbol"), "symbol", "left_semi")
 
 
 def snapshot(
@@ -255,11 +280,12 @@ def snapshot(
     labels: DataFrame,
     symbol: str | None = None,
     part_rows: int = PART_ROWS,
-) -> DataFrame:
+) -> Detail:
     """Every company, or one by symbol in any case, with its latest statements and score.
 
-    What a company lacks is null, lists are empty. Rows as in ``company_detail``: one per
-    company, and further parts for very long lists.
+    ``companies`` of the result has one row per company: symbol, the company, and each latest
+    statement and score as a struct, null where there is none. ``lists`` holds its documents,
+    remarks and growth figures.
     """
     if symbol is not None:
         symbol = symbol.upper()
@@ -274,16 +300,12 @@ def snapshot(
     figures = with_company_name(analysis, companies)
     # The period leads, so that the list sorts by it.
     columns = ["period_label", *[c for c in figures.columns if c not in ("symbol", "period_label")]]
-    detail = with_lists(
-        companies,
-        {
-            "documents": _nested(documents, DOCUMENT_FIELDS, "documents", part_rows),
-            "pros_cons": _nested(pros_cons, REMARK_FIELDS, "pros_cons", part_rows),
-            "analysis": _nested(figures, columns, "analysis", part_rows),
-        },
-    )
-    company = F.struct(*companies.columns, "documents", "pros_cons")
-    result = detail.select("symbol", "part", company.alias("company"), "analysis")
+    lists = {
+        "documents": (documents, DOCUMENT_FIELDS),
+        "pros_cons": (pros_cons, REMARK_FIELDS),
+        "analysis": (figures, columns),
+    }
+    result = companies.select("symbol", F.struct(*companies.columns).alias("company"))
     for name, fact in {
         "latest_profit_loss": profit_loss,
         "latest_balance_sheet": balance_sheet,
@@ -296,10 +318,34 @@ def snapshot(
             "symbol", F.struct(*fields, "company_name").alias(name)
         )
         result = result.join(row, "symbol", "left")
-    newest = latest_per_entity(scores, "symbol", "computed_at")
+    # Runs at the same moment: the better score, then the other columns.
+    others = [F.col(c).desc_nulls_last() for c in scores.columns if c not in ("symbol", "computed_at")]
+    newest = latest_per_entity(scores, "symbol", "computed_at", others)
     named = with_label_name(newest.join(names, "symbol"), labels)
     score = named.select("symbol", F.struct(*named.columns).alias("latest_ml_score"))
-    return result.join(score, "symbol", "left")
+    return Detail(
+        result.join(score, "symbol", "left"), _lists_of(companies, lists, part_rows)
+    )
+
+
+def detail_json(detail: Detail) -> DataFrame:
+    """(symbol, list, part, document): each company, and each part of its lists, as JSON text.
+
+    ``list`` and ``part`` are null for the company itself.
+    """
+    own = as_json(detail.companies, keep=["symbol"]).select(
+        "symbol",
+        F.lit(None).cast("string").alias("list"),
+        F.lit(None).cast("bigint").alias("part"),
+        "document",
+    )
+    arrays = [c for c in detail.lists.columns if c not in ("symbol", "list", "part")]
+    texts = [
+        F.when(F.col("list") == name, F.to_json(money_as_text(detail.lists, name), JSON_OPTIONS))
+        for name in arrays
+    ]
+    parts = detail.lists.select("symbol", "list", "part", F.coalesce(*texts).alias("document"))
+    return own.unionByName(parts)
 
 
 def wide_financials(

@@ -105,7 +105,8 @@ TABLES: dict[str, Table] = {
             "sort_order": "int",
         },
         required=("year_id", "year_label", "is_ttm", "is_half_year", "sort_order"),
-        conflict=("year_id",),
+        # Ids are positions and differ between batches; the label is what a period is known by.
+        conflict=("year_label",),
         unique=(("year_id",), ("year_label",)),
         defaults={"is_ttm": False, "is_half_year": False},
     ),

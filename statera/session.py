@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 
@@ -23,19 +25,33 @@ _local_folders: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a folder of its own.
+    Only a session whose executors are threads of the driver (``local``, ``local[n]``) may leave it
+    out; it gets a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="statera-")
     return _local_folders[context.applicationId]
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed beside the driver's Python.
+
+    On a cluster the package is installed, or sent with ``addPyFile``; this adds the driver's own
+    path to what workers search.
+    """
+    own = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    searched = spark.sparkContext.environment
+    known = searched.get("PYTHONPATH", "")
+    if own not in known.split(os.pathsep):
+        searched["PYTHONPATH"] = os.pathsep.join(part for part in (own, known) if part)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

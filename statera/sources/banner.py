@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statera.functions.cleaning import none_if_token
@@ -36,7 +36,17 @@ def read_banner_table(
             same = same & (F.coalesce(F.col(slot), F.lit("")) == cell)
         return same
 
-    body = cells.filter(~equals(banner_cells) & ~equals(header_cells)).select(
+    # A data row may look like one of the two lines, so only one such row of a file goes.
+    line = F.when(equals(header_cells), 1).when(equals(banner_cells), 0)
+    marked = cells.withColumns({"__line": line, "__file": F.col("_metadata.file_path")})
+    of_line = Window.partitionBy("__file", "__line").orderBy("__line")
+    lines = 2 if banner_cells == header_cells else 1
+    look_alikes = marked.filter("__line is not null").withColumn(
+        "__n", F.row_number().over(of_line)
+    )
+    data = marked.filter("__line is null").select(*slots)
+    data = data.unionByName(look_alikes.filter(F.col("__n") > lines).select(*slots))
+    body = data.select(
         *[
             none_if_token(F.col(slot)).alias(name.strip().lower() or f"unnamed_{i}")
             for i, (slot, name) in enumerate(zip(slots, header_cells))

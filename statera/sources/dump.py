@@ -24,6 +24,21 @@ def _mask_escapes(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\\\"), F.lit(BACKSLASH)), F.lit("\\'"), F.lit(QUOTE))
 
 
+def _without_comments(text: Column) -> Column:
+    """Drop comments outside strings; escapes are masked already, so quotes pair up."""
+    return F.regexp_replace(text, r"(?s)('[^']*+')|--(?=\s|$)[^\n]*+|#[^\n]*+|/\*.*?\*/", "$1")
+
+
+def _whole(text: Column) -> Column:
+    """The text, unless one of its strings is still open at the end: then the job fails.
+
+    This happens where a string holds the statements' terminator.
+    """
+    quotes = F.length(text) - F.length(F.replace(text, F.lit("'"), F.lit("")))
+    said = F.concat(F.lit("a string does not end in: "), F.substring(text, 1, 200))
+    return F.when(quotes % 2 == 1, F.raise_error(said)).otherwise(text)
+
+
 def _mask_quoted(text: Column) -> Column:
     """Mask what would cut a statement, in every second piece between quotes."""
 
@@ -52,18 +67,28 @@ def _value(cell: Column) -> Column:
     return F.when(F.upper(text) != "NULL", text)
 
 
+def find_terminator(spark: SparkSession, path: str) -> str:
+    """What ends a statement: a semicolon and the line end that the first line has."""
+    first = spark.read.text(path, lineSep="\n").limit(1).collect()
+    return ";\r\n" if first and first[0].value.endswith("\r") else ";\n"
+
+
 def read_rows(
-    spark: SparkSession, path: str, tables: Sequence[str], terminator: str = ";\n"
+    spark: SparkSession, path: str, tables: Sequence[str], terminator: str | None = None
 ) -> DataFrame:
     """One row per row inserted into ``tables``: table name and a map from column to text.
 
-    The file is cut at ``terminator``, so that tasks share it; a statement is one record. Records
-    without a statement for the tables are left out before anything is cut up.
+    The file is cut at ``terminator`` (by default a semicolon and the file's line end), so that
+    tasks share it; a statement is one record. Records without a statement for the tables are left
+    out before anything is cut up. Comments go. The job fails, rather than lose rows, where a
+    statement ends inside a string or has no row.
     """
     names = "|".join(tables)
     wanted = F.col("value").rlike(rf"(?i)INSERT\s+INTO\s+`?(?:{names})`?\s*\(")
-    records = spark.read.text(path, lineSep=terminator).filter(wanted).select(
-        F.explode(F.split(_mask_quoted(_mask_escapes(F.col("value"))), ";")).alias("statement")
+    lines = spark.read.text(path, lineSep=terminator or find_terminator(spark, path))
+    bare = _whole(_without_comments(_mask_escapes(F.col("value"))))
+    records = lines.filter(wanted).select(
+        F.explode(F.split(_mask_quoted(bare), ";")).alias("statement")
     )
     statements = records.filter(F.col("statement").rlike(HEAD)).select(
         F.lower(F.regexp_extract("statement", HEAD, 1)).alias("table"),
@@ -71,10 +96,13 @@ def read_rows(
             F.split(F.regexp_extract("statement", HEAD, 2), ","),
             lambda name: F.lower(F.btrim(strip_space(name), F.lit("`"))),
         ).alias("names"),
-        F.regexp_extract("statement", HEAD, 3).alias("rows"),
+        F.regexp_extract_all(F.regexp_extract("statement", HEAD, 3), F.lit(ROW), 1).alias("rows"),
+        "statement",
     )
+    said = F.concat(F.lit("no row in: "), F.substring("statement", 1, 200))
+    found = F.when(F.size("rows") == 0, F.raise_error(said)).otherwise(F.col("rows"))
     rows = statements.filter(F.col("table").isin(*tables)).select(
-        "table", "names", F.explode(F.regexp_extract_all("rows", F.lit(ROW), 1)).alias("row")
+        "table", "names", F.explode(found).alias("row")
     )
     return rows.select(
         "table",
@@ -86,21 +114,30 @@ def read_dump(
     spark: SparkSession,
     path: str,
     tables: dict[str, Sequence[str]],
-    terminator: str = ";\n",
+    terminator: str | None = None,
 ) -> dict[str, DataFrame]:
     """All-string tables from a dump: ``tables`` names each table's columns.
 
     Batches of a table are put together; a column that a batch lacks is null there. For several
-    tables the dump is read once and its rows are stored by table.
+    tables the dump is read once and stored, each table in a folder and columns of its own.
     """
     rows = read_rows(spark, path, [table.lower() for table in tables], terminator)
-    if len(tables) > 1:
-        folder = scratch_path(spark, "dump")
-        rows.write.partitionBy("table").parquet(folder)
-        rows = spark.read.schema(rows.schema).parquet(folder)
+
+    def cells(columns: Sequence[str]) -> list[Column]:
+        return [F.try_element_at("cells", F.lit(name.lower())).alias(name) for name in columns]
+
+    if len(tables) == 1:
+        ((table, columns),) = tables.items()
+        return {table.lower(): rows.select(*cells(columns))}
+    owned = [
+        F.when(F.col("table") == table.lower(), F.struct(*cells(columns))).alias(f"t{i}")
+        for i, (table, columns) in enumerate(tables.items())
+    ]
+    folder = scratch_path(spark, "dump")
+    wide = rows.select("table", *owned)
+    wide.write.partitionBy("table").parquet(folder)
+    kept = spark.read.schema(wide.schema).parquet(folder)
     return {
-        table.lower(): rows.filter(F.col("table") == table.lower()).select(
-            *[F.try_element_at("cells", F.lit(name.lower())).alias(name) for name in columns]
-        )
-        for table, columns in tables.items()
+        table.lower(): kept.filter(F.col("table") == table.lower()).select(f"t{i}.*")
+        for i, table in enumerate(tables)
     }

@@ -37,22 +37,24 @@ def tidy(df: DataFrame, ordinal: bool) -> DataFrame:
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, multiline: bool = True, ordinal: bool = False
+    spark: SparkSession, path: str, multiline: bool = False, ordinal: bool = False
 ) -> DataFrame:
     """All-string table from CSV with headers.
 
-    Quoted line breaks need ``multiline``, which reads a file in one task; switch it off for
-    large files without them, so that Spark can split the files. ``ordinal`` adds the reading
-    order of rows.
+    Spark splits large files. Quoted line breaks need ``multiline``, which reads a file in one
+    task. ``ordinal`` adds the reading order of rows.
     """
     reader = spark.read.options(**CSV_OPTIONS, header=True, inferSchema=False, multiLine=multiline)
     return tidy(reader.csv(path), ordinal)
 
 
 def read_clean_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
 ) -> DataFrame:
-    """Typed table from CSV; columns are matched by header name, NaN and blanks are null."""
+    """Typed table from CSV; columns are matched by header name, NaN and blanks are null.
+
+    Whole numbers may be written as 2011.0; the job fails on one with a fraction.
+    """
     raw = read_raw_csv(spark, path, multiline)
     typed = []
     for field in schema.fields:
@@ -60,14 +62,20 @@ def read_clean_csv(
             continue
         cell = F.col(field.name)
         if isinstance(field.dataType, T.IntegralType):
-            # Whole numbers may be written as 2011.0.
-            cell = strip_space(cell).cast("double")
+            cell = _whole_number(strip_space(cell))
         elif not isinstance(field.dataType, T.StringType):
             cell = strip_space(cell)
         typed.append(cell.cast(field.dataType).alias(field.name))
     return raw.select(*typed)
 
 
+def _whole_number(text: Column) -> Column:
+    """A number of up to 32 digits before the point, by way of decimals, which keep them all."""
+    number = text.cast("decimal(38,6)")
+    said = F.concat(F.lit("not a whole number: "), text)
+    return F.when(number != F.floor(number), F.raise_error(said)).otherwise(number)
+
+
 def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
     """The table, or None where its file does not exist."""
     try:

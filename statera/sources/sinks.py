@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -45,6 +46,20 @@ def conform(
     return full.select(*checked, *carry)
 
 
+def refuse_reading(folder: str, tables: Mapping[str, DataFrame]) -> None:
+    """Raise where a table to be read lies below a folder that is about to be overwritten."""
+    own = _place(folder)
+    for name, df in tables.items():
+        if any(_place(path).startswith(f"{own}/") for path in df.inputFiles()):
+            raise ValueError(f"{name} is read from {folder}, which this job writes")
+
+
+def _place(path: str) -> str:
+    """A path without scheme and doubled slashes, to compare paths by."""
+    bare = re.sub(r"^file:", "", path)
+    return re.sub(r"(?<!:)/+", "/", bare).rstrip("/")
+
+
 def write_tables(
     tables: Mapping[str, DataFrame], folder: str, format: str = "parquet", **options
 ) -> dict[str, int]:

@@ -145,6 +145,8 @@ def test_row_arithmetic(spark):
     cells = [F.col(c) for c in "abc"]
     got = rows.select(fn.row_mean(cells), fn.sum_null_as_zero(*cells)).collect()
     assert [tuple(r) for r in got] == [(2.0, 4.0), (None, 0.0)]
+    rows = spark.createDataFrame([(1.0, float("nan"), None)], "a double, b double, c double")
+    assert rows.select(fn.row_mean(cells)).first()[0] == 1.0
     assert one(spark, fn.round_half_even, 0.125, "double") == 0.12
     assert one(spark, fn.round_half_even, 0.375, "double") == 0.38
 

@@ -209,7 +209,7 @@ def test_order_and_pages(spark):
     for number in (1, 4, 10, 11):
         want = expected[(number - 1) * 10 : number * 10]
         assert [tuple(r) for r in op.page(df, order, number, 10).collect()] == want
-        assert [tuple(r) for r in op.page(df, order, number, 10, shallow_rows=0).collect()] == want
+        assert [tuple(r) for r in op.page_by_position(df, order, number, 10).collect()] == want
     default = op.ordered("secret", ["v"], ["-i"])
     assert op.page(df, default, 1, 1).first()["i"] == 99
 
@@ -217,7 +217,13 @@ def test_order_and_pages(spark):
 def test_nest_children_in_parts(spark):
     data = [("hot", f"{i:03}") for i in range(95)] + [("few", "b"), ("few", "a"), (None, "z")]
     df = spread(spark, data, "symbol string, text string")
-    got = op.nest_children(df, "symbol", ["text"], [F.col("text")], "texts", part_rows=10).collect()
+    other = spread(spark, [("few", 1, "x"), ("few", 0, "y")], "symbol string, n int, s string")
+    lists = {"texts": (df, ["text"]), "others": (other, ["n", "s"])}
+    got = op.nest_children(lists, "symbol", part_rows=10).collect()
+    others = [r for r in got if r["list"] == "others"]
+    assert [(r["symbol"], r["part"], r["texts"]) for r in others] == [("few", 0, None)]
+    assert [tuple(x) for x in others[0]["others"]] == [(0, "y"), (1, "x")]
+    got = [r for r in got if r["list"] == "texts"]
     parts = {(r["symbol"], r["part"]): [x["text"] for x in r["texts"]] for r in got}
     assert parts.pop(("few", 0)) == ["a", "b"]
     assert len(parts) == 10
@@ -229,7 +235,7 @@ def test_copies_share_out_between_parts(spark):
     """Many copies of one child are one row until they are written into bounded parts."""
     data = [("hot", "a")] * 3 + [("hot", "b")] * 57 + [("hot", "c"), ("hot", None)]
     df = spread(spark, data, "symbol string, text string")
-    got = op.nest_children(df, "symbol", ["text"], [F.col("text")], "texts", part_rows=10).collect()
+    got = op.nest_children({"texts": (df, ["text"])}, "symbol", part_rows=10).collect()
     parts = {r["part"]: [x["text"] for x in r["texts"]] for r in got}
     assert [len(parts[i]) for i in range(7)] == [10] * 6 + [2]
     joined = [text for i in range(7) for text in parts[i]]
@@ -248,26 +254,34 @@ def test_completion(spark):
 UPSERT_SCHEMA = "k int, a string, b string"
 
 
-@pytest.mark.parametrize("small", [0, 1000])
-def test_upsert_semantics(spark, small):
+def test_running_sums_of_any_weight(spark):
+    """Slices whose sum is negative, nothing or a fraction count like any other."""
+    for weights in ([-1.0] * 200, [0.5] * 200, [(-1.0) ** i for i in range(200)]):
+        data = [(i, w, "k") for i, w in enumerate(weights)] + [(200, None, "k"), (201, 2.0, "k")]
+        df = spread(spark, data, "i int, w double, k string")
+        got = op.ordered_position(df, [F.col("i")], ["k"], weight="w", name="before").collect()
+        expected = [sum(w or 0 for _, w, _ in data[:i]) for i in range(len(data))]
+        assert [r["before"] for r in sorted(got, key=lambda r: r["i"])] == expected
+
+
+def test_upsert_semantics(spark):
     target = spark.createDataFrame([(1, "x", "p"), (2, "y", "q"), (None, "n", "n")], UPSERT_SCHEMA)
     batch = spark.createDataFrame(
         [(2, "old", 1), (2, None, 2), (3, "z", 3), (None, "m", 4)], "k int, a string, i int"
     )
-    merged = op.upsert(target, batch, ["k"], [F.col("i")], small_batch_rows=small)
+    merged = op.upsert(target, batch, ["k"], [F.col("i")])
     same(merged, [(1, "x", "p"), (2, None, "q"), (3, "z", None), (None, "n", "n"), (None, "m", None)])
-    same(op.upsert(target, batch.filter("k > 5"), ["k"], [F.col("i")], small), [tuple(r) for r in target.collect()])
-    same(op.upsert(target.filter("k > 5"), target, ["k"], small_batch_rows=small), [tuple(r) for r in target.collect()])
+    same(op.upsert(target, batch.filter("k > 5"), ["k"], [F.col("i")]), [tuple(r) for r in target.collect()])
+    same(op.upsert(target.filter("k > 5"), target, ["k"]), [tuple(r) for r in target.collect()])
 
 
 def test_insert_if_absent(spark):
     target = spark.createDataFrame([("a", "1"), ("a", None)], "s string, l string")
     batch = spark.createDataFrame([("a", "1"), ("b", "1"), ("b", "1"), ("a", None)], "s string, l string")
-    for small in (0, 100):
-        same(
-            op.insert_if_absent(target, batch, ["s", "l"], small),
-            [("a", "1"), ("a", None), ("a", None), ("b", "1")],
-        )
+    same(
+        op.insert_if_absent(target, batch, ["s", "l"]),
+        [("a", "1"), ("a", None), ("a", None), ("b", "1")],
+    )
 
 
 keys = st.integers(0, 6)
@@ -275,15 +289,15 @@ batches = st.lists(st.tuples(keys, st.one_of(st.none(), st.sampled_from("xyz")))
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(batches, batches, st.sampled_from([0, 100]))
-def test_upsert_twice_is_upsert_once(spark, stored, incoming, small):
+@given(batches, batches)
+def test_upsert_twice_is_upsert_once(spark, stored, incoming):
     stored = list(dict(stored).items())
     target = spark.createDataFrame(stored, "k int, v string")
     batch = spark.createDataFrame(
         [(k, v, i) for i, (k, v) in enumerate(incoming)], "k int, v string, i int"
     )
-    once = op.upsert(target, batch, ["k"], [F.col("i")], small)
-    twice = op.upsert(once, batch, ["k"], [F.col("i")], small)
+    once = op.upsert(target, batch, ["k"], [F.col("i")])
+    twice = op.upsert(once, batch, ["k"], [F.col("i")])
     expected = {**dict(stored), **dict(incoming)}
     assert {r["k"]: r["v"] for r in once.collect()} == expected
     assert rows_of(twice) == rows_of(once)

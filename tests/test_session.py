@@ -5,6 +5,8 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as driver
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 from statera.session import scratch_path, shared_dir, stored
 
 
@@ -20,8 +22,9 @@ def test_the_named_folder_counts():
 
 
 def test_a_cluster_must_name_a_folder():
-    with pytest.raises(RuntimeError):
-        shared_dir(session("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(session(master))
 
 
 def test_a_local_session_gets_one_folder():
@@ -36,7 +39,9 @@ def test_stored_rows_come_back(spark):
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
 
 
 def test_entry(spark):

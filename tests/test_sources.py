@@ -21,7 +21,7 @@ from statera.sources import (
 def test_raw_csv(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(' ID ,Company_Name,x\n1,"two\nlines, ""quoted""",NULL\n2,Null,n/a\n3,"",NaN\n')
-    df = read_raw_csv(spark, str(path), ordinal=True)
+    df = read_raw_csv(spark, str(path), multiline=True, ordinal=True)
     assert df.columns == ["id", "company_name", "x", ORDINAL]
     rows = [tuple(r)[:3] for r in df.orderBy(ORDINAL).collect()]
     assert rows == [("1", 'two\nlines, "quoted"', None), ("2", None, None), ("3", None, None)]
@@ -48,6 +48,16 @@ def test_clean_csv(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(2011, "Mar 2011", False, 1.5), (None, "TTM", True, None)]
 
 
+def test_whole_numbers_keep_their_digits(spark, tmp_path):
+    path = tmp_path / "keys.csv"
+    path.write_text("k\n9007199254740993\n-12.0\n\" 7 \"\n")
+    rows = read_clean_csv(spark, str(path), T.StructType.fromDDL("k bigint")).collect()
+    assert [r["k"] for r in rows] == [9007199254740993, -12, 7]
+    path.write_text("k\n3.7\n")
+    with pytest.raises(Exception, match="not a whole number"):
+        read_clean_csv(spark, str(path), T.StructType.fromDDL("k int")).collect()
+
+
 def test_missing_file(spark, tmp_path):
     assert read_if_present(lambda: read_raw_csv(spark, str(tmp_path / "no.csv"))) is None
 
@@ -78,6 +88,30 @@ def test_dump(spark, tmp_path):
     assert got["none"].count() == 0
 
 
+def test_dump_with_comments_and_other_line_ends(spark, tmp_path):
+    path = tmp_path / "dump.sql"
+    path.write_bytes(
+        b"-- don't edit\r\n# nor \"this\"\r\nINSERT INTO t (a, b) VALUES -- it's\r\n('1', '-- #'),\r\n"
+        b"('2', '/* x */');\r\n/* isn't\r\n a row ; */ INSERT INTO t (a) VALUES ('3');\r\n"
+    )
+    rows = read_dump(spark, str(path), {"t": ["a", "b"]})["t"].collect()
+    assert sorted(map(tuple, rows)) == [("1", "-- #"), ("2", "/* x */"), ("3", None)]
+
+
+@pytest.mark.parametrize(
+    "text, said",
+    [
+        ("INSERT INTO t (a) VALUES ('1'), ('a;\nb'), ('3');\n", "does not end"),
+        ("INSERT INTO t (a) VALUES ;\n", "no row"),
+    ],
+)
+def test_dump_fails_rather_than_lose_rows(spark, tmp_path, text, said):
+    path = tmp_path / "dump.sql"
+    path.write_text(text)
+    with pytest.raises(Exception, match=said):
+        read_dump(spark, str(path), {"t": ["a"]})["t"].collect()
+
+
 def test_dump_with_a_long_text(spark, tmp_path):
     """A long value with many escapes must neither be cut nor overflow a matcher's stack."""
     text = "it\\'s (long), really; " * 20000
@@ -96,11 +130,17 @@ def test_banner_table(spark, tmp_path):
     assert sorted(map(tuple, df.collect()), key=str) == [("1", "a"), ("2", None), ("2", None), ("3", "c")]
 
 
+def test_banner_rows_further_down_stay(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("B,\nid,name\n1,a\nB,\nid,name\n2,b\n")
+    df = read_banner_table(spark, str(tmp_path))
+    assert sorted(map(tuple, df.collect()), key=str) == [("1", "a"), ("2", "b"), ("B", None), ("id", "name")]
+
+
 def test_write_tables_reports_rows(spark, tmp_path):
     df = spark.range(10).withColumn("t", F.lit('a "b"\nc'))
     assert write_tables({"a": df, "b": df.filter("id > 100")}, str(tmp_path)) == {"a": 10, "b": 0}
     write_tables({"c": df}, str(tmp_path), "csv")
-    back = read_raw_csv(spark, str(tmp_path / "c"))
+    back = read_raw_csv(spark, str(tmp_path / "c"), multiline=True)
     assert back.count() == 10 and back.first()["t"] == 'a "b"\nc'
 
 
