@@ -52,6 +52,12 @@ def money_text(total: Column, places: int) -> Column:
     return F.format_number(total / 10**places, places)
 
 
+def reading_place() -> Column:
+    """Where a statement's row stands in its file: files are in order of company and month."""
+    months = F.year("month") * 12 + F.month("month")
+    return (F.col("o_custkey") * 100_000 + months).alias(ORDINAL)
+
+
 def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         symbol_text("c_custkey").alias("id"),
@@ -96,6 +102,7 @@ def raw_balance_sheet(spark: SparkSession, sf: str) -> DataFrame:
         .select(
             symbol_text("o_custkey").alias("company_id"),
             period_text("month").alias("year"),
+            reading_place(),
             *[
                 money_text(F.col(name), 2).alias(name)
                 for name in (
@@ -140,6 +147,7 @@ def raw_profit_loss(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select(
         symbol_text("o_custkey").alias("company_id"),
         period_text("month").alias("year"),
+        reading_place(),
         money_text(F.col("sales"), 4).alias("sales"),
         money_text(F.col("expenses"), 4).alias("expenses"),
         money_text(operating, 4).alias("operating_profit"),
@@ -165,6 +173,7 @@ def raw_cash_flow(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select(
         symbol_text("o_custkey").alias("company_id"),
         period_text("month").alias("year"),
+        reading_place(),
         money_text(F.col("operating"), 2).alias("operating_activity"),
         money_text(F.col("investing"), 4).alias("investing_activity"),
         money_text(F.col("financing"), 4).alias("financing_activity"),
@@ -188,6 +197,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf: str, keep: bool = False):
         def fact(df: DataFrame) -> DataFrame:
+            df = df.drop(ORDINAL)
             return stored(df) if keep else df
 
         # Two small tables that every fact is joined with.
@@ -207,7 +217,7 @@ class Warehouse:
         )
         self.cash_flow = conform.normalize_cash_flow(
             raw_cash_flow(spark, sf), self.years, self.profit_loss, periods
-        )
+        ).drop(ORDINAL)
 
 
 def raw_analysis(spark: SparkSession, sf: str, ordinal: bool = False) -> DataFrame:

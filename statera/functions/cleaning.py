@@ -7,13 +7,19 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statera.fixed_values import NULL_TOKENS, SYMBOL_ALIASES
+from statera.fixed_values import (
+    BUCKET_YEARS,
+    LINE_BREAK,
+    NULL_TOKENS,
+    SIGNED,
+    SLUG_BREAK,
+    SYMBOL_ALIASES,
+)
 
 # Characters that Python's str.strip() removes and that occur in practice.
 SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2003\u3000"
 
 NUMBER = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
-SIGNED = r"([-+]?\d+(?:\.\d+)?)"
 
 
 def strip_space(text: Column) -> Column:
@@ -45,12 +51,12 @@ def normalize_symbol(text: Column, aliases: Mapping[str, str] = SYMBOL_ALIASES)
 
 def clean_text(text: Column) -> Column:
     """Line breaks become one space, outer white space goes; null stays null."""
-    return strip_space(F.regexp_replace(text, r"[\r\n]+", " "))
+    return strip_space(F.regexp_replace(text, LINE_BREAK, " "))
 
 
 def code_slug(text: Column) -> Column:
     """Upper-case code of letters, digits and single underscores."""
-    return F.btrim(F.regexp_replace(F.upper(text), "[^A-Z0-9]+", "_"), F.lit("_"))
+    return F.btrim(F.regexp_replace(F.upper(text), SLUG_BREAK, "_"), F.lit("_"))
 
 
 def first_number(text: Column) -> Column:
@@ -65,7 +71,7 @@ def percent_value(text: Column) -> Column:
 
 def period_bucket(text: Column) -> Column:
     """``10Y``, ``5Y``, ``3Y`` or ``TTM`` from a remark such as ``5 Years: 14%``."""
-    years = F.regexp_extract(text, r"(?i)(10|5|3)\s*years?", 1)
+    years = F.regexp_extract(text, BUCKET_YEARS, 1)
     return F.when(F.upper(text).contains("TTM"), F.lit("TTM")).when(
         years != "", F.concat(years, F.lit("Y"))
     )

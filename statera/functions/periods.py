@@ -8,12 +8,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statera.fixed_values import MONTH_ORDER, MONTH_QUARTER, OTHER_MONTH_ORDER, TTM_SORT_ORDER
+from statera.fixed_values import (
+    BARE_YEAR,
+    MONTH_ORDER,
+    MONTH_QUARTER,
+    MONTH_YEAR,
+    OTHER_MONTH_ORDER,
+    TTM_SORT_ORDER,
+)
 from statera.functions.cleaning import strip_space
 
-MONTH_YEAR = r"^[A-Za-z]{3}[-\s]?\d{2,4}"
-BARE_YEAR = r"^\d{4}(\.5)?$"
-
 PERIOD_FIELDS = (
     "year_label",
     "fiscal_year",

@@ -7,10 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statera.fixed_values import ITEM_BREAK
 from statera.functions.cleaning import strip_space
 
-ITEM_BREAK = r"\r?\n|;|[|]"
-
 
 def split_to_rows(
     df: DataFrame,

@@ -7,7 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statera.fixed_values import DEFAULT_SECTOR, SECTORS
+from statera.fixed_values import (
+    BALANCE_SHEET_HEADERS,
+    COMPANY_HEADERS,
+    DEFAULT_SECTOR,
+    DOCUMENT_HEADERS,
+    PROFIT_LOSS_HEADERS,
+    SECTORS,
+    SYMBOL_NAMES,
+)
 from statera.functions import (
     book_value_per_share,
     clean_text,
@@ -39,8 +47,6 @@ from statera.session import scratch_path, stored
 from statera.sources.files import ORDINAL, read_if_present, read_raw_csv
 from statera.sources.sinks import refuse_reading, write_tables
 
-SYMBOL_NAMES = ("company_id", "symbol", "ticker")
-
 # Raw tables; True where text cells may hold quoted line breaks. The statement tables are the
 # large ones and hold numbers only, so Spark may split their files.
 RAW_TABLES = {
@@ -193,19 +199,7 @@ def normalize_companies(
 ) -> tuple[DataFrame, DataFrame]:
     """Company dimension, one row per symbol, and the sector of each symbol."""
     sectors = sectors if sectors is not None else sector_table(df.sparkSession)
-    df = rename_all(
-        df,
-        {
-            "symbol": ["company_id", "symbol", "ticker", "id"],
-            "company_name": ["company_name", "name"],
-            "company_logo": ["company_logo", "logo", "company_logo_url"],
-            "nse_url": ["nse_url", "nse_profile", "nse_link"],
-            "bse_url": ["bse_url", "bse_profile", "bse_link"],
-            "about_company": ["about_company", "about"],
-            "roce": ["roce", "roce_pct", "roce_percentage"],
-            "roe": ["roe", "roe_pct", "roe_percentage"],
-        },
-    )
+    df = rename_all(df, COMPANY_HEADERS)
     df = cleaned(
         df,
         ["face_value", "book_value", "roce", "roe"],
@@ -220,9 +214,7 @@ def normalize_companies(
 def normalize_balance_sheet(
     df: DataFrame, dim_year: DataFrame, companies: DataFrame, labels: DataFrame | None = None
 ) -> DataFrame:
-    df = rename_all(
-        df, {"symbol": SYMBOL_NAMES, "other_assets": ["other_assets", "other_asset"]}
-    )
+    df = rename_all(df, BALANCE_SHEET_HEADERS)
     money = [c for c, kind in TABLES["fact_balance_sheet"].columns.items() if kind == MONEY]
     df = attach_year_id(cleaned(df, money), dim_year, labels=labels)
     df = first_per_period(df)
@@ -249,15 +241,7 @@ def normalize_profit_loss(
     balance_sheet: DataFrame | None = None,
     labels: DataFrame | None = None,
 ) -> DataFrame:
-    df = rename_all(
-        df,
-        {
-            "symbol": SYMBOL_NAMES,
-            "opm_pct": ["opm_pct", "opm_percentage"],
-            "tax_pct": ["tax_pct", "tax_percentage"],
-            "dividend_payout_pct": ["dividend_payout_pct", "dividend_payout"],
-        },
-    )
+    df = rename_all(df, PROFIT_LOSS_HEADERS)
     given = [c for c in TABLES["fact_profit_loss"].columns if c not in ("symbol", "year_id")]
     df = attach_year_id(cleaned(df, given), dim_year, labels=labels)
     df = with_other_fact(first_per_period(df), balance_sheet, "total_assets")
@@ -358,15 +342,7 @@ def normalize_pros_cons(df: DataFrame) -> DataFrame:
 
 
 def normalize_documents(df: DataFrame) -> DataFrame:
-    df = cleaned(
-        rename_all(
-            df,
-            {
-                "symbol": SYMBOL_NAMES,
-                "document_url": ["document_url", "annual_report_url", "annual_report", "url"],
-            },
-        )
-    )
+    df = cleaned(rename_all(df, DOCUMENT_HEADERS))
     if "year" in df.columns:
         df = df.withColumn("year_label", parse_period(F.col("year"))["year_label"])
     elif "year_label" not in df.columns:

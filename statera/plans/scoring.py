@@ -7,22 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statera.fixed_values import SCORES
 from statera.functions import health_label, round_half_even, row_mean
 from statera.operators import bounded_scores, latest_per_entity
 from statera.session import scratch_path, stored
 from statera.sources.sinks import write_tables
 
-# Score: (metric, is higher better).
-SCORES = {
-    "profitability_score": ("net_profit_margin_pct", True),
-    "growth_score": ("asset_turnover", True),
-    "leverage_score": ("debt_to_equity", False),
-    "cashflow_score": ("free_cash_flow", True),
-    "dividend_score": ("dividend_payout_pct", True),
-    "trend_score": ("return_on_assets", True),
-}
-
-
 def latest_facts(
     profit_loss: DataFrame,
     balance_sheet: DataFrame,

@@ -9,6 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statera.fixed_values import (
+    ANALYSIS,
+    BALANCE_SHEET,
+    CASH_FLOW,
+    COMPANIES,
+    COMPANY_FIELDS,
+    DOCUMENT_FIELDS,
+    FILTER_NAMES,
+    Listing,
+    PROFIT_LOSS,
+    REMARK_FIELDS,
+    SCORE_LIST,
+    SEARCH_FIELDS,
+)
 from statera.operators import (
     latest_coalesced,
     latest_per_entity,
@@ -28,70 +42,6 @@ class Page(NamedTuple):
     count: DataFrame
 
 
-class Listing(NamedTuple):
-    """What a list may be filtered and ordered by."""
-
-    filters: Sequence[str]
-    orderings: Sequence[str]
-    default: Sequence[str]
-    unique: Sequence[str]
-
-
-COMPANY_FIELDS = (
-    "symbol",
-    "company_name",
-    "sector",
-    "sub_sector",
-    "website",
-    "company_logo",
-    "face_value",
-    "book_value",
-    "roce",
-    "roe",
-)
-SEARCH_FIELDS = ("symbol", "company_name", "sector", "sub_sector")
-COMPANIES = Listing(
-    (), ("symbol", "company_name", "sector", "roce", "roe", "book_value"), ("symbol",), ("symbol",)
-)
-BY_PERIOD = ("symbol", "sort_order")
-PROFIT_LOSS = Listing(
-    ("symbol", "year_id"),
-    ("sort_order", "sales", "net_profit", "eps", "net_profit_margin_pct"),
-    BY_PERIOD,
-    ("symbol", "year_id"),
-)
-BALANCE_SHEET = Listing(
-    ("symbol", "year_id"),
-    ("sort_order", "total_assets", "borrowings", "debt_to_equity"),
-    BY_PERIOD,
-    ("symbol", "year_id"),
-)
-CASH_FLOW = Listing(
-    ("symbol", "year_id"),
-    ("sort_order", "operating_activity", "free_cash_flow", "cash_conversion_ratio"),
-    BY_PERIOD,
-    ("symbol", "year_id"),
-)
-ANALYSIS = Listing(
-    ("symbol", "period_label"),
-    ("period_label", "compounded_sales_growth_pct", "compounded_profit_growth_pct"),
-    ("symbol", "period_label"),
-    ("symbol", "period_label"),
-)
-SCORE_LIST = Listing(
-    ("symbol", "health_label_id"),
-    ("computed_at", "overall_score", "profitability_score", "growth_score"),
-    ("-computed_at",),
-    ("symbol", "computed_at"),
-)
-
-# Other names under which a request may filter.
-FILTER_NAMES = {"year": "year_id", "health_label": "health_label_id"}
-
-DOCUMENT_FIELDS = ("year_label", "document_url")
-REMARK_FIELDS = ("is_pro", "category", "text", "source", "confidence", "generated_at")
-
-
 def _listed(
     df: DataFrame,
     listing: Listing,

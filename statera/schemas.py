@@ -60,6 +60,7 @@ GROWTH = "decimal(10,2)"
 TO_COMPANY = ForeignKey("symbol", "dim_company", "symbol")
 TO_YEAR = ForeignKey("year_id", "dim_year", "year_id")
 
+# Columns, types, keys and references of the warehouse.
 # In load order: a table comes after those it refers to.
 TABLES: dict[str, Table] = {
     "dim_sector": Table(

@@ -52,9 +52,28 @@ def share_package(spark: SparkSession) -> None:
         searched["PYTHONPATH"] = os.pathsep.join(part for part in (own, known) if part)
 
 
+_runs: dict[str, str] = {}
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that all hand-over tables of this session go to."""
+    application = spark.sparkContext.applicationId
+    if application not in _runs:
+        _runs[application] = f"{shared_dir(spark)}/statera-{application}-{uuid.uuid4().hex[:8]}"
+    return _runs[application]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the session's folder."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Delete the session's hand-over tables; results that read them must be done with."""
+    folder = _runs.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -1,7 +1,5 @@
 """Column functions on hand-written rows."""
 
-import re
-
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,30 +51,37 @@ def test_with_period_equals_parse_period(spark):
     assert {labels[r["i"]]: tuple(r)[1:] for r in staged.collect()} == PERIODS
 
 
-def brute_period(text):
-    """The label rules once more, in plain Python."""
-    text = text.strip()
-    if not text:
-        return None
-    if text.upper() == "TTM":
-        return "TTM"
-    if re.fullmatch(r"[0-9]{4}\.5", text):
-        return f"Sep {int(text[:4])}"
-    month = re.match(r"([A-Za-z]{3})[- ]?([0-9]{2,4})", text)
-    if month:
-        year = int(month.group(2))
-        return f"{month.group(1).capitalize()} {year + 2000 if year < 100 else year}"
-    if re.fullmatch("[0-9]{4}", text):
-        return f"Mar {int(text)}"
-    return text
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+QUARTERS = {"Mar": ("Q4", 4), "Jun": ("Q1", 1), "Sep": ("Q2", 2), "Dec": ("Q3", 3)}
+
+
+@st.composite
+def labelled_periods(draw):
+    """A label in one of the ways to write a known month and year, and what it must give."""
+    month, year = draw(st.sampled_from(MONTHS)), draw(st.integers(2000, 2099))
+    half, way = False, draw(st.sampled_from(["month", "short", "bare", "half year", "half"]))
+    if way == "bare":
+        month, text = "Mar", f"{year}"
+    elif way == "half year":
+        month, text = "Sep", f"{year}.5"
+    else:
+        spelt = draw(st.sampled_from([month, month.upper(), month.lower()]))
+        shown = f"{year % 100:02}" if way == "short" else f"{year}"
+        text = spelt + draw(st.sampled_from(["", " ", "-"])) + shown
+        if way == "half":
+            text, half = f"{text} half", month in ("Sep", "Mar")
+    quarter, place = QUARTERS.get(month, (None, 9))
+    space = draw(st.sampled_from(["", " ", "\t"]))
+    expected = (f"{month} {year}", year, quarter, False, half, year * 10 + place)
+    return space + text + space, expected
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.from_regex(r"\A *([A-Za-z]{2,4}[- ]?)?[0-9]{0,5}(\.5)?( half)?\Z"), max_size=60))
-def test_period_labels_against_plain_rules(spark, labels):
-    rows = spark.createDataFrame([(label,) for label in labels], "y string")
-    got = rows.select("y", fn.parse_period(F.col("y"))["year_label"].alias("label")).collect()
-    assert [r["label"] for r in got] == [brute_period(r["y"]) for r in got]
+@given(st.lists(labelled_periods(), min_size=1, max_size=60))
+def test_labels_of_known_periods(spark, periods):
+    rows = spark.createDataFrame([(i, label) for i, (label, _) in enumerate(periods)], "i int, y string")
+    got = rows.select("i", fn.parse_period(F.col("y")).alias("p")).collect()
+    assert {r["i"]: tuple(r["p"]) for r in got} == {i: p for i, (_, p) in enumerate(periods)}
 
 
 def one(spark, expression, value, kind="string"):

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as driver
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
-from statera.session import scratch_path, shared_dir, stored
+from statera.session import clear_stored, scratch_path, shared_dir, stored
 
 
 def session(master, folder=None):
@@ -38,6 +38,15 @@ def test_stored_rows_come_back(spark):
     assert sorted(map(tuple, df.collect())) == [(i, None) for i in range(5)]
 
 
+def test_clearing_removes_the_sessions_tables(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    clear_stored(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert stored(spark.range(2)).count() == 2
+
+
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
     assert QUERIES.keys() <= driver.queries().keys()
