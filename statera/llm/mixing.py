@@ -30,7 +30,7 @@ def source_targets(
     ranked = Window.orderBy(F.col(source_col).asc_nulls_last())
     turn = F.array(*[F.lit(w) for w in weights])[(F.row_number().over(ranked) - 1) % len(weights)]
     weighed = totals.withColumn("__weight", turn)
-    # Sources that fill up first come first; exact comparison needs whole numbers only by source.
+    # Sources that fill up first come first.
     filling = Window.orderBy(
         (F.col(size_col).cast("double") / F.col("__weight")), F.col(source_col).asc_nulls_last()
     )
@@ -41,13 +41,11 @@ def source_targets(
     level = (F.sum(size_col).over(everything) - most * full_before).cast("double") / (
         F.sum("__weight").over(everything) - weight_before
     )
-    levelled = weighed.withColumn("__level", level)
+    levelled = weighed.withColumns({"__level": level, "__place": F.row_number().over(filling)})
     # The first source that does not fill up sets the level.
     short = F.col("__level") * F.col("__weight") <= F.col(size_col) * most
-    levelled = levelled.withColumn(
-        "__level", F.min(F.when(short, F.struct(F.col(size_col) / F.col("__weight"), "__level")))
-        .over(everything)["__level"]
-    )
+    first = F.min(F.when(short, F.struct("__place", "__level"))).over(everything)
+    levelled = levelled.withColumn("__level", first["__level"])
     target = F.least(
         (most * F.col(size_col)).cast("double"),
         F.coalesce(F.col("__level") * F.col("__weight"), (most * F.col(size_col)).cast("double")),
@@ -146,9 +144,16 @@ def copies(
 
 
 def emit(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents of the mix, each as often as its copies say; ids must be unique."""
-    wanted = mixed.filter(F.col("copies") > 0).select(F.col(id_col).alias("__id"), "copies")
-    repeated = docs.join(wanted, F.col(id_col).eqNullSafe(F.col("__id")))
-    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        *docs.columns
+    """The documents of the mix, each as often as its copies say.
+
+    Rows that share an id are all emitted as often as the one of them with most copies.
+    """
+    wanted = (
+        mixed.filter(F.col("copies") > 0)
+        .groupBy(F.col(id_col).alias("__id"))
+        .agg(F.max("copies").alias("__copies"))
     )
+    repeated = docs.join(wanted, F.col(id_col).eqNullSafe(F.col("__id")))
+    return repeated.withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))
+    ).select(*docs.columns)

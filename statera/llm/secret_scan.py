@@ -114,14 +114,19 @@ def train(samples: DataFrame, smoothing: float = 1.0) -> RandomStringModel:
         for r in counted.filter(F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$")).collect()
     }
     k = len(ALPHABET)
-    ratios = []
-    for a in ALPHABET:
-        seen = {r: [counts.get((r, a + b), 0) + smoothing for b in ALPHABET] for r in (True, False)}
-        for i in range(k):
-            ratios.append(
-                math.log(seen[True][i] / sum(seen[True]))
-                - math.log(seen[False][i] / sum(seen[False]))
-            )
+
+    def log_chances(label: bool) -> list[float]:
+        """Of each second character after each first, drawn towards the characters' own shares."""
+        seen = [[counts.get((label, a + b), 0) for b in ALPHABET] for a in ALPHABET]
+        shares = [sum(row[i] for row in seen) + smoothing for i in range(k)]
+        whole = sum(shares)
+        return [
+            math.log((row[i] + smoothing * k * shares[i] / whole) / (sum(row) + smoothing * k))
+            for row in seen
+            for i in range(k)
+        ]
+
+    ratios = [a - b for a, b in zip(log_chances(True), log_chances(False), strict=True)]
     return RandomStringModel(tuple(ratios))
 
 
@@ -191,8 +196,9 @@ def corpus_model(docs: DataFrame, text_col: str = "text") -> RandomStringModel:
     return train(labelled_samples(docs, text_col))
 
 
-def joined(spans: Column) -> Column:
+def joined(spans: Column | str) -> Column:
     """Spans as text: kind:start:end, comma-joined."""
+    spans = F.col(spans) if isinstance(spans, str) else spans
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
     )
