@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space that parts words: space and U+0009 to U+000D, nothing else.
@@ -60,3 +60,20 @@ def match_spans(text: Column, pattern: str) -> Column:
         lambda found: bound(F.split(text, pattern), lambda parts: walk(found, parts)),
     )
     return F.when(text.rlike(pattern), spans).otherwise(none)
+
+
+def most_frequent(counts: DataFrame, size: int, n: str = "n") -> DataFrame:
+    """The rows with the greatest counts, ``size`` at most; rows that tie at the end stay out.
+
+    How many rows have each count tells the least count that still fits; the window sees one row
+    per distinct count. So no task, and not the driver, gets more than the result.
+    """
+    sizes = counts.groupBy(n).agg(F.count(F.lit(1)).alias("__rows"))
+    so_far = F.sum("__rows").over(Window.orderBy(F.desc(n)))
+    least = (
+        sizes.withColumn("__so_far", so_far)
+        .filter(F.col("__so_far") <= size)
+        .agg(F.min(n).alias("least"))
+        .first()["least"]
+    )
+    return counts.filter(F.col(n) >= least) if least is not None else counts.limit(0)
