@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statera.llm.common import most_frequent
+from statera.session import stored
+
 #: A pre-token of the table has at most so many bytes, so the table has a bound in bytes.
 TABLE_BYTES_EACH = 32
 
@@ -80,10 +83,9 @@ def frequent_pre_tokens(
         .mapInArrow(summarised, "part binary, n bigint")
         .groupBy("part")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "part")
-        .limit(size)
     )
-    return [bytes(row["part"]) for row in found.select("part").collect()]
+    summary = stored(found, "pre-tokens")
+    return [bytes(row["part"]) for row in most_frequent(summary, size).select("part").collect()]
 
 
 def count_tokens(
