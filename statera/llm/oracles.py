@@ -16,6 +16,7 @@ WITH sized AS (
   FROM totals
 ), filling AS (
   SELECT *,
+    row_number() OVER (ORDER BY source_size::DOUBLE / w, source NULLS LAST) AS place,
     coalesce(sum(source_size) OVER earlier, 0) AS full_before,
     coalesce(sum(w) OVER earlier, 0) AS w_before
   FROM weighed
@@ -27,7 +28,7 @@ WITH sized AS (
       / ((SELECT sum(w) FROM weighed) - w_before)::DOUBLE AS level
   FROM filling
 ), chosen AS (
-  SELECT arg_min(level, source_size::DOUBLE / w) AS level
+  SELECT arg_min(level, place) AS level
   FROM levels WHERE level * w <= source_size * 3
 ), targets AS (
   SELECT source, source_size,
