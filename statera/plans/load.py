@@ -22,7 +22,7 @@ from statera.operators import (
 )
 from statera.schemas import TABLES
 from statera.sources.files import ORDINAL
-from statera.sources.sinks import conform, refuse_reading, write_tables
+from statera.sources.sinks import conform, laid_out, refuse_reading, write_tables
 
 QUALITY_CHECKS = {
     "orphan_profit_loss": ("fact_profit_loss", "symbol", "dim_company"),
@@ -216,6 +216,8 @@ def load_warehouse(
 ) -> Load:
     """Merge a batch of clean tables into the stored warehouse and write what changes to ``out``.
 
+    Tables are written in the order of their key, for reads by symbol and period.
+
     Tables without a batch stay where they lie and are not written again. Periods are merged by
     their label and numbered anew; where that moves stored ids, the facts that hold them are
     written with the new ones. Facts of the batch go by their ``year_label``, or by the
@@ -233,7 +235,8 @@ def load_warehouse(
     tables: dict[str, DataFrame] = {}
 
     def write(name: str, df: DataFrame, what: str) -> None:
-        status[name] = f"{what}, {write_tables({name: df}, out)[name]} rows"
+        rows = write_tables({name: laid_out(df, name)}, out)[name]
+        status[name] = f"{what}, {rows} rows"
         tables[name] = spark.read.parquet(f"{out}/{name}")
 
     for name in TABLES:

@@ -60,6 +60,17 @@ def _place(path: str) -> str:
     return re.sub(r"(?<!:)/+", "/", bare).rstrip("/")
 
 
+def laid_out(df: DataFrame, table: str | Table) -> DataFrame:
+    """Rows in the order of the table's key, a range of keys per file.
+
+    A read of one symbol or of a few periods then opens few files and skips most of their blocks,
+    by the least and greatest values that Parquet keeps. A key with many rows is spread, because
+    the whole key is what ranges are made of.
+    """
+    key = list((TABLES[table] if isinstance(table, str) else table).conflict)
+    return df.repartitionByRange(*key).sortWithinPartitions(*key)
+
+
 def write_tables(
     tables: Mapping[str, DataFrame], folder: str, format: str = "parquet", **options
 ) -> dict[str, int]:

@@ -264,6 +264,11 @@ def house(spark, clean, tmp_path_factory):
     return tables, incoming
 
 
+def test_tables_are_laid_out_by_key(house):
+    rows = [tuple(r)[:2] for r in house[0]["fact_profit_loss"].select("symbol", "year_id").collect()]
+    assert rows == sorted(rows)
+
+
 def test_load_is_idempotent(spark, house, tmp_path):
     stored, incoming = house
     again = load.load_warehouse(spark, incoming, str(tmp_path), stored).tables
