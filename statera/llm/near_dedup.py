@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statera.llm.common import bound
 from statera.llm.shingles import WordHashes, lowered_words, mixed, shingle_set
 from statera.session import stored
 
@@ -22,8 +23,11 @@ CHUNKS, SLOTS, ERRORS = 6, 4, 1
 #: Every pair at this distance or less meets in a bucket.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 CHUNK_COLUMNS = [f"__c{i}" for i in range(CHUNKS)]
+#: Two alike sets share one of their rarest few shingles; so many times as many are looked at, which
+#: tells most sets apart that are only somewhat alike.
+DEPTH = 2
 #: Members of a block of a bucket; pairs of blocks are compared apart.
-BLOCK = 256
+BLOCK = 1024
 
 
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,17 +116,34 @@ def _bucket_keys() -> Column:
     return F.array(*keys)
 
 
+def _wrong(left: str, right: str, column: str) -> Column:
+    """A bit for each value of a chunk that differs, the lowest of the value's sixteen."""
+    x = F.col(f"{left}.{column}").bitwiseXOR(F.col(f"{right}.{column}"))
+    for step in (8, 4, 2, 1):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, step))
+    return x.bitwiseAND(F.lit(0x0001000100010001))
+
+
 def _distance(left: str, right: str) -> Column:
     """In how many values two signatures differ."""
     total = F.lit(0)
     for column in CHUNK_COLUMNS:
-        x = F.col(f"{left}.{column}").bitwiseXOR(F.col(f"{right}.{column}"))
-        for step in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
+        total = total + F.bit_count(_wrong(left, right, column))
     return total
 
 
+def _first_bucket(left: str, right: str, key: Column) -> Column:
+    """Whether ``key`` is the first of all keys that two signatures share, so a pair counts once."""
+    first = F.lit(None).cast("bigint")
+    for i, column in reversed(list(enumerate(CHUNK_COLUMNS))):
+        wrong = _wrong(left, right, column)
+        choice = F.when(wrong == 0, i * SLOTS)
+        for k in range(SLOTS):
+            choice = choice.when(wrong == 1 << 16 * (SLOTS - 1 - k), i * SLOTS + k)
+        first = F.coalesce(choice, first)
+    return F.shiftrightunsigned(key, 48) == first
+
+
 def _may_link(left: str, right: str, percent: int) -> Column:
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (
@@ -185,8 +206,8 @@ def near_duplicates(
     Equal sets are one node from the start, however many documents hold them. Buckets never give
     all their pairs: first every member is compared with one hub of its bucket, ``star_rounds``
     times, and confirmed links make components. Only pairs of different components that are left
-    are then compared, in pairs of blocks of a bucket, so the outcome is the same as if all pairs
-    had been. Texts are read twice, the second time only those of nodes that share a bucket.
+    are then compared, in pairs of blocks of a bucket, and of these only those are confirmed that
+    their rarest shingles allow; so the outcome is the same as if all pairs had been. Texts are read twice, the second time only those of nodes that share a bucket.
 
     Null texts and texts without words have an empty set and are linked with nothing. Shorter
     texts are one shingle. Repeated rows are copies of each other. The component of rows whose ids
@@ -250,7 +271,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, percent: int, star_rounds: int) -
         if turn < star_rounds:
             pairs = _star_pairs(members, sharing, turn, percent)
         else:
-            pairs = _rest_pairs(members, sharing, percent)
+            pairs = _rest_pairs(members, sharing, _rarest(members, sets, percent), percent)
         confirmed = stored(_confirmed(pairs, sets, percent), "confirmed")
         if not confirmed.isEmpty():
             links = confirmed if links is None else links.union(confirmed)
@@ -320,31 +341,73 @@ def _star_pairs(members: DataFrame, sharing: DataFrame, turn: int, percent: int)
     )
 
 
-def _rest_pairs(members: DataFrame, sharing: DataFrame, percent: int) -> DataFrame:
+def _rarest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, rare): the rarest shingles of each member, ``DEPTH`` times as many as two alike sets
+    cannot both miss. Sorted by how many members hold them, then by hash: one order for all sets.
+    """
+    nodes = members.select("node").distinct()
+    cells = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("s"))
+    held = cells.groupBy("s").agg(F.count(F.lit(1)).alias("held"))
+    ordered = F.sort_array(F.collect_list(F.struct("held", "s")))
+    n = F.count(F.lit(1))
+    most = (DEPTH * (n - F.ceil(n * percent / 100) + 1)).cast("int")
+    return stored(
+        cells.join(held, "s")
+        .groupBy("node")
+        .agg(F.slice(ordered, 1, most)["s"].alias("rare")),
+        "rare",
+    )
+
+
+def _may_overlap(left: str, right: str, percent: int) -> Column:
+    """Whether two sets can have enough in common, by their rarest shingles.
+
+    Behind the last rare shingle that both have, they share no more than what the shorter rest
+    holds; without a common one they cannot be alike.
+    """
+    a, b = F.col(f"{left}.rare"), F.col(f"{right}.rare")
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+
+    def enough(common: Column) -> Column:
+        last = F.element_at(common, -1)
+        rest = F.least(n - F.array_position(a, last), m - F.array_position(b, last))
+        return (F.size(common) > 0) & (
+            (100 + percent) * (F.size(common) + rest) >= percent * (n + m)
+        )
+
+    return bound(F.array_intersect(a, b), lambda c: F.when(F.size(c) > 0, enough(c)).otherwise(False))
+
+
+def _rest_pairs(
+    members: DataFrame, sharing: DataFrame, rarest: DataFrame, percent: int
+) -> DataFrame:
     """The pairs of a bucket whose members are still in different components.
 
     A bucket's members are dealt to blocks, and every two blocks meet in a group of their own; of
-    a group only the pairs within the signature distance come out.
+    a group only the pairs come out that are within the signature distance and can overlap enough.
     """
     blocks = F.ceil(F.col("members") / F.lit(BLOCK))
-    full = members.select("key", "node", "root", blocks.alias("blocks")).join(
-        sharing.select("node", "n", *CHUNK_COLUMNS), "node"
+    full = (
+        members.select("key", "node", "root", blocks.alias("blocks"))
+        .join(sharing.select("node", "n", *CHUNK_COLUMNS), "node")
+        .join(rarest, "node")
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = full.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     )
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    dealt = dealt.select("key", low.alias("x"), high.alias("y"), "own", "node", "root", "n", *CHUNK_COLUMNS)
+    dealt = dealt.select(
+        "key", low.alias("x"), high.alias("y"), "own", "node", "root", "n", "rare", *CHUNK_COLUMNS
+    )
     left, right = dealt.alias("l"), dealt.alias("r")
     meet = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "x", "y")]
     apart = (F.col("l.node") < F.col("r.node")) & (F.col("l.root") != F.col("r.root"))
     once = (F.col("l.x") == F.col("l.y")) | (F.col("l.own") != F.col("r.own"))
-    return (
-        left.join(right, [*meet, apart & once & _may_link("l", "r", percent)])
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-        .distinct()
-    )
+    alike = _may_link("l", "r", percent) & _first_bucket("l", "r", F.col("l.key"))
+    return left.join(
+        right, [*meet, apart & once & alike & _may_overlap("l", "r", percent)]
+    ).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
