@@ -138,3 +138,34 @@ SELECT page_id, host, path, rule, CASE
     ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+ORACLES["op10_near_dedup"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s
+  FROM split
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
