@@ -1,7 +1,7 @@
 """A hashed maximum-entropy language model with a softmax factored by classes.
 
-A token is predicted from the one before it, from the two before it together, and from the second
-before it alone, skipping what is between. Hashed features choose rows of two tables;
+A token is predicted from the tokens one, two and three before it: from each alone (the latter two
+skip what is between) and from the last two together. Hashed features choose rows of two tables;
 a token's class is the softmax of the summed rows of the first, its place in the class that of the
 second, whose rows depend on the class too. The ``HEAD`` most frequent words have classes of
 ``WIDTH``, in order of frequency; all others form one class, in which a word's share is its count.
@@ -23,12 +23,12 @@ from statera.llm.common import most_frequent
 from statera.llm.shingles import lowered_words, mixed
 from statera.session import stored
 
-WIDTH, CLASSES = 32, 32
+WIDTH, CLASSES = 32, 64
 HEAD = WIDTH * CLASSES
 #: Words whose counts every task knows; counts of the others come by a join.
 KNOWN = 131_072
 CLASS_ROWS, PLACE_ROWS = 1 << 13, 1 << 14
-FEATURES = 3
+FEATURES = 4
 #: Floats of a table that travel in one row.
 PART = 1024
 #: Tokens that are stepped through together.
@@ -154,14 +154,14 @@ class Model:
 
     @staticmethod
     def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens, hashed features): every token with its features, texts in a row."""
+        """(tokens, hashed features): every token with its four features, texts in a row."""
         lengths = np.array([len(text) for text in texts], np.int64)
-        padded = np.full(lengths.sum() + 2 * len(texts), BEGIN, np.int64)
-        at = np.arange(lengths.sum()) + np.repeat(2 * np.arange(1, len(texts) + 1), lengths)
+        padded = np.full(lengths.sum() + 3 * len(texts), BEGIN, np.int64)
+        at = np.arange(lengths.sum()) + np.repeat(3 * np.arange(1, len(texts) + 1), lengths)
         tokens = np.concatenate(texts)
         padded[at] = np.maximum(tokens, RARE)
-        one, two = ((padded[at - k] + 3).astype(np.uint64) for k in (1, 2))
-        hashed = np.stack([one, one * np.uint64(1 << 20) + two, two])
+        one, two, three = ((padded[at - k] + 3).astype(np.uint64) for k in (1, 2, 3))
+        hashed = np.stack([one, one * np.uint64(1 << 20) + two, two, three])
         tags = (np.arange(1, FEATURES + 1, dtype=np.uint64) << np.uint64(56))[:, None]
         return tokens, mixed(hashed ^ tags)
 
@@ -216,14 +216,13 @@ class Model:
             error = self._softmax(self.by_class, zero, rows)
             error[np.arange(len(error)), of_class] -= 1
             head = np.flatnonzero(of_class < CLASSES)
-            self.by_class[0] -= rate / len(error) * error.sum(axis=0)
-            self._step(self.by_class, rows, error, seen.by_class, rate)
+            self._step(self.by_class, np.concatenate([zero[None], rows]), error, seen.by_class, rate)
             if len(head):
                 own = of_class[head]
                 rows = self.place_rows(hashed[:, part][:, head], own)
                 error = self._softmax(self.by_place, own, rows)
                 error[np.arange(len(error)), tokens[part][head] % WIDTH] -= 1
-                self._step(self.by_place, rows, error, seen.by_place, rate)
+                self._step(self.by_place, np.concatenate([own[None], rows]), error, seen.by_place, rate)
 
     @staticmethod
     def _step(table, rows, error, seen, rate):

@@ -93,3 +93,45 @@ def test_frequency_model_is_the_unigram_model():
     whole = counts[: lm.HEAD].sum() + corpus.tail()
     expected = np.log10(counts[[0, 5, lm.HEAD - 1]] / whole)
     assert model.log10(seen, hashed) == pytest.approx(expected, abs=1e-4)
+
+
+def counted(texts):
+    """The counts of some texts, and the ranks of their words."""
+    counts = Counter(w for text in texts for w in tokens(text))
+    best = sorted(counts, key=lambda w: (-counts[w], lm.word_code(w)))
+    codes = np.array([lm.word_code(w) for w in best])
+    n = np.array([counts[w] for w in best], np.int64)
+    return lm.Corpus(int(n.sum()), len(n), codes, n)
+
+
+def test_third_word_before_tells_the_next():
+    """Where only the third word before says which one comes, the model learns it."""
+    chance = random.Random(5)
+    texts = []
+    for _ in range(400):
+        own = [f"w{chance.randrange(20)}" for _ in range(3)]
+        while len(own) < 40:
+            own.append(own[-3] if len(own) % 4 == 3 else f"w{chance.randrange(20)}")
+        texts.append(" ".join(own))
+    corpus = counted(texts)
+    ranks, model = lm.Ranks(corpus), lm.Model.of_counts(corpus)
+    coded = [ranks.of(text) for text in texts]
+    seen = lm.Seen()
+    for _ in range(8):
+        model.learn(*model.contexts(coded[:320]), seen, 0.3)
+    held = coded[320:]
+    got = model.log10(*model.contexts(held)).reshape(len(held), -1)
+    base = lm.Model.of_counts(corpus).log10(*lm.Model.contexts(held)).reshape(len(held), -1)
+    told = [i for i in range(3, 40) if i % 4 == 3]
+    assert got[:, told].sum() > 0.8 * base[:, told].sum()  # both are below 0
+
+
+def test_rows_of_places_without_context_learn_too():
+    texts = ["a b a c a d"] * 50
+    corpus = counted(texts)
+    model = lm.Model.of_counts(corpus)
+    first = model.by_place[: lm.CLASSES].copy()
+    model.learn(*model.contexts([lm.Ranks(corpus).of(text) for text in texts[:10]]), lm.Seen(), 0.3)
+    skewed = [np.zeros(40, np.int64)]
+    model.learn(*model.contexts(skewed), lm.Seen(), 0.3)
+    assert (model.by_place[0] != first[0]).any()
