@@ -133,3 +133,20 @@ def test_index_finds_every_pair_within_the_distance(spark):
 def test_components(spark, pairs, roots):
     links = spark.createDataFrame(pairs, "a bigint, b bigint")
     assert {r["node"]: r["root"] for r in nd.components(links).collect()} == roots
+
+
+def edited_pair(seed, n, edits):
+    words = [f"s{seed}x{i}" for i in range(n)]
+    copy = [f"e{seed}x{i}" if i in edits else word for i, word in enumerate(words)]
+    return " ".join(words), " ".join(copy)
+
+
+@pytest.mark.parametrize("star_rounds", [2, 0])
+def test_pairs_with_distant_signatures_are_linked(spark, star_rounds):
+    """Alike sets that meet in a bucket are linked, though most values of their signatures differ."""
+    texts = [text for seed in (11513, 33453) for text in edited_pair(seed, 66, {20})]
+    signed = [nd.signature(shingle_set(lowered_words(text), WordHashes())) for text in texts]
+    values = [chunks.view(np.uint16) for chunks in signed]
+    differ = [int((values[i] != values[i + 1]).sum()) for i in (0, 2)]
+    assert min(differ) > nd.DISTANCE
+    check(spark, [(i, text, None, None) for i, text in enumerate(texts)], star_rounds=star_rounds)
