@@ -32,8 +32,14 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    return near_dedup.one_of_each(docs, near_dedup.near_duplicates(docs))
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Rows are told apart by a key of their own, so null and repeated ids keep every row that is not
+    a near copy of another.
+    """
+    keyed = near_dedup.keyed_rows(docs, "__key")
+    found = near_dedup.near_duplicates(keyed, id_col="__key")
+    return near_dedup.one_of_each(keyed, found, id_col="__key").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

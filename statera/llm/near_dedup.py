@@ -424,9 +424,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def keyed_rows(docs: DataFrame, key: str, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` as a written table, with a key for every row: in order of the id, null ids last."""
+    own = F.struct(
+        F.col(id_col).isNull().alias("none"),
+        F.col(id_col).alias("id"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return stored(docs.withColumn(key, own), "keyed")
+
+
 def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, one for each id."""
+    """The rows of ``docs`` that ``near_duplicates`` keeps, one for each id.
+
+    Where ids are null or repeated, use the key of ``keyed_rows`` as the id in both calls.
+    """
     kept = found.filter("kept").select(F.col(id_col).alias("__id")).distinct()
     rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
     of_id = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
-    return rows.withColumn("__row", F.row_number().over(of_id)).filter("__row = 1").drop("__row")
+    return rows.withColumn("__nth", F.row_number().over(of_id)).filter("__nth = 1").drop("__nth")

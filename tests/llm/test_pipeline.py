@@ -49,3 +49,19 @@ def test_stages_of_no_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_rows_without_an_id_and_with_repeated_ids_stay(spark):
+    """Only near copies go, whatever the ids; the copy with the smallest id is the one that stays."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    near = lambda name: text(name) + " more"
+    rows = [(None, text(name), None, None) for name in "abcd"]
+    rows += [(None, near("a"), None, None), (None, None, None, None), (None, None, None, None)]
+    rows += [(5, text("e"), None, None), (5, text("f"), None, None), (5, near("f"), None, None)]
+    rows += [(3, near("g"), None, None), (5, text("g"), None, None), (None, text("g"), None, None)]
+    docs = frame(spark, rows, clash=True)
+    kept = corpus_pipeline.deduplicate(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), (r["text"] or "")[:1]) for r in kept.collect())
+    expected = [("None", x) for x in ("", "", "a", "b", "c", "d")] + [("5", "e"), ("5", "f"), ("3", "g")]
+    assert got == sorted(expected)
