@@ -13,6 +13,7 @@ from statera.llm import (
     language_model,
     mixing,
     near_dedup,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -118,3 +119,11 @@ def op7_language_model(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
     return language_model.model_scores(docs, ~held_out).withColumn("held_out", held_out)
+
+
+@query
+def op11_periodic_runs(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    repeated = periodic_runs.with_repeats(F.col("text"), F.col("doc_id"))
+    runs = periodic_runs.find_runs(docs.withColumn("text", repeated))
+    return runs.select("doc_id", *periodic_runs.digests())
