@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -77,3 +80,14 @@ def most_frequent(counts: DataFrame, size: int, n: str = "n") -> DataFrame:
         .first()["least"]
     )
     return counts.filter(F.col(n) >= least) if least is not None else counts.limit(0)
+
+
+def byte_groups(batch: pa.RecordBatch, text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in turn, ``most`` bytes of the text column together, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+    ends, begin = np.cumsum(sizes.to_numpy(), dtype=np.int64), 0
+    while begin < len(ends):
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end

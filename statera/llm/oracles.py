@@ -169,3 +169,37 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || doc_id) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n,
+    ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS one,
+    ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS two,
+    CASE
+      WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm'
+      ELSE 'psm' END AS form
+  FROM units
+), parts AS (
+  SELECT *,
+    array_to_string(u[1:least(one, two)], '') AS prefix,
+    array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS middle,
+    array_to_string(u[greatest(one, two) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form
+    WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statera.llm.common import bound, words
+from statera.llm.common import bound, byte_groups, words
 
 # A perfect difference set; every remainder but 0 is a difference of two of them.
 MODULUS = 31
@@ -264,8 +264,7 @@ def find_runs(
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
-            for part in _groups(batch, sizes):
+            for part in byte_groups(batch, 1, TOGETHER):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *_of_texts(part.column(1), least)],
                     names=[id_col, "runs", "collapsed"],
@@ -278,16 +277,6 @@ def find_runs(
     )
 
 
-def _groups(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch, ``TOGETHER`` bytes at a time, one row at least."""
-    ends, begin = np.cumsum(sizes, dtype=np.int64), 0
-    while begin < len(ends):
-        before = int(ends[begin - 1]) if begin else 0
-        end = max(begin + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
-        yield batch.slice(begin, end - begin)
-        begin = end
-
-
 def with_repeats(text: Column, key: Column) -> Column:
     """``text`` with a periodic tail where the hash of ``key`` says so, for planting known runs.
 

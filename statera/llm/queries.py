@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statera.llm import (
+    byte_pairs,
+    fill_in_middle,
     fingerprints,
     language_model,
     mixing,
@@ -127,3 +129,25 @@ def op11_periodic_runs(spark, sf):
     repeated = periodic_runs.with_repeats(F.col("text"), F.col("doc_id"))
     runs = periodic_runs.find_runs(docs.withColumn("text", repeated))
     return runs.select("doc_id", *periodic_runs.digests())
+
+
+@query
+def op13_fill_in_middle(spark, sf):
+    cut = fill_in_middle.fill_in_middle(documents(spark, sf))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op12_byte_pairs(spark, sf):
+    model = public_tokenizers.path("byte_bpe_50k.json")
+    coded = byte_pairs.encode_bytes(documents(spark, sf), model)
+    return coded.select("doc_id", *byte_pairs.digests())

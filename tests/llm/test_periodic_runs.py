@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from statera.llm import periodic_runs
+from statera.llm.common import byte_groups
 from statera.llm.periodic_runs import CommonPrefixes, digests, find_runs, runs_of, with_repeats
 from tests.llm.helpers import ROWS, frame, words
 
@@ -108,13 +109,11 @@ PERIODIC = [
 ]
 
 
-def test_texts_laid_in_small_groups(monkeypatch):
+def test_texts_laid_in_small_groups():
     texts = pa.array([row[1] for row in (*ROWS, *PERIODIC)], pa.string())
     batch = pa.RecordBatch.from_arrays([texts], names=["text"])
     whole = periodic_runs._of_texts(texts, 12)
-    monkeypatch.setattr(periodic_runs, "TOGETHER", 60)
-    sizes = np.array([len((row[1] or "").encode()) for row in (*ROWS, *PERIODIC)])
-    parts = [periodic_runs._of_texts(g.column(0), 12) for g in periodic_runs._groups(batch, sizes)]
+    parts = [periodic_runs._of_texts(g.column(0), 12) for g in byte_groups(batch, 0, 60)]
     assert len(parts) > 5
     for k in (0, 1):
         assert [x for part in parts for x in part[k].to_pylist()] == whole[k].to_pylist()
