@@ -12,6 +12,8 @@ import functools
 import hashlib
 import heapq
 import json
+import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from itertools import chain
@@ -31,7 +33,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Words of the transducer have at most so many bytes, words merged together at most so many.
 LEXICON_BYTES, SHORT = 32, 64
 #: Bytes of text that are encoded together, one text at least.
-TOGETHER = 1 << 20
+TOGETHER = 4 << 20
 _NONE = np.int64(1 << 40)
 
 
@@ -50,16 +52,16 @@ class Lexicon:
         n_arcs, n_states, n_words, n_ids, self.root = buffer[:40].view(np.int64).tolist()
         at = 40
 
-        def array(kind, size):
+        def taken(kind, size):
             nonlocal at
             own = buffer[at : at + size * np.dtype(kind).itemsize].view(kind)
             at += -(-own.nbytes // 8) * 8
             return own
 
-        self.arcs = array(np.int64, n_arcs)
-        self.targets, self.outputs = array(np.int32, n_arcs), array(np.int32, n_arcs)
-        self.accepts = array(np.uint8, n_states)
-        self.starts, self.ids = array(np.int32, n_words + 1), array(np.int32, n_ids)
+        self.arcs = taken(np.int64, n_arcs)
+        self.targets, self.outputs = taken(np.int32, n_arcs), taken(np.int32, n_arcs)
+        self.accepts = taken(np.uint8, n_states)
+        self.starts, self.ids = taken(np.int32, n_words + 1), taken(np.int32, n_ids)
 
     @classmethod
     def mapped(cls, path: str) -> Lexicon:
@@ -87,8 +89,8 @@ class Lexicon:
             live = live[sizes[live] > at]
         return np.where(~dead & (self.accepts[state] == 1), number, -1)
 
-    def ids_of(self, number: int) -> list[int]:
-        return self.ids[self.starts[number] : self.starts[number + 1]].tolist()
+    def ids_of(self, number: int) -> bytes:
+        return self.ids[self.starts[number] : self.starts[number + 1]].tobytes()
 
 
 def compile_lexicon(words: Mapping[bytes, Sequence[int]]) -> bytes:
@@ -155,6 +157,7 @@ class Merges:
         vocab = told["model"]["vocab"]
         coded = {token: bytes(bytes_of[c] for c in token) for token in vocab}
         self.added = {token["content"]: token["id"] for token in told["added_tokens"]}
+        self.added_ids = {token: np.array([own], np.int32).tobytes() for token, own in self.added.items()}
         size = max([*vocab.values(), *self.added.values()]) + 1
         #: The bytes that each id stands for.
         self.bytes = [b""] * size
@@ -180,10 +183,7 @@ class Merges:
         for (a, b), (rank, _) in self.rules.items():
             if made.get(a, -1) >= rank or made.get(b, -1) >= rank:
                 self.in_order = False
-        keys = np.array([a << 32 | b for a, b in self.rules], np.int64)
-        order = np.argsort(keys)
-        ranks = np.array([rank for rank, _ in self.rules.values()], np.int64)
-        self.keys, self.ranks = keys[order], ranks[order]
+        self._hash_rules()
         self.merged = np.zeros(len(pairs) + 1, np.int64)
         for rank, own in self.rules.values():
             self.merged[rank] = own
@@ -213,10 +213,40 @@ class Merges:
         if not plain:
             raise ValueError("not a plain byte-level BPE tokenizer")
 
+    def _hash_rules(self) -> None:
+        """Keys and ranks of pairs in slots; a pair lies within ``reach`` slots of its own."""
+        bits = max(4, (4 * len(self.rules)).bit_length())
+        self.shift, self.reach = np.uint64(64 - bits), 1
+        self.keys = np.full((1 << bits) + len(self.rules), -1, np.int64)
+        self.ranks = np.full(len(self.keys), _NONE)
+        pairs = np.array([a << 32 | b for a, b in self.rules], np.int64)
+        slots = self._slots(pairs).tolist()
+        for key, slot, (rank, _) in zip(pairs.tolist(), slots, self.rules.values(), strict=True):
+            at = slot
+            while self.keys[at] >= 0:
+                at += 1
+            self.keys[at], self.ranks[at] = key, rank
+            self.reach = max(self.reach, at - slot + 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> self.shift).astype(np.intp)
+
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a << 32 | b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], _NONE)
+        slot = self._slots(key)
+        found = self.keys[slot]
+        ranks = np.where(found == key, self.ranks[slot], _NONE)
+        # Others stand further on, as long as slots are taken.
+        left = np.flatnonzero((found != key) & (found >= 0))
+        for step in range(1, self.reach):
+            if not len(left):
+                break
+            found = self.keys[slot[left] + step]
+            hit = found == key[left]
+            ranks[left[hit]] = self.ranks[slot[left[hit]] + step]
+            left = left[~hit & (found >= 0)]
+        return ranks
 
     def merge_long(self, word: bytes) -> list[int]:
         """The ids of one word: always the least rule, at its first place."""
@@ -301,80 +331,139 @@ def merges(path: str) -> Merges:
 
 
 class Codec:
-    """Encodes texts: from a bounded cache, the transducer, or by merging."""
+    """Encodes texts: from bounded caches, the transducer, or by merging.
 
-    def __init__(self, rules: Merges, lexicon: Lexicon, most: int = 300_000):
-        self.rules, self.lexicon, self.most = rules, lexicon, most
-        self.known: dict[str, list[int]] = {}
+    A text may be cut before a space that stands behind anything but white space: no word goes on
+    there, and the space belongs to the next one. Ids of such parts are kept, as bytes, so most
+    texts are a split and a join; parts that are not known are parted into words.
+    """
 
-    def _learn(self, words: set[str]) -> None:
-        """Take in the ids of words that are not known."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = [word for word in words if word not in self.known]
+    def __init__(self, rules: Merges, lexicon: Lexicon, most: int = 400_000):
+        self.rules, self.lexicon, self.most = rules, lexicon, most
+        #: Ids of words, and of parts behind a space and at the beginning of a text.
+        self.words: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
+
+    def _learn_words(self, words: set[str]) -> None:
+        if len(self.words) > self.most:
+            self.words.clear()
+        new = [word for word in words if word not in self.words]
         coded = [word.encode("utf-8", "surrogatepass") for word in new]
         numbers = self.lexicon.find([word[: LEXICON_BYTES + 1] for word in coded]).tolist()
         unseen = [i for i, number in enumerate(numbers) if number < 0]
         for word, number in zip(new, numbers, strict=True):
             if number >= 0:
-                self.known[word] = self.lexicon.ids_of(number)
-        for i, ids in zip(unseen, self.rules.merge([coded[i] for i in unseen]), strict=True):
-            self.known[new[i]] = ids
+                self.words[word] = self.lexicon.ids_of(number)
+        merged = self.rules.merge([coded[i] for i in unseen])
+        for i, ids in zip(unseen, merged, strict=True):
+            self.words[new[i]] = array("i", ids).tobytes()
+
+    def _learn_parts(self, known: dict[str, bytes], parts: set[str], lead: str) -> dict[str, list[str]]:
+        """The words of the parts that are not known."""
+        if len(known) > self.most:
+            known.clear()
+        split = self.rules.split.findall
+        return {part: split(lead + part) for part in parts if part not in known}
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        rules, added = self.rules, self.rules.added
-        parted, marked = [], set()
+        rules = self.rules
+        cut: list[list[tuple[list[str], list[str]] | bytes]] = []
         for text in texts:
-            if any(mark in text for mark in added):
-                parts = []
-                for part in rules.marks.split(text):
-                    parts += [part] if part in added else rules.split.findall(part)
-                marked.update(added)
+            if any(mark in text for mark in rules.added):
+                pieces = rules.marks.split(text)
             else:
-                parts = rules.split.findall(text)
-            parted.append(parts)
-        self._learn(set(chain.from_iterable(parted)) - marked)
-        self.known.update({mark: [own] for mark, own in added.items()})
-        of = self.known.__getitem__
-        out = [np.fromiter(chain.from_iterable(map(of, parts)), np.int32) for parts in parted]
-        for word in [word for word in self.known if len(word) > SHORT]:
-            del self.known[word]
+                pieces = [text]
+            cut.append(
+                [rules.added_ids[p] if p in rules.added_ids else parts_of(p) for p in pieces if p]
+            )
+        pairs = [pair for own in cut for pair in own if not isinstance(pair, bytes)]
+        new_first = self._learn_parts(self.first, {x for first, _ in pairs for x in first}, "")
+        new_spaced = self._learn_parts(self.spaced, set(chain.from_iterable(s for _, s in pairs)), " ")
+        self._learn_words(set(chain.from_iterable(chain(new_first.values(), new_spaced.values()))))
+        of = self.words.__getitem__
+        for known, new in ((self.first, new_first), (self.spaced, new_spaced)):
+            for part, words in new.items():
+                known[part] = b"".join(map(of, words))
+        out = []
+        for own in cut:
+            joined = bytearray()
+            for pair in own:
+                if isinstance(pair, bytes):
+                    joined += pair
+                else:
+                    first, spaced = pair
+                    for x in first:
+                        joined += self.first[x]
+                    joined += b"".join(map(self.spaced.__getitem__, spaced))
+            out.append(np.frombuffer(bytes(joined), np.int32))
+        self._forget_long(new_first, new_spaced)
         return out
 
+    def _forget_long(self, *learned: Mapping[str, list[str]]) -> None:
+        """Long parts and words do not recur, and would fill the caches."""
+        for known, new in zip((self.first, self.spaced), learned, strict=True):
+            for part, words in new.items():
+                if len(part) > SHORT:
+                    del known[part]
+                    for word in words:
+                        if len(word) > SHORT:
+                            self.words.pop(word, None)
+
+
+#: White space that is followed by a space, and places behind anything else with a space to come.
+_RUN, _CUT = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+
+
+def parts_of(text: str) -> tuple[list[str], list[str]]:
+    """(parts as they are, parts behind one space each) of a text, cut before spaces.
+
+    Of the first kind is what the text begins with.
+    """
+    if _RUN.search(text) is None:
+        first, *spaced = text.split(" ")
+        return [first], spaced
+    first, *parts = _CUT.split(text)
+    return [first], [part[1:] for part in parts]
+
 
 def frequent_words(
     docs: DataFrame, path: str, text_col: str = "text", size: int = 65_536, held: int = 200_000
 ) -> list[bytes]:
     """Words that are frequent in the whole column, ``size`` at most, of ``LEXICON_BYTES`` or less.
 
-    Every task counts its own with at most ``held`` counters, the rarer half making room when they
-    are full, and passes on its ``size // 8`` most frequent: a summary, not the words. What is
-    missed is merged instead, with the same ids.
+    Counted are the parts between spaces. Every task counts its own with at most ``held`` counters,
+    the rarer half making room when they are full, and passes on its ``size // 8`` most frequent: a
+    summary, not the parts. The words of the ``size`` most frequent of all are what is returned.
+    What is missed is merged instead, with the same ids.
     """
 
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = merges(path).split
-        counts: Counter[str] = Counter()
+        counts: Counter[bytes] = Counter()
         for batch in batches:
             for text in batch.column(0):
-                counts.update(split.findall(text.as_py() or ""))
+                counts.update((text.as_py() or "").encode("utf-8", "surrogatepass").split(b" ")[1:])
                 if len(counts) > held:
                     counts = Counter(dict(counts.most_common(held // 2)))
-        best = [(word.encode(), n) for word, n in counts.most_common(size // 8) if n > 1]
-        best = [(word, n) for word, n in best if len(word) <= LEXICON_BYTES]
+        best = [(part, n) for part, n in counts.most_common(size // 8) if n > 1]
+        best = [(part, n) for part, n in best if len(part) < LEXICON_BYTES]
         yield pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in best], pa.binary()), pa.array([n for _, n in best], pa.int64())],
-            names=["word", "n"],
+            names=["part", "n"],
         )
 
     found = (
         docs.select(text_col)
-        .mapInArrow(summarised, "word binary, n bigint")
-        .groupBy("word")
+        .mapInArrow(summarised, "part binary, n bigint")
+        .groupBy("part")
         .agg(F.sum("n").alias("n"))
     )
-    summary = stored(found, "words")
-    return [bytes(row["word"]) for row in most_frequent(summary, size).select("word").collect()]
+    summary = stored(found, "parts")
+    split, words = merges(path).split.findall, Counter()
+    for row in most_frequent(summary, size).collect():
+        for word in split(" " + bytes(row["part"]).decode("utf-8", "surrogatepass")):
+            words[word] += row["n"]
+    return [word.encode("utf-8", "surrogatepass") for word, _ in words.most_common(size)]
 
 
 def share_lexicon(spark: SparkSession, compiled: bytes) -> str:
