@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Bytes of automaton states that are stepped through together.
+TOGETHER = 32 << 20
+
+
 @dataclass(frozen=True)
 class Rule:
     """A glob over canonical URLs, ``.host/path``.
 
     ``*`` stands for any run of characters, ``+`` for any run without a slash, ``?`` for one
-    character. ``shown`` is what results call the rule.
+    character, of however many bytes. ``shown`` is what results call the rule.
     """
 
     glob: str
@@ -49,6 +53,17 @@ GLOB_RULES = (
 )
 
 
+def read_rules(table: DataFrame, most: int = 20_000) -> list[Rule]:
+    """The rules of a table (``glob``, ``verdict``, and ``place`` to order them by).
+
+    Every task works with all rules at once, so a table of more than ``most`` is refused.
+    """
+    rows = table.select("place", "glob", "verdict").orderBy("place", "glob").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rules")
+    return [Rule(row["glob"], row["verdict"]) for row in rows]
+
+
 class Automaton:
     """Shift-And over several words of 64 bits, with a bit before each glob's first character.
 
@@ -58,28 +73,38 @@ class Automaton:
 
     def __init__(self, globs: Sequence[str]):
         firsts, lasts, at = [], [], 0
-        entered: list[tuple[int, int | None]] = []
-        looped: list[tuple[int, bool]] = []
+        entered: list[tuple[int, int]] = []
+        anywhere, within_host, characters = set(), set(), []
         for glob in globs:
             firsts.append(at)
             for byte in glob.encode():
-                if byte in b"*+":
-                    looped.append((at, byte == ord("+")))
+                if byte == ord("*"):
+                    anywhere.add(at)
+                elif byte == ord("+"):
+                    within_host.add(at)
+                elif byte == ord("?"):
+                    at += 1
+                    characters.append(at)
                 else:
                     at += 1
-                    entered.append((at, None if byte == ord("?") else byte))
+                    entered.append((at, byte))
             lasts.append(at)
             at += 1
         self.words = (at + 63) // 64 or 1
         self.steps = np.zeros((256, self.words), np.uint64)
         self.loops = np.zeros((256, self.words), np.uint64)
+        starts = np.arange(256) & 0xC0 != 0x80  # bytes that a character starts with
+        no_slash = np.arange(256) != ord("/")
         for bit, byte in entered:
-            rows = slice(None) if byte is None else byte
-            self.steps[rows, bit // 64] |= np.uint64(1 << bit % 64)
-        for bit, within_host in looped:
+            self.steps[byte, bit // 64] |= np.uint64(1 << bit % 64)
+        for bit in characters:
+            # Entered by a character's first byte, and left as it is by the others.
+            self.steps[starts, bit // 64] |= np.uint64(1 << bit % 64)
+            self.loops[~starts, bit // 64] |= np.uint64(1 << bit % 64)
+        for bit in within_host:
+            self.loops[no_slash, bit // 64] |= np.uint64(1 << bit % 64)
+        for bit in anywhere:
             self.loops[:, bit // 64] |= np.uint64(1 << bit % 64)
-            if within_host:
-                self.loops[ord("/"), bit // 64] &= ~np.uint64(1 << bit % 64)
         self.start = np.zeros(self.words, np.uint64)
         for bit in firsts:
             self.start[bit // 64] |= np.uint64(1 << bit % 64)
@@ -119,6 +144,11 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
+def canonical_host(host: Column) -> Column:
+    """A host without user, default port and closing dot."""
+    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r"\.?(:(80|443)?)?\z", "")
+
+
 def judge_urls(
     pages: DataFrame,
     url_col: str = "url",
@@ -129,30 +159,41 @@ def judge_urls(
 ) -> DataFrame:
     """Add ``host``, ``path``, ``rule`` and ``verdict`` to every row.
 
-    Of the host rules that fit, the longest holds and is named in ``rule``. Where none fits,
-    ``rule`` is null and the first fitting glob decides, else ``otherwise``. All rules run as one
-    automaton. Null URLs and those without ``://`` have an empty host and path. Repeated rows are
-    judged alike, an empty table gives an empty result, input columns of the added names are
-    replaced. No shuffle; a task steps through ``at_once`` URLs together.
+    Of the host rules that fit host and path as they are written, the longest holds and is named in
+    ``rule``. Where none fits, ``rule`` is null and the first glob that fits the canonical URL
+    (without user, default port and the host's closing dot) decides, else ``otherwise``. All rules
+    run as one automaton. Null URLs and those without ``://`` have an empty host and path. Repeated
+    rows are judged alike, an empty table gives an empty result, input columns of the added names
+    are replaced. No shuffle; a task steps through up to ``at_once`` URLs together, fewer where
+    there are many rules.
     """
     rules = [*host_rules, *glob_rules]
     globs = [rule.glob for rule in rules]
     # Host rules in order of length, then globs in their order: the first that fits holds.
     ranked = sorted(range(len(host_rules)), key=lambda i: -len(rules[i].shown or rules[i].glob))
     ranked += range(len(host_rules), len(rules))
+    n_host = len(host_rules)
     shown = [rule.shown for rule in host_rules] + [None] * len(glob_rules)
 
+    def coded(host: str, path: str) -> bytes:
+        return f".{host}{path}".encode("utf-8", "surrogatepass")
+
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(globs)
+        together = max(1, min(at_once, TOGETHER // (8 * automaton.words)))
         for batch in batches:
-            for begin in range(0, batch.num_rows, at_once):
-                part = batch.slice(begin, at_once)
-                host, path = part.column(part.num_columns - 2), part.column(part.num_columns - 1)
-                texts = [
-                    f".{a}{b}".encode("utf-8", "surrogatepass")
-                    for a, b in zip(host.to_pylist(), path.to_pylist(), strict=True)
-                ]
-                fits = automaton.fits(texts)[:, ranked]
+            for begin in range(0, batch.num_rows, together):
+                part = batch.slice(begin, together)
+                host, path, bare = (c.to_pylist() for c in part.columns[-3:])
+                part = part.drop_columns("__canonical")
+                texts = [coded(a, b) for a, b in zip(host, path, strict=True)]
+                fits = automaton.fits(texts)
+                # Most URLs are canonical; for the others the globs are asked anew.
+                others = [i for i, (a, b) in enumerate(zip(host, bare, strict=True)) if a != b]
+                if others:
+                    own = automaton.fits([coded(bare[i], path[i]) for i in others])
+                    fits[others, n_host:] = own[:, n_host:]
+                fits = fits[:, ranked]
                 first = np.where(fits.any(axis=1), fits.argmax(axis=1), -1).tolist()
                 held = [ranked[i] if i >= 0 else None for i in first]
                 yield pa.RecordBatch.from_arrays(
@@ -172,4 +213,5 @@ def judge_urls(
     own = [c for c in pages.columns if c not in added]
     parted = pages.select(*own, host.alias("host"), path.alias("path"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parted.schema)
+    parted = parted.withColumn("__canonical", canonical_host(F.col("host")))
     return parted.mapInArrow(judged, f"{schema}, rule string, verdict string")

@@ -4,9 +4,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from statera.llm.url_filter import GLOB_RULES, HOST_RULES, Automaton, judge_urls
+from statera.llm.url_filter import GLOB_RULES, HOST_RULES, Automaton, Rule, judge_urls, read_rules
 
-parts = st.text(alphabet="ab./*+?", max_size=8)
+parts = st.text(alphabet="ab./*+?é", max_size=8)
 
 
 def as_regex(glob):
@@ -15,7 +15,7 @@ def as_regex(glob):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(parts, min_size=1, max_size=40), st.lists(st.text(alphabet="ab./", max_size=12), max_size=6))
+@given(st.lists(parts, min_size=1, max_size=40), st.lists(st.text(alphabet="ab./é東\n", max_size=12), max_size=6))
 def test_automaton_fits_as_patterns_do(globs, texts):
     fits = Automaton(globs).fits([t.encode() for t in texts])
     assert fits.shape == (len(texts), len(globs))
@@ -36,6 +36,12 @@ CASES = [
     ("http://a.org/p?u=http://b.com/", "a.org", "/p", None, "allow"),
     ("http://É.com/ü", "É.com", "/ü", "com/", "allow"),
     ("http://a.org/dl.exe", "a.org", "/dl.exe", None, "block"),
+    # Globs see the canonical host, host rules what is written.
+    ("http://me@x.ads.org.:80/", "me@x.ads.org.:80", "/", None, "block"),
+    ("http://casino@a.org/", "casino@a.org", "/", None, "allow"),
+    ("http://a.com.:443/", "a.com.:443", "/", None, "allow"),
+    ("http://a.exe", "a.exe", "", None, "block"),
+    ("http://a.exe.:80", "a.exe.:80", "", None, "block"),
     ("http://" + "a" * 5000 + ".com/" + "b" * 5000, "a" * 5000 + ".com", "/" + "b" * 5000, "com/", "allow"),
     ("", "", "", None, "allow"),
     (None, "", "", None, "allow"),
@@ -62,3 +68,33 @@ def test_more_rules_than_a_word_holds():
     fits = own.fits([b".www.site150.org/x", b".a.net/fr/1"])
     assert [globs[i] for i in fits[0].nonzero()[0]] == ["+.site150.org/*"]
     assert [globs[i] for i in fits[1].nonzero()[0]] == ["+.net/fr/*"]
+
+
+def test_one_character_of_several_bytes():
+    fits = Automaton(["a?b", "?", "*+", "+*x", "é?"]).fits([t.encode() for t in ("aéb", "東", "/", "/x", "éé", "a")])
+    assert fits.tolist() == [
+        [True, False, True, False, False],
+        [False, True, True, False, False],
+        [False, True, True, False, False],
+        [False, False, True, True, False],
+        [False, False, True, False, True],
+        [False, True, True, False, False],
+    ]
+
+
+def test_rules_of_a_table(spark):
+    """Two thousand rules, of which every URL is held against all."""
+    globs = [f"+.site{i}.org/{'a?' if i % 3 else '*'}{i}*" for i in range(1999)] + ["*é?x"]
+    rows = [(i, glob, "block" if i % 2 else "allow") for i, glob in enumerate(globs)]
+    rules = read_rules(spark.createDataFrame(rows, "place int, glob string, verdict string"))
+    assert rules[:2] == [Rule(globs[0], "allow"), Rule(globs[1], "block")]
+    urls = [(i, f"http://w.site{i}.org/{'aé' if i % 3 else 'zz'}{i}/") for i in range(0, 1999, 97)]
+    urls += [(3000, "http://o.net/ééx"), (3001, "http://site5.org.evil/aé5")]
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    got = {r["page_id"]: r["verdict"] for r in judge_urls(pages, glob_rules=rules, otherwise="none").collect()}
+    for i, url in urls:
+        text = url.removeprefix("http://")
+        fit = [r.verdict for r in rules if as_regex(r.glob).fullmatch("." + text)]
+        assert got[i] == (fit[0] if fit else "none")
+    with pytest.raises(ValueError):
+        read_rules(spark.createDataFrame(rows, "place int, glob string, verdict string"), most=1999)
