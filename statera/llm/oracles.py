@@ -49,18 +49,23 @@ FROM placed
 """
 
 _LINES = "list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]'))"
-_STOCK = " OR ".join(
-    f"contains(lower(l), '{phrase}')"
-    for phrase in (
-        "all rights reserved",
-        "licensed under",
-        "terms of use",
-        "terms of service",
-        "privacy policy",
-        "cookie policy",
-        "click here",
-        "enable javascript",
-    )
+_PHRASES = (
+    "all rights reserved",
+    "this work is",
+    "licensed under",
+    "general public license",
+    "apache license",
+    "creative commons",
+    "terms of use",
+    "terms of service",
+    "privacy policy",
+    "cookie policy",
+    "click here",
+    "enable javascript",
+)
+_LOWERED = "translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_STOCK = " + ".join(
+    f"(length(l) - length(replace({_LOWERED}, '{p}', ''))) // {len(p)} * {len(p.split())}" for p in _PHRASES
 )
 
 ORACLES["op1_quality_rules"] = rf"""
@@ -92,16 +97,15 @@ WITH split AS (
     len(own) - len(list_distinct(own)) AS n_dup_lines,
     coalesce(c.n, 0) AS n_repeat_words,
     list_filter(li, lambda x: x.loud * 10 >= x.n * 3 + 10 OR x.bars >= 2
-                         OR (x.bars > 0 AND x.bars * 5 >= x.n)) AS bad,
-    list_filter(li, lambda x: x.stock AND NOT (x.loud * 10 >= x.n * 3 + 10 OR x.bars >= 2
-                         OR (x.bars > 0 AND x.bars * 5 >= x.n))) AS stock
+                         OR (x.bars > 0 AND x.bars * 5 >= x.n)
+                         OR (x.stock > 0 AND 100 * x.stock >= 30 * x.n)) AS bad
   FROM marked m LEFT JOIN covered c ON c.doc_id = m.doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
     AND coalesce(list_sum(list_transform(bad, lambda x: x.chars)), 0) <= 0.3 * word_chars AS kept,
-  len(bad) + len(stock) AS n_bad_lines,
+  len(bad) AS n_bad_lines,
   CAST(coalesce(list_sum(list_transform(bad, lambda x: x.chars)), 0) AS BIGINT) AS lost_chars
 FROM judged
 """
@@ -125,8 +129,9 @@ WITH parts AS (
     WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
     WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
     WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/'
-  END AS rule, '.' || host || path AS whole, '.' || host AS h
-  FROM split
+  END AS rule, '.' || bare || path AS whole, '.' || bare AS h
+  FROM (SELECT *, regexp_replace(regexp_replace(host, '^(?s:.*)@', ''), '[.]?(:(80|443)?)?$', '') AS bare
+    FROM split)
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'

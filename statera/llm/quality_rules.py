@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statera.llm.common import GAP, bound, words
+from statera.llm.common import GAP, LOWER, UPPER, bound, words
 
-#: Phrases, in lower case, that a page repeats on every page. A line that holds one is boilerplate.
+#: Phrases, in lower case, that pages repeat on every page; none holds a part of another.
 BOILERPLATE = (
     "all rights reserved",
+    "this work is",
     "licensed under",
+    "general public license",
+    "apache license",
+    "creative commons",
     "terms of use",
     "terms of service",
     "privacy policy",
@@ -18,27 +24,54 @@ BOILERPLATE = (
     "click here",
     "enable javascript",
 )
+#: A line is boilerplate if so many percent of its words stand in such phrases.
+STOCK_PERCENT = 30
+
 
+def _lowered(text: Column) -> Column:
+    return F.translate(text, UPPER, LOWER)
 
-def _stock_phrase(text: Column) -> Column:
-    """Whether a text holds a phrase of ``BOILERPLATE``; fixed searches, which are cheap."""
+
+def _stock_phrase(text: Column, phrases: Sequence[str]) -> Column:
+    """Whether a text holds one of the phrases; fixed searches, which are cheap."""
 
     def any_phrase(lowered: Column) -> Column:
         found = F.lit(False)
-        for phrase in BOILERPLATE:
+        for phrase in phrases:
             found = found | F.contains(lowered, F.lit(phrase))
         return found
 
-    return bound(F.lower(text), any_phrase)
+    return bound(_lowered(text), any_phrase)
+
+
+def _stock_words(line: Column, phrases: Sequence[str]) -> Column:
+    """How many words of a line stand in the phrases."""
+
+    def counted(lowered: Column) -> Column:
+        total = F.lit(0)
+        for phrase in phrases:
+            left = F.length(F.replace(lowered, F.lit(phrase), F.lit("")))
+            times = ((F.length(lowered) - left) / len(phrase)).cast("int")
+            total = total + times * len(phrase.split())
+        return total
+
+    return bound(_lowered(line), counted)
 
 
-def line_fails(line: Column, may_be_stock: Column) -> Column:
+def line_fails(
+    line: Column,
+    may_be_stock: Column,
+    phrases: Sequence[str] = BOILERPLATE,
+    stock_percent: int = STOCK_PERCENT,
+) -> Column:
     """The first rule that a line breaks, or null.
 
     ``punctuation``: marks of emphasis or symbols, other than bars, at three words in ten or more.
-    ``navigation``: two bars, or a bar at one word in five or more. ``boilerplate``: a stock
-    phrase; ``may_be_stock`` is false where the whole text is known to hold none.
+    ``navigation``: two bars, or a bar at one word in five or more. ``boilerplate``:
+    ``stock_percent`` of the words stand in one of the ``phrases``, so a long line that mentions
+    one stays; ``may_be_stock`` is false where the whole text is known to hold none.
     """
+    stock = 100 * _stock_words(line, phrases) >= stock_percent * F.size(words(line))
 
     def judge(marks: Column) -> Column:
         bars = F.length(marks) - F.length(F.replace(marks, F.lit("|"), F.lit("")))
@@ -51,7 +84,7 @@ def line_fails(line: Column, may_be_stock: Column) -> Column:
         )
         return F.coalesce(
             F.when(marks != "", rule),
-            F.when(may_be_stock & _stock_phrase(line), F.lit("boilerplate")),
+            F.when(may_be_stock & _stock_phrase(line, phrases) & stock, F.lit("boilerplate")),
         )
 
     return bound(F.regexp_replace(line, r"[^#*$%&|<>!?]+", ""), judge)
@@ -106,15 +139,17 @@ def quality_rules(
     max_lost: float = 0.3,
     min_words: int = 10,
     max_repeat_percent: int = 20,
+    phrases: Sequence[str] = BOILERPLATE,
+    stock_percent: int = STOCK_PERCENT,
 ) -> DataFrame:
     """Add the measures of every text, its cleaned text, what it lost, and whether it is kept.
 
     Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
     ``n_bad_lines``, ``lost_chars`` (bigint), ``cleaned`` (the text without failing lines),
     ``base_failed`` and ``kept``. A document goes if it has fewer than ``min_words`` words, if more
-    than ``max_repeat_percent`` of them stand in repeated windows, or if lines that fail by
-    punctuation or navigation hold more than ``max_lost`` of its word characters. A boilerplate
-    line is removed but does not speak against the text around it.
+    than ``max_repeat_percent`` of them stand in repeated windows, or if the lines that fail, by
+    whichever rule, hold more than ``max_lost`` of its word characters. So no text is kept of which
+    nothing is left. ``phrases``, in lower case, and ``stock_percent`` say what boilerplate is.
 
     Null and empty texts have no words and are not kept; their ``cleaned`` is the text itself.
     Repeated rows are judged alike, an empty table gives an empty result. Columns of the input
@@ -133,7 +168,7 @@ def quality_rules(
         def judged(lines: Column) -> Column:
             full = F.filter(lines, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
             rules = F.transform(
-                lines, lambda line: F.struct(line.alias("line"), line_fails(line, stock).alias("rule"))
+                lines, lambda line: F.struct(line.alias("line"), line_fails(line, stock, phrases, stock_percent).alias("rule"))
             )
             failing = F.filter(rules, lambda x: x["rule"].isNotNull())
             return F.struct(
@@ -166,7 +201,7 @@ def quality_rules(
         "__measures",
         F.struct(
             bound(words(text), of_words).alias("words"),
-            bound(_stock_phrase(text), of_lines).alias("lines"),
+            bound(_stock_phrase(text, phrases), of_lines).alias("lines"),
             symbols.alias("n_symbols"),
         ),
     )
@@ -192,5 +227,4 @@ def quality_rules(
 
 
 def _add_lost(total: Column, bad: Column) -> Column:
-    chars = F.length(F.regexp_replace(bad["line"], GAP, ""))
-    return total + F.when(bad["rule"] == "boilerplate", 0).otherwise(chars)
+    return total + F.length(F.regexp_replace(bad["line"], GAP, ""))

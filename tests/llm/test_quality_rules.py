@@ -63,7 +63,46 @@ def test_failing_lines_go_and_lossy_documents_are_rejected(spark, bad, kept):
     assert row["kept"] is kept
 
 
-def test_boilerplate_does_not_speak_against_short_texts(spark):
-    text = "Ten words stand in this line, they are all clean words.\nThis work is licensed under a public licence."
+def test_every_lost_character_counts(spark):
+    licence = "This work is licensed under a public licence."
+    clean = "Ten words stand in this line, they are all clean words."
+    rows = [
+        (1, f"{clean}\n{licence}", "en", "a"),
+        (2, f"{clean}\n{GOOD}\n{GOOD[::-1]}\n{licence}", "en", "a"),
+        (3, f"{licence}\nAll rights reserved, see our privacy policy.", "en", "a"),
+    ]
+    got = {r["doc_id"]: r for r in quality_rules(frame(spark, rows)).collect()}
+    lost = len(licence.replace(" ", ""))
+    assert {i: r["lost_chars"] for i, r in got.items()} == {1: lost, 2: lost, 3: got[3]["word_chars"]}
+    assert {i: r["kept"] for i, r in got.items()} == {1: False, 2: True, 3: False}
+    assert got[1]["cleaned"] == clean and got[3]["cleaned"] == ""
+
+
+def test_a_long_line_that_mentions_a_phrase_stays(spark):
+    text = " ".join(f"word{i}" for i in range(200)) + " privacy policy " + " ".join(f"x{i}" for i in range(200))
     row = quality_rules(frame(spark, [(1, text, "en", "a")])).first()
-    assert row["kept"] and row["cleaned"] == text.split("\n")[0] and row["lost_chars"] == 0
+    assert row["kept"] and row["cleaned"] == text and row["lost_chars"] == 0
+
+
+def test_phrases_are_a_parameter(spark):
+    rows = [(1, f"{GOOD}\nBuy two get one now\nAll rights reserved.", "en", "a")]
+    row = quality_rules(frame(spark, rows), phrases=["buy two", "get one"], stock_percent=80).first()
+    assert row["cleaned"] == f"{GOOD}\nAll rights reserved."
+    strict = quality_rules(frame(spark, rows), phrases=["buy two"], stock_percent=41).first()
+    assert strict["n_bad_lines"] == 0
+
+
+def test_sql_of_the_query(spark):
+    import duckdb
+
+    from statera.llm.oracles import ORACLES
+    from statera.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    expected = con.execute(ORACLES["op1_quality_rules"]).fetchall()
+    got = QUERIES["op1_quality_rules"](spark, sf).collect()
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert not any(r["kept"] and not words(r["cleaned"]) for r in quality_rules(
+        spark.read.parquet(f"{sf}/documents.parquet")).collect())
