@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statera.llm.common import bound, match_spans
@@ -24,15 +24,43 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{12,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 
+#: Alphabets of made random strings.
+RANDOM_ALPHABETS = (
+    ALPHABET[:62],
+    ALPHABET[:64],
+    ALPHABET[26:62],
+    ALPHABET[:26] + ALPHABET[52:62],
+    ALPHABET[:52],
+)
+#: Words of made names.
+NAME_WORDS = (
+    "account action address admin agent alert archive article asset audit backup base batch blog "
+    "board book branch buffer build cache chapter chart client code config content count course "
+    "cover data default detail device document domain draft drive email entry error event example "
+    "export feature feed field file filter final folder form game group guide handler header help "
+    "history home host image import index info input item job july key label large layout library "
+    "light line link list local login main manager map march market media member menu message model "
+    "module month mobile music name network news note number office order output page paper part "
+    "path photo plan player point post price print product profile project public query read record "
+    "release report request result review route sales sample schema screen script search section "
+    "server service session setting share small source stage start state status store stream string "
+    "style summary system table target task team template test text theme time title token track "
+    "type update upload user value version video view week widget window work world year"
+).split()
+
 
 @dataclass(frozen=True)
 class RandomStringModel:
-    """Log-likelihood ratios of character pairs, first character by second, over ``ALPHABET``."""
+    """Log-likelihood ratios of character pairs, first character by second, over ``ALPHABET``.
+
+    ``threshold`` is the ratio per pair from which a token passes for random.
+    """
 
     ratios: tuple[float, ...]
+    threshold: float = math.inf
 
     def score(self, token: Column) -> Column:
-        """The log-likelihood ratio of a token: above 0 if random is likelier than ordinary."""
+        """The log-likelihood ratio per pair: above 0 if random is likelier than ordinary."""
         table = F.expr(f"array({','.join(f'{x:.3f}D' for x in self.ratios)})")
         k = len(ALPHABET)
 
@@ -41,9 +69,9 @@ class RandomStringModel:
             second = F.instr(F.lit(ALPHABET), F.substring(token, i + 1, 1))
             return F.get(table, (first - 1) * k + second - 1)
 
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda s, i: s + ratio(i)
-        )
+        pairs = F.length(token) - 1
+        total = F.aggregate(F.sequence(F.lit(1), pairs), F.lit(0.0), lambda s, i: s + ratio(i))
+        return total / pairs
 
 
 def _base(text: Column) -> Column:
@@ -66,40 +94,114 @@ def _base(text: Column) -> Column:
     return F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"])))
 
 
+def made_samples(spark: SparkSession, size: int = 4000) -> DataFrame:
+    """Labelled strings that are the same on every run: (sample, random), ``size`` of each label.
+
+    Random ones are 20 to 40 characters of one of ``RANDOM_ALPHABETS``. Ordinary ones are names as
+    people and programs make them: words in several spellings with numbers, dates, times, versions
+    and paths, and UUIDs.
+    """
+
+    def draw(below: int | Column, *what: object) -> Column:
+        """A whole number from 0 on that depends on the row and on what it is for."""
+        key = [w if isinstance(w, Column) else F.lit(w) for w in what]
+        return F.pmod(F.xxhash64("id", *key), F.lit(below) if isinstance(below, int) else below)
+
+    def of_alphabet(alphabet: Column | str, size: Column, what: str) -> Column:
+        alphabet = F.lit(alphabet) if isinstance(alphabet, str) else alphabet
+        one = lambda i: F.substring(alphabet, draw(F.length(alphabet), what, i).cast("int") + 1, 1)
+        return F.array_join(F.transform(F.sequence(F.lit(1), size), one), "")
+
+    words = F.array(*[F.lit(word) for word in NAME_WORDS])
+    word = lambda what: F.get(words, draw(len(NAME_WORDS), "word", what).cast("int"))
+    number = lambda digits, what: F.lpad(draw(10**digits, "number", what).cast("string"), digits, "0")
+    year = (F.lit(1990) + draw(40, "year")).cast("string")
+    two = lambda most, what: F.lpad((draw(most, what) + 1).cast("string"), 2, "0")
+    date = lambda sep: F.concat_ws(sep, year, two(12, "month"), two(28, "day"))
+    mark = F.get(F.array(F.lit("_"), F.lit("-")), draw(2, "mark").cast("int"))
+    some = lambda most: F.transform(
+        F.sequence(F.lit(1), (draw(most, "words") + 2).cast("int")), lambda i: word(i)
+    )
+    capital = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))
+
+    def marked(*parts: Column) -> Column:
+        """The parts with one mark between them, the same in a row."""
+        return F.concat(parts[0], *[x for part in parts[1:] for x in (mark, part)])
+
+    hex_digits = "0123456789abcdef"
+    uuid = F.concat_ws(
+        "-", *[of_alphabet(hex_digits, F.lit(n), f"uuid{k}") for k, n in enumerate((8, 4, 4, 4, 12))]
+    )
+    names = (
+        marked(F.array_join(some(4), "_"), F.lit("v"), number(1, 0), word("a"), year),
+        marked(word("a"), F.regexp_replace(date("-"), "-", ""), word("b"), word("c")),
+        F.concat_ws("_", word("a"), date("_"), F.array_join(some(2), "_")),
+        F.concat_ws("-", word("a"), number(2, 1), word("b"), number(1, 2), word("c"), number(1, 3)),
+        F.concat(date("-"), F.lit("T"), two(23, "hour"), F.lit("-"), two(59, "minute"), F.lit("-00-"), word("a")),
+        F.concat(F.lit("https-www-"), F.array_join(some(2), "-"), F.lit("-com-"), word("a"), F.lit("-"), number(5, 4)),
+        F.concat(F.lit("com/"), F.array_join(some(3), "/"), F.lit("/src/main/"), capital(word("a")), number(1, 5)),
+        F.concat(F.array_join(F.transform(some(3), capital), ""), number(2, 6), capital(word("a")), capital(word("b"))),
+        F.concat_ws("_", F.upper(word("a")), F.upper(word("b")), F.upper(word("c")), number(3, 7)),
+        marked(F.array_join(some(4), "_"), number(4, 8)),
+        F.array_join(some(5), "-"),
+        uuid,
+    )
+    alphabet = F.get(F.array(*[F.lit(a) for a in RANDOM_ALPHABETS]), draw(len(RANDOM_ALPHABETS), "alphabet").cast("int"))
+    random = of_alphabet(alphabet, (draw(21, "length") + 20).cast("int"), "random")
+    ordinary = F.get(F.array(*names), draw(len(names), "kind").cast("int"))
+    return spark.range(size).select(
+        F.explode(
+            F.array(
+                F.struct(random.alias("sample"), F.lit(True).alias("random")),
+                F.struct(ordinary.alias("sample"), F.lit(False).alias("random")),
+            )
+        ).alias("s")
+    ).select("s.sample", "s.random")
+
+
 def labelled_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Labelled strings of a corpus: (sample, random).
 
-    Values that the fixed patterns find are random; tokens of twelve or more characters without a
-    digit, outside such values, are ordinary.
+    Values that the fixed patterns find are random; tokens of twelve or more characters outside
+    them, with digits or without, are ordinary.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    value = rf"(?:{ASSIGN})|{ACCESS}|{HEX}"
+    found = rf"(?:{ASSIGN})|{ACCESS}|{HEX}"
     secrets = F.transform(
-        F.when(text.rlike(value), F.regexp_extract_all(text, F.lit(f"({value})"), F.lit(1))),
+        F.when(text.rlike(found), F.regexp_extract_all(text, F.lit(f"({found})"), F.lit(1))),
         lambda s: F.regexp_replace(s, r"^[^:=]*[:=]\x20*[\"']?", ""),
     )
-    ordinary = F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))
+    left = F.when(text.rlike(found), F.regexp_replace(text, found, " ")).otherwise(text)
     samples = F.concat(
         F.transform(
             F.filter(F.coalesce(secrets, F.array().cast("array<string>")), lambda s: F.length(s) >= 16),
             lambda s: F.struct(s.alias("sample"), F.lit(True).alias("random")),
         ),
         F.transform(
-            F.filter(ordinary, lambda s: ~s.rlike("[0-9]")),
+            F.regexp_extract_all(left, F.lit(IDENTIFIER), F.lit(0)),
             lambda s: F.struct(s.alias("sample"), F.lit(False).alias("random")),
         ),
     )
     return docs.select(F.explode(samples).alias("s")).select("s.sample", "s.random")
 
 
-def train(samples: DataFrame, smoothing: float = 1.0) -> RandomStringModel:
-    """Fit both models: character pairs are counted in Spark, pre-aggregated in every task.
+def train(
+    samples: DataFrame, smoothing: float = 1.0, false_rate: float = 0.005, missed_rate: float = 0.02
+) -> RandomStringModel:
+    """Fit both models and the threshold: all counting is in Spark, pre-aggregated in every task.
+
+    ``samples`` has ``sample`` (string) and ``random`` (boolean). One sample in five by hash is held
+    out. Of the others character pairs are counted; what comes to the driver is one row per label
+    and pair of alphabet characters, 67 * 67 * 2 at most. The threshold lies half way between the
+    ratio that ``false_rate`` of the held-out ordinary samples reach and the one that
+    ``missed_rate`` of the random ones do not, and never below the former.
 
-    ``samples`` has ``sample`` (string) and ``random`` (boolean). What comes to the driver is one
-    row per label and pair of alphabet characters, 67 * 67 * 2 at most. Null samples and pairs
-    outside the alphabet do not count; without any sample every ratio is 0.
+    Null samples and pairs outside the alphabet do not count. Without held-out samples of both
+    labels nothing passes for random; without any sample every ratio is 0.
     """
-    pairs = samples.filter(F.length("sample") > 1).select(
+    held = F.pmod(F.xxhash64("sample"), F.lit(5)) == 0
+    usable = samples.filter(F.length("sample") > 1)
+    pairs = usable.filter(~held).select(
         "random",
         F.explode(
             F.transform(
@@ -127,34 +229,42 @@ def train(samples: DataFrame, smoothing: float = 1.0) -> RandomStringModel:
         ]
 
     ratios = [a - b for a, b in zip(log_chances(True), log_chances(False), strict=True)]
-    return RandomStringModel(tuple(ratios))
+    model = RandomStringModel(tuple(ratios))
+    scored = usable.filter(held & F.col("sample").rlike(r"^[A-Za-z0-9+/_=-]{12,}$")).select(
+        "random", model.score(F.col("sample")).alias("score")
+    )
+    of = lambda label, rate: F.percentile_approx(F.when(F.col("random") == label, F.col("score")), rate, 10_000)
+    ordinary, random = scored.agg(of(False, 1 - false_rate), of(True, missed_rate)).first()
+    if ordinary is None or random is None:
+        return model
+    return RandomStringModel(model.ratios, max(ordinary, (ordinary + random) / 2))
 
 
 def scan_secrets(
     docs: DataFrame,
     model: RandomStringModel,
     text_col: str = "text",
-    least_score: float = 10.0,
+    least_score: float | None = None,
     mark: str = "[SECRET]",
 ) -> DataFrame:
     """Add ``secrets`` (array of start, end, kind, in code points) and ``redacted`` (the text).
 
     The fixed patterns' spans all stay. The models add tokens of twenty or more characters that
-    hold a digit and a letter, score ``least_score`` or more and touch no fixed span. In
-    ``redacted`` every run of overlapping spans gives one ``mark``.
+    hold a letter, have a ratio per pair above the model's threshold (or ``least_score``) and touch
+    no fixed span. In ``redacted`` every run of overlapping spans gives one ``mark``.
 
     Null texts have no secrets and stay null. Repeated rows are scanned alike, an empty table
     gives an empty result. Input columns of the added names are replaced. No shuffle.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    least = model.threshold if least_score is None else least_score
 
     def with_random(base: Column) -> Column:
         found = F.filter(
             match_spans(text, CANDIDATE),
-            lambda c: c["match"].rlike("[0-9]")
-            & c["match"].rlike("[A-Za-z]")
+            lambda c: c["match"].rlike("[A-Za-z]")
             & ~F.exists(base, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
-            & (model.score(c["match"]) >= least_score),
+            & (model.score(c["match"]) > F.lit(float(least))),
         )
         added = F.transform(
             found,
@@ -192,8 +302,12 @@ def scan_secrets(
 
 
 def corpus_model(docs: DataFrame, text_col: str = "text") -> RandomStringModel:
-    """The models trained on the samples that a corpus itself labels."""
-    return train(labelled_samples(docs, text_col))
+    """The models of a corpus: its own labelled strings, and the made ones beside them.
+
+    A corpus may hold hardly a random string, and hardly a name with digits in it; the made samples
+    see to it that both models know digits.
+    """
+    return train(labelled_samples(docs, text_col).unionByName(made_samples(docs.sparkSession)))
 
 
 def joined(spans: Column | str) -> Column:

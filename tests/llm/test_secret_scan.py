@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from statera.llm.secret_scan import joined, labelled_samples, scan_secrets, train
+from statera.llm.secret_scan import corpus_model, joined, labelled_samples, made_samples, scan_secrets, train
 from tests.llm.helpers import ROWS, frame
 
 ASSIGN = re.compile(
@@ -78,3 +78,75 @@ def test_samples_and_empty_training(spark):
     assert set(nothing.ratios) == {0.0}
     row = scan_secrets(docs, nothing).selectExpr("secrets").select(joined("secrets")).first()
     assert row[0] == "assign:0:24"
+
+
+#: Names with dates, numbers, versions and paths in them, none of which the made samples hold.
+NAMES = """article_2024_03_15_title_page
+user_profile_settings_v2_backup_2023
+https-www-example-com-page-12345
+2024-11-05T12-30-00-backup
+com/example/project/src/main/File1
+chapter-12-section-4-paragraph-7
+550e8400-e29b-41d4-a716-446655440000
+IMG_20240315_142233_holiday_beach
+quarterly_report_Q3_2021_final_v7
+WindowsUpdateServiceManager2019
+include/linux/netdevice_v4_queue_12
+MAX_CONNECTION_RETRY_COUNT_2048
+screenshot-from-2023-07-19-17-04-55
+python-requests-2-31-0-py3-none-any
+internationalization-handbook-1998""".split()
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    """The models of a corpus of a few sentences, so of the made samples almost alone."""
+    return corpus_model(frame(spark))
+
+
+def spans_of(spark, model, texts):
+    rows = [(i, text, None, None) for i, text in enumerate(texts)]
+    got = scan_secrets(frame(spark, rows), model).collect()
+    return {r["doc_id"]: [s for s in r["secrets"] if s["kind"] == "random"] for r in got}
+
+
+def test_numbered_and_dated_names_stay(spark, made):
+    chance = random.Random(11)
+    words = "river stone garden window letter winter orange silver planet bridge castle forest pepper".split()
+    names = list(NAMES)
+    while len(names) < 600:
+        a, b, c = (chance.choice(words) for _ in range(3))
+        n, year = chance.randrange(100_000), chance.randrange(1990, 2030)
+        shapes = (f"{a}_{b}_{year}_{n:05d}", f"{a}-{n}-{b}-{c}-{year}", f"{a}/{b}/{c}{n}/index_{year}",
+                  f"{year}-{n % 12 + 1:02d}-{n % 28 + 1:02d}-{a}-{b}", f"{a.title()}{b.title()}{c.title()}{n}")
+        name = chance.choice(shapes)
+        names += [name] * (len(name) >= 20)
+    found = spans_of(spark, made, names)
+    flagged = [names[i] for i, spans in found.items() if spans]
+    assert len(flagged) <= 6, flagged
+    assert not set(flagged) & set(NAMES)
+
+
+def test_random_strings_of_twenty_characters_are_found(spark, made):
+    chance = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    alphabets = (letters + "0123456789", letters + "0123456789+/", letters, letters[26:] + "0123456789")
+    strings = ["".join(chance.choices(alphabets[i % 4], k=20)) for i in range(600)]
+    strings = [s for s in strings if not base(s)]
+    found = spans_of(spark, made, strings)
+    assert sum(len(spans) > 0 for spans in found.values()) >= 0.95 * len(strings)
+
+
+def test_made_samples_are_the_same_every_time(spark):
+    rows = made_samples(spark, 500).collect()
+    assert len(rows) == 1000 and sorted(rows) == sorted(made_samples(spark, 500).repartition(3).collect())
+    assert all(20 <= len(r["sample"]) <= 40 for r in rows if r["random"])
+    assert len({r["sample"] for r in rows if not r["random"]}) > 450
+
+
+def test_clean_documents_of_the_given_tables_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    found = scan_secrets(docs, corpus_model(docs)).collect()
+    added = [r["text"][s["start"] : s["end"]] for r in found for s in r["secrets"] if s["kind"] == "random"]
+    # Long invented words stay, whatever is added has a mixture of kinds of characters.
+    assert not [token for token in added if token.isalpha() and token.islower()]
