@@ -146,7 +146,10 @@ def copies(
 def emit(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents of the mix, each as often as its copies say.
 
-    Rows that share an id are all emitted as often as the one of them with most copies.
+    Ids tell the rows apart: of rows that share one, or have none, each is emitted as often as the
+    one of them with most copies. Where ids are null or repeated, plan and emit by the key of
+    ``near_dedup.keyed_rows`` instead, as the pipeline does. An empty plan or table gives no rows;
+    columns stay as they are, those named ``__id``, ``__copies`` and ``__copy`` excepted.
     """
     wanted = (
         mixed.filter(F.col("copies") > 0)

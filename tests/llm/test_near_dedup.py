@@ -16,7 +16,7 @@ def sets_of(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """(shingles, component) of every id, by comparing all pairs."""
     sets = [(key, frozenset(sets_of(text))) for key, text, *_ in rows]
     parent = list(range(len(sets)))
@@ -28,7 +28,7 @@ def brute(rows):
 
     for i, (_, a) in enumerate(sets):
         for j, (_, b) in enumerate(sets[:i]):
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 parent[find(i)] = find(j)
     members = {}
     for i, (key, _) in enumerate(sets):

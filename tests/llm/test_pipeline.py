@@ -1,10 +1,12 @@
+from collections import Counter
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from statera.llm import mixing, quality_rules, secret_scan
+from statera.llm import mixing, near_dedup, quality_rules, secret_scan
 from statera.llm.sentence_pieces import codec
-from tests.llm.helpers import frame
+from tests.llm.helpers import ROWS, frame
 from tests.llm.test_near_dedup import brute
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +24,8 @@ def test_stages_of_the_given_documents(spark):
     assert rows == {r["doc_id"]: r["cleaned"] for r in judged}
 
     single = corpus_pipeline.deduplicate(spark, cleaned, SF)
-    expected = {key for key, _, first in brute([(k, t) for k, t in rows.items()]) if key == first}
+    near = brute([(k, t) for k, t in rows.items()], corpus_pipeline.NEAR_PERCENT)
+    expected = {key for key, _, first in near if key == first}
     assert {r["doc_id"] for r in single.collect()} == expected and single.columns == docs.columns
 
     clear = corpus_pipeline.redact(spark, single, SF)
@@ -32,9 +35,9 @@ def test_stages_of_the_given_documents(spark):
     left = secret_scan.scan_secrets(clear, secret_scan.corpus_model(single))
     assert left.filter(F.size("secrets") > 0).count() == 0
 
-    plan = mixing.mix_sources(clear).filter("copies > 0").collect()
+    plan = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(clear).filter("copies > 0").collect()}
     mixed = corpus_pipeline.mix(spark, clear, SF)
-    assert mixed.count() == sum(r["copies"] for r in plan) and mixed.columns == docs.columns
+    assert Counter(r["doc_id"] for r in mixed.collect()) == plan and mixed.columns == docs.columns
 
     own = codec(public_tokenizers.path("piece_bpe_32k.model"))
     texts = {r["doc_id"]: r["text"] for r in kept}
@@ -65,3 +68,38 @@ def test_rows_without_an_id_and_with_repeated_ids_stay(spark):
     got = sorted((str(r["doc_id"]), (r["text"] or "")[:1]) for r in kept.collect())
     expected = [("None", x) for x in ("", "", "a", "b", "c", "d")] + [("5", "e"), ("5", "f"), ("3", "g")]
     assert got == sorted(expected)
+
+
+def test_all_stages_of_odd_rows(spark):
+    """Names that operators use themselves, null ids, repeated ids and rows, null and empty texts."""
+    text = lambda name: " ".join(f"{name}{chr(97 + i)}{chr(97 + i * 7 % 26)}" for i in range(26))
+    rows = [*ROWS, (None, text("p"), "en", "a"), (None, text("q"), "en", None), (7, text("r"), "en", None)]
+    rows += [(9, f"{text('s')}\nAll rights reserved.", "en", "b"), (10, text("u") + " token=abcdef0123456789", "en", "b")]
+    docs = frame(spark, rows, clash=True)
+    clash = [name for name in docs.columns if name not in ("doc_id", "text", "lang", "source", "n_chars")]
+    assert len(clash) >= 6
+
+    def run(stage, given):
+        made = stage(spark, given, SF)
+        assert made.schema == given.schema
+        out = made.collect()
+        assert all(r[name] == "clash" for r in out for name in clash)
+        assert all(r["n_chars"] == len(r["text"]) for r in out if r["text"] is not None)
+        return spark.createDataFrame(out, made.schema).repartition(3), out
+
+    cleaned, out = run(corpus_pipeline.clean, docs)
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(["1", "6", "7", "9", "10"] + ["None"] * 3)
+    assert next(r["text"] for r in out if r["doc_id"] == 9) == text("s")
+    single, out = run(corpus_pipeline.deduplicate, cleaned)
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(["1", "7", "9", "10"] + ["None"] * 3)
+    clear, out = run(corpus_pipeline.redact, single)
+    assert next(r["text"] for r in out if r["doc_id"] == 10) == text("u") + " [SECRET]"
+    keyed = near_dedup.keyed_rows(clear, "key__")
+    copies = [r["copies"] for r in mixing.mix_sources(keyed, id_col="key__").collect()]
+    mixed, out = run(corpus_pipeline.mix, clear)
+    assert len(out) == sum(copies) and len(copies) == 7
+    own = codec(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = corpus_pipeline.encode(spark, mixed, SF).collect()
+    assert sorted((str(r["doc_id"]), r["ids"]) for r in coded) == sorted(
+        (str(r["doc_id"]), own.model.encode(r["text"])) for r in out
+    )
