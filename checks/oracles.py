@@ -444,25 +444,29 @@ def json_text(value: str) -> str:
     return f"""coalesce('"' || {value} || '"', 'null')"""
 
 
-def json_statement(where: str) -> str:
+def json_statement(name: str, **money: str) -> str:
+    """The newest row of each company of a fact, with exact figures."""
+    exact = {c: json_text(f"CAST(CAST({c} AS {kind}) AS VARCHAR)") for c, kind in money.items()}
     return json_of(
         year_id="year_id",
         symbol=json_text("symbol"),
-        total_assets=json_text("CAST(CAST(total_assets AS DECIMAL(18, 2)) AS VARCHAR)"),
+        **exact,
         year_label=json_text("year_label"),
         company_name=json_text("company_name"),
-    ) + f""" AS j FROM (SELECT * FROM bs WHERE {where} QUALIFY row_number() OVER (
-        PARTITION BY symbol ORDER BY sort_order DESC, year_id DESC) = 1) JOIN company USING (symbol)"""
+    ) + f" AS j FROM {newest_of(name)} JOIN company USING (symbol)"
 
 
+FOUR = "DECIMAL(18, 4)"
 COMPANY_JSON = f"""{WAREHOUSE}, {GROWTH_BY_SYMBOL}, {SCORE_ROWS},
-pl_json AS (SELECT symbol, {json_statement("TRUE")}),
-bs_json AS (SELECT symbol, {json_statement("total_assets > 500000")}),
+pl_json AS (SELECT symbol, {json_statement("pl", sales=FOUR, net_profit=FOUR)}),
+bs_json AS (SELECT symbol, {json_statement("bs", total_assets="DECIMAL(18, 2)")}),
+cf_json AS (SELECT symbol,
+    {json_statement("cf", operating_activity="DECIMAL(18, 2)", investing_activity=FOUR)}),
 score_json AS (SELECT symbol, {json_of(
     health_label_id=f"coalesce(CAST({LABEL_ID} AS VARCHAR), 'null')",
     symbol=json_text("symbol"),
     computed_at="""'"2024-02-29T00:00:00.000Z"'""",
-    score="""'"12.50"'""",
+    score=json_text("CAST(CAST(score AS DECIMAL(6, 2)) AS VARCHAR)"),
     company_name=json_text("company_name"),
     health_label_name=json_text("label"),
 )} AS j FROM score_rows JOIN company USING (symbol) WHERE computed_on = DATE '2024-02-29'),
@@ -478,11 +482,12 @@ entries AS (
     SELECT 'C' || user_id, 'pros_cons', {json_of(
         is_pro="CAST(event_type <> 'error' AS VARCHAR)",
         category=json_text("event_type"),
-        text=json_text("event_type"),
+        text=json_text("""replace(props || ' ' || event_id, '"', '\\"')"""),
         source="""'"MANUAL"'""",
         confidence="'100.0'",
         generated_at="'null'",
-    )}, row_number() OVER (PARTITION BY user_id ORDER BY event_type <> 'error', event_type)
+    )}, row_number() OVER (PARTITION BY user_id
+        ORDER BY event_type <> 'error', event_type, props || ' ' || event_id)
     FROM events
     UNION ALL
     SELECT symbol, 'analysis', {json_of(
@@ -502,11 +507,11 @@ SELECT symbol, NULL AS list, NULL::BIGINT AS part, {json_of(
     ),
     latest_profit_loss="coalesce(p.j, 'null')",
     latest_balance_sheet="coalesce(b.j, 'null')",
-    latest_cash_flow="'null'",
+    latest_cash_flow="coalesce(f.j, 'null')",
     latest_ml_score="coalesce(s.j, 'null')",
 )} AS document
 FROM company c LEFT JOIN pl_json p USING (symbol) LEFT JOIN bs_json b USING (symbol)
-LEFT JOIN score_json s USING (symbol)
+LEFT JOIN cf_json f USING (symbol) LEFT JOIN score_json s USING (symbol)
 UNION ALL
 SELECT symbol, list, (n - 1) // 1000, '[' || string_agg(item, ',' ORDER BY n) || ']'
 FROM entries JOIN (SELECT symbol FROM company) USING (symbol)
@@ -556,6 +561,8 @@ def totals(tables: dict[str, tuple]) -> str:
 PARTS = """SELECT p_partkey, CASE WHEN p_size > 3 THEN p_name || ', it''s (a); "b"' END AS p_name,
     p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, {price} AS p_retailprice FROM part"""
 PART_PRICE = "CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS DOUBLE)"
+BROKEN_PARTS = f"""SELECT * REPLACE (p_name || E';\\n\\n"VALUES (1);\\r\\nend' AS p_name)
+    FROM ({PARTS.format(price=PART_PRICE)})"""
 
 STUBS = f"""WITH {COMPANIES.strip()},
 known AS (SELECT c.* FROM company c JOIN customer u USING (c_custkey) WHERE c_acctbal >= 0),
@@ -577,6 +584,40 @@ def items(text: str, flag: str) -> str:
         unnest({ITEMS.format(text=text)}) AS item FROM documents"""
 
 
+SECTOR_YEAR = measures("sub_sector, fiscal_year")
+
+LOADED = f"""{WAREHOUSE}, {LAST_GROWTH}, {REMARK_ROWS},
+        sector_names AS (SELECT DISTINCT sector FROM company)
+        {totals({
+            "dim_sector": ("(SELECT sector FROM sector_names UNION SELECT 'Other')", []),
+            "dim_company": (WITH_STUBS, ["face_value", "book_value", "roce"], 2),
+            "dim_year": ("years", ["fiscal_year", "sort_order"]),
+            "dim_health_label": ("range(5)", []),
+            "fact_balance_sheet": ("bs", BS_FIGURES, 2),
+            "fact_profit_loss": ("pl", PL_FIGURES, 2),
+            "fact_cash_flow": ("cf", CF_FIGURES, 2),
+            "fact_analysis": ("last_growth", GROWTH_FIGURES, 2),
+            "fact_pros_cons": ("(SELECT DISTINCT * FROM remark_rows)", []),
+            "documents": ("orders", []),
+            "fact_ml_scores": ("customer", []),
+        })}
+        UNION ALL SELECT 'fact_ml_scores.trend_score', 50.0 * count(*) FROM customer
+        UNION ALL SELECT unnest(['orphan_profit_loss', 'orphan_balance_sheet',
+            'orphan_cash_flow', 'missing_year_dim']), 0"""
+
+LATER_PERIODS = f"""WITH months AS (
+            SELECT DISTINCT strftime(o_orderdate, '%b %Y') AS year_label,
+                {fiscal_place('o_orderdate')} AS sort_order FROM orders),
+        ids AS (SELECT year_label, row_number() OVER (ORDER BY sort_order, year_label) AS year_id
+            FROM months)
+        SELECT 'C' || o_custkey AS symbol, year_id, year_label,
+            CAST(sum({cents('o_totalprice')}) AS DOUBLE) / 100 AS total_assets
+        FROM (SELECT *, strftime(o_orderdate, '%b %Y') AS year_label FROM orders)
+        JOIN ids USING (year_label) GROUP BY ALL"""
+
+DEEP_PAGE = """SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders
+        ORDER BY o_orderpriority DESC NULLS FIRST, o_orderkey LIMIT 100 OFFSET 8900"""
+
 ORACLES: dict[str, str] = {
     "rename_project": """SELECT p_partkey, p_name AS title, p_brand,
         CAST(p_size AS BIGINT) AS p_size FROM part""",
@@ -673,7 +714,8 @@ ORACLES: dict[str, str] = {
     "wide_financials": f"{WAREHOUSE}, {WIDE.strip()} SELECT {WIDE_COLUMNS} FROM wide",
     "measures_total": measures(""),
     "measures_by_sector": measures("sector"),
-    "measures_by_sector_year": measures("sub_sector, fiscal_year"),
+    "measures_by_sector_year": SECTOR_YEAR,
+    "measures_merged": SECTOR_YEAR,
     "price_stats": f"""WITH r AS (
             SELECT user_id, value, length(props) AS volume, value / nullif(lag(value) OVER (
                 PARTITION BY user_id ORDER BY ts, event_id), 0) - 1 AS change FROM events
@@ -750,8 +792,8 @@ ORACLES: dict[str, str] = {
     "ordered_page": """SELECT o_orderkey,
         CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price, o_orderpriority
         FROM orders ORDER BY price DESC NULLS FIRST, o_orderkey LIMIT 100 OFFSET 3900""",
-    "deep_page": """SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders
-        ORDER BY o_orderpriority DESC NULLS FIRST, o_orderkey LIMIT 100 OFFSET 8900""",
+    "deep_page": DEEP_PAGE,
+    "deep_page_by_position": DEEP_PAGE,
     "ordered_position": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
         l_partkey, count(*) AS lines,
         row_number() OVER (ORDER BY l_partkey, l_orderkey, l_linenumber) - 1 AS position
@@ -791,11 +833,12 @@ ORACLES: dict[str, str] = {
     "snapshot_lists": f"""WITH {COMPANIES.strip()}, {GROWTH_BY_SYMBOL}, {list_parts(1000, True)}
         SELECT symbol, list, part, entries, items FROM parts""",
     "snapshot_of_one": f"{SNAPSHOT} WHERE d.symbol = 'C7'",
-    "dump_ingest": PARTS.format(price=PART_PRICE),
+    "dump_ingest": BROKEN_PARTS,
     "banner_read": f"""{PARTS.format(price=PART_PRICE)} UNION ALL
         SELECT NULL, ' P_NAME ', ' P_BRAND ', ' P_TYPE ', NULL, NULL
         FROM (SELECT DISTINCT p_partkey // 1000 FROM part)""",
     "raw_csv_scan": PARTS.format(price=PART_PRICE),
+    "raw_csv_breaks": BROKEN_PARTS,
     "clean_csv_scan": "SELECT * REPLACE (p_partkey + 9007199254740993 AS p_partkey) FROM ("
     + PARTS.format(price=f"CASE WHEN p_size <> 7 THEN {PART_PRICE} END")
     + ")",
@@ -822,39 +865,19 @@ ORACLES: dict[str, str] = {
             "fact_pros_cons": ("remark_rows", []),
             "documents": ("orders", []),
         })}""",
-    "load_warehouse": f"""{WAREHOUSE}, {LAST_GROWTH}, {REMARK_ROWS},
-        sector_names AS (SELECT DISTINCT sector FROM company)
-        {totals({
-            "dim_sector": ("(SELECT sector FROM sector_names UNION SELECT 'Other')", []),
-            "dim_company": (WITH_STUBS, ["face_value", "book_value", "roce"], 2),
-            "dim_year": ("years", ["fiscal_year", "sort_order"]),
-            "dim_health_label": ("range(5)", []),
-            "fact_balance_sheet": ("bs", BS_FIGURES, 2),
-            "fact_profit_loss": ("pl", PL_FIGURES, 2),
-            "fact_cash_flow": ("cf", CF_FIGURES, 2),
-            "fact_analysis": ("last_growth", GROWTH_FIGURES, 2),
-            "fact_pros_cons": ("(SELECT DISTINCT * FROM remark_rows)", []),
-            "documents": ("orders", []),
-            "fact_ml_scores": ("customer", []),
-        })}
-        UNION ALL SELECT 'fact_ml_scores.trend_score', 50.0 * count(*) FROM customer
-        UNION ALL SELECT unnest(['orphan_profit_loss', 'orphan_balance_sheet',
-            'orphan_cash_flow', 'missing_year_dim']), 0""",
+    "load_warehouse": LOADED,
+    "load_versions": LOADED,
     "load_repeated_keys": f"""WITH {COMPANIES.strip()}, last AS (
             SELECT 'C' || o_custkey AS symbol, min(o_orderkey) AS k,
                 arg_min(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey)
         SELECT symbol, coalesce('order ' || k, company_name) AS company_name,
             CAST(CAST(price AS DECIMAL(12, 2)) AS DOUBLE) AS book_value
         FROM company LEFT JOIN last USING (symbol)""",
-    "load_later_periods": f"""WITH months AS (
-            SELECT DISTINCT strftime(o_orderdate, '%b %Y') AS year_label,
-                {fiscal_place('o_orderdate')} AS sort_order FROM orders),
-        ids AS (SELECT year_label, row_number() OVER (ORDER BY sort_order, year_label) AS year_id
-            FROM months)
-        SELECT 'C' || o_custkey AS symbol, year_id, year_label,
-            CAST(sum({cents('o_totalprice')}) AS DOUBLE) / 100 AS total_assets
-        FROM (SELECT *, strftime(o_orderdate, '%b %Y') AS year_label FROM orders)
-        JOIN ids USING (year_label) GROUP BY ALL""",
+    "load_later_periods": LATER_PERIODS,
+    "load_versions_later_periods": LATER_PERIODS,
+    "load_versions_touched": """SELECT fiscal_year, rows, rows AS counted, fiscal_year = 1995 AS rewritten
+        FROM (SELECT year(o_orderdate) AS fiscal_year,
+                count(DISTINCT (o_custkey, month(o_orderdate))) AS rows FROM orders GROUP BY 1)""",
     "score_job": f"""SELECT symbol, DATE '2024-01-31' AS computed_on, overall_score,
         CAST({LABEL_ID.replace("CASE label", "CASE health_label")} AS BIGINT) AS health_label_id
         FROM ({health(True)}) WHERE overall_score IS NOT NULL""",

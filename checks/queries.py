@@ -13,7 +13,7 @@ from checks.roles import Warehouse, cents, table
 from statera import functions as fn
 from statera import operators as op
 from statera.fixed_values import HEALTH_BANDS
-from statera.plans import conform, load, scoring, serve
+from statera.plans import conform, load, scoring, serve, versions
 from statera.schemas import TABLES
 from statera.session import scratch_path, stored
 from statera.sources import (
@@ -230,7 +230,7 @@ def latest_per_entity(spark, sf):
 
 @query
 def latest_coalesced(spark, sf):
-    house = Warehouse(spark, sf, keep=True)
+    house = roles.warehouse(spark, sf)
     return plain(wide_view(serve.latest_financials(wide(house))))
 
 
@@ -303,7 +303,7 @@ def bounded_score_constant(spark, sf):
 
 @query
 def health_scores(spark, sf):
-    house = Warehouse(spark, sf, keep=True)
+    house = roles.warehouse(spark, sf)
     scores = scoring.compute_health_scores(
         house.profit_loss, house.balance_sheet, house.cash_flow, fixed_time()
     )
@@ -313,7 +313,7 @@ def health_scores(spark, sf):
 
 @query
 def health_scores_unaligned(spark, sf):
-    house = Warehouse(spark, sf, keep=True)
+    house = roles.warehouse(spark, sf)
     scores = scoring.compute_health_scores(
         house.profit_loss, house.balance_sheet, house.cash_flow, fixed_time(), aligned=False
     )
@@ -368,12 +368,12 @@ def wide_view(df: DataFrame) -> DataFrame:
 
 @query
 def wide_financials(spark, sf):
-    return plain(wide_view(wide(Warehouse(spark, sf, keep=True))))
+    return plain(wide_view(wide(roles.warehouse(spark, sf))))
 
 
 def measure_rows(spark, sf, by):
     """Measures over the wide view with money as decimals, so that sums are exact."""
-    view = stored(wide(Warehouse(spark, sf, keep=True)))
+    view = stored(wide(roles.warehouse(spark, sf)))
     exact = view.withColumns(
         {
             name: F.col(name).cast("decimal(24,4)")
@@ -399,6 +399,24 @@ def measures_by_sector_year(spark, sf):
     return plain(measure_rows(spark, sf, ["sub_sector", "fiscal_year"]))
 
 
+@query
+def measures_merged(spark, sf):
+    """The measures by sector and year, from sums that a load of one more year has brought up to date."""
+    view = stored(wide(roles.warehouse(spark, sf))).withColumns(
+        {name: F.col(name).cast("decimal(24,4)") for name in ("sales", "net_profit", "free_cash_flow")}
+    )
+    by = ["sub_sector", "fiscal_year"]
+    late = F.col("fiscal_year") == 1996
+    before, year = view.filter(~late | F.col("fiscal_year").isNull()), view.filter(late)
+    first = stored(op.measure_sums(before, by))
+    newest = stored(serve.latest_financials(before))
+    # From here on the year's rows and what was stored of the others.
+    sums = op.replaced_sums(first, op.measure_sums(year, by), "fiscal_year", [1996])
+    order = [F.col("year_id").desc_nulls_last()]
+    latest = op.newer_rows(newest, serve.latest_financials(year), "symbol", order)
+    return plain(rounded(plain(op.measures_of(sums, latest, by)), "average_margin_pct", "average_debt_to_equity"))
+
+
 @query
 def price_stats(spark, sf):
     # Exact prices, so that totals do not depend on the order of rows.
@@ -537,34 +555,32 @@ def warehouse_audit(spark, sf):
 @query
 def company_json(spark, sf):
     """Every company's snapshot with its lists as JSON, money as text."""
-    sheets = Warehouse(spark, sf, keep=True)
-    fact = sheets.balance_sheet.select(
-        "symbol",
-        "year_id",
-        "year_label",
-        "sort_order",
-        F.col("total_assets").cast("decimal(18,2)").alias("total_assets"),
-    )
-    companies = sheets.companies.select(
+    house = roles.warehouse(spark, sf)
+
+    def fact(df: DataFrame, **money: str) -> DataFrame:
+        exact = [F.col(name).cast(kind).alias(name) for name, kind in money.items()]
+        return df.select("symbol", "year_id", "year_label", "sort_order", *exact)
+
+    companies = house.companies.select(
         "symbol", "company_name", F.col("book_value").cast("decimal(12,2)").alias("book_value")
     )
     growth = growth_by_symbol(spark, sf).select(
         "symbol", "period_label", F.col("compounded_sales_growth_pct").cast("decimal(6,2)")
     )
     scores = score_rows(spark, sf).select(
-        "symbol", "computed_at", F.lit(12.5).cast("decimal(6,2)").alias("score"), "health_label_id"
+        "symbol", "computed_at", F.col("overall_score").cast("decimal(6,2)").alias("score"), "health_label_id"
     )
+    four = "decimal(18,4)"
     shot = serve.snapshot(
         companies,
         filings(spark, sf),
-        remarks(spark, sf).select(*[c for c in serve.REMARK_FIELDS if c != "text"], "symbol",
-                                  F.col("category").alias("text")),
-        fact,
-        fact.filter("total_assets > 500000"),
-        fact.limit(0),
+        remarks(spark, sf),
+        fact(house.profit_loss, sales=four, net_profit=four),
+        fact(house.balance_sheet, total_assets="decimal(18,2)"),
+        fact(house.cash_flow, operating_activity="decimal(18,2)", investing_activity=four),
         growth,
         scores,
-        sheets.years,
+        house.years,
         load.health_labels(spark),
     )
     return serve.detail_json(shot)
@@ -627,7 +643,15 @@ def ordered_page(spark, sf):
 
 @query
 def deep_page(spark, sf):
-    """A page behind more rows than a task's heap may hold, picked by position."""
+    """A page behind more rows than a task's heap may hold, found by counts of ranges."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    terms = op.ordered_terms("-o_orderpriority", ["o_orderpriority"], ["o_orderkey"], ["o_orderkey"])
+    return op.page_by_ranges(orders, terms, number=90, most=1000)
+
+
+@query
+def deep_page_by_position(spark, sf):
+    """The same page, picked by the position of every row."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     order = op.ordered("-o_orderpriority", ["o_orderpriority"], ["o_orderkey"], ["o_orderkey"])
     return op.page_by_position(orders, order, number=90)
@@ -660,7 +684,7 @@ def position_in_group(spark, sf):
 
 @query
 def profit_loss_list(spark, sf):
-    house = Warehouse(spark, sf, keep=True)
+    house = roles.warehouse(spark, sf)
     rows = serve.profit_loss_list(
         house.profit_loss,
         house.companies,
@@ -673,7 +697,7 @@ def profit_loss_list(spark, sf):
 
 @query
 def legacy_metrics(spark, sf):
-    house = Warehouse(spark, sf, keep=True)
+    house = roles.warehouse(spark, sf)
     rows = serve.legacy_metrics(
         house.profit_loss, house.companies, house.years, ordering="sales"
     ).rows
@@ -848,7 +872,7 @@ def company_detail_parts(spark, sf):
 
 
 def snapshot_of(spark, sf, wanted=None) -> serve.Detail:
-    house = Warehouse(spark, sf, keep=True)
+    house = roles.warehouse(spark, sf)
     return serve.snapshot(
         house.companies,
         filings(spark, sf),
@@ -947,6 +971,11 @@ def typed_parts(df: DataFrame) -> DataFrame:
     )
 
 
+def broken_names(parts: DataFrame) -> DataFrame:
+    """Parts whose names go over several lines, one of which looks like the end of a statement."""
+    return parts.withColumn("p_name", F.concat("p_name", F.lit(";\n\n\"VALUES (1);\r\nend")))
+
+
 def sql_literal(name: str) -> Column:
     text = F.replace(F.replace(F.col(name), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
     return F.coalesce(F.concat(F.lit("'"), text, F.lit("'")), F.lit("NULL"))
@@ -954,8 +983,8 @@ def sql_literal(name: str) -> Column:
 
 @query
 def dump_ingest(spark, sf):
-    """Parts as INSERT statements of up to 50 rows."""
-    rows = part_text(spark, sf).select(
+    """Parts as INSERT statements of up to 50 rows, with line ends and semicolons in strings."""
+    rows = broken_names(part_text(spark, sf)).select(
         F.floor(F.col("p_partkey").cast("bigint") / 50).alias("batch"),
         F.concat(
             F.lit("("),
@@ -1035,6 +1064,14 @@ def raw_csv_scan(spark, sf):
     return typed_parts(read_raw_csv(spark, f"{path}/part"))
 
 
+@query
+def raw_csv_breaks(spark, sf):
+    """Parts whose names hold line breaks, from files that Spark cuts anywhere."""
+    path = scratch_path(spark, "raw")
+    write_tables({"part": broken_names(part_text(spark, sf))}, path, "csv")
+    return typed_parts(read_raw_csv(spark, f"{path}/part", multiline=True))
+
+
 @query
 def clean_csv_scan(spark, sf):
     path = scratch_path(spark, "clean")
@@ -1161,20 +1198,38 @@ def load_warehouse(spark, sf):
     Growth figures repeat keys; the last of them in reading order counts. The second batch repeats
     the scores of the first load with others, and all else lies where it was.
     """
+    first, again = loaded_batches(spark, sf)
+    before = load.load_warehouse(spark, first, scratch_path(spark, "first"))
+    second = load.load_warehouse(spark, again, scratch_path(spark, "second"), before.tables)
+    return after_loads(second.tables, second.quality)
+
+
+@query
+def load_versions(spark, sf):
+    """The same two loads as versions of one warehouse, by partition."""
+    first, again = loaded_batches(spark, sf)
+    root = scratch_path(spark, "warehouse")
+    versions.load_version(spark, first, root, buckets=2)
+    second = versions.load_version(spark, again, root)
+    return after_loads(second.version.tables(), second.quality)
+
+
+def loaded_batches(spark, sf) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     clean = {n: df for n, df in conformed(spark, sf).items() if n in TABLES}
     clean["fact_ml_scores"] = labelled_scores(spark, sf)
-    first = load.load_warehouse(spark, clean, scratch_path(spark, "first"))
     changed = clean["fact_ml_scores"].withColumn("trend_score", F.lit(50.0))
-    again = {"fact_ml_scores": changed, "fact_balance_sheet": clean["fact_balance_sheet"]}
-    second = load.load_warehouse(spark, again, scratch_path(spark, "second"), first.tables)
-    scores = second.tables["fact_ml_scores"].agg(
+    return clean, {"fact_ml_scores": changed, "fact_balance_sheet": clean["fact_balance_sheet"]}
+
+
+def after_loads(tables: dict[str, DataFrame], quality: DataFrame) -> DataFrame:
+    scores = tables["fact_ml_scores"].agg(
         F.lit("fact_ml_scores.trend_score").alias("item"),
         F.sum("trend_score").cast("double").alias("total"),
     )
-    quality = second.quality.select(
+    checks = quality.select(
         F.col("check").alias("item"), F.col("violations").cast("double").alias("total")
     )
-    return totals(second.tables).unionByName(scores).unionByName(quality)
+    return totals(tables).unionByName(scores).unionByName(checks)
 
 
 def labelled_scores(spark, sf) -> DataFrame:
@@ -1206,41 +1261,79 @@ def load_repeated_keys(spark, sf):
     return plain(second.tables["dim_company"].select("symbol", "company_name", "book_value"))
 
 
+def monthly_batch(spark, sf, dated: DataFrame) -> dict[str, DataFrame]:
+    """Assets of every company and month of some orders, and their periods."""
+    months = dated.select(
+        symbol("o_custkey").alias("symbol"),
+        F.date_format("o_orderdate", "MMM yyyy").alias("year"),
+        cents("o_totalprice").alias("p"),
+    )
+    sums = months.groupBy("symbol", "year").agg(
+        (F.sum("p").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("total_assets")
+    )
+    labels = stored(conform.numbered_labels(conform.parsed_labels([months])))
+    years = conform.year_dimension_of(labels)
+    return {
+        "dim_company": roles.companies(spark, sf).select("symbol", "company_name"),
+        "dim_year": years,
+        "fact_balance_sheet": conform.attach_year_id(sums, years, labels=labels),
+    }
+
+
+def odd_and_even_months(spark, sf) -> list[dict[str, DataFrame]]:
+    """The odd months of orders, and then the even ones, so that all ids move."""
+    month = F.month("o_orderdate") % 2
+    return [
+        monthly_batch(spark, sf, table(spark, sf, "orders").filter(month == rest)) for rest in (1, 0)
+    ]
+
+
 @query
 def load_later_periods(spark, sf):
-    """A later batch brings earlier periods: every old fact keeps its label.
+    """A later batch brings earlier periods: every old fact keeps its label."""
+    first, later = odd_and_even_months(spark, sf)
+    before = load.load_warehouse(spark, first, scratch_path(spark, "first"))
+    second = load.load_warehouse(spark, later, scratch_path(spark, "second"), before.tables)
+    named = second.tables["fact_balance_sheet"].join(second.tables["dim_year"], "year_id")
+    return plain(named.select("symbol", "year_id", "year_label", "total_assets"))
 
-    The first load holds the odd months of orders, the second the even ones, so that all ids move.
-    """
-    def batch(rest: int) -> dict[str, DataFrame]:
-        dated = table(spark, sf, "orders").filter(F.month("o_orderdate") % 2 == rest)
-        months = dated.select(
-            symbol("o_custkey").alias("symbol"),
-            F.date_format("o_orderdate", "MMM yyyy").alias("year"),
-            cents("o_totalprice").alias("p"),
-        )
-        sums = months.groupBy("symbol", "year").agg(
-            (F.sum("p").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("total_assets")
-        )
-        parsed = conform.parsed_labels([months])
-        years = stored(conform.build_year_dimension([months], parsed=parsed))
-        labels = conform.label_periods(parsed, years)
-        return {
-            "dim_company": roles.companies(spark, sf).select("symbol", "company_name"),
-            "dim_year": years,
-            "fact_balance_sheet": conform.attach_year_id(sums, years, labels=labels),
-        }
 
-    first = load.load_warehouse(spark, batch(1), scratch_path(spark, "first"))
-    second = load.load_warehouse(spark, batch(0), scratch_path(spark, "second"), first.tables)
-    named = second.tables["fact_balance_sheet"].join(second.tables["dim_year"], "year_id")
+@query
+def load_versions_later_periods(spark, sf):
+    """The same as versions: old facts lie under keys that do not move."""
+    first, later = odd_and_even_months(spark, sf)
+    root = scratch_path(spark, "warehouse")
+    versions.load_version(spark, first, root, buckets=2)
+    version = versions.load_version(spark, later, root).version
+    named = version.table("fact_balance_sheet").join(version.table("dim_year"), "year_id")
     return plain(named.select("symbol", "year_id", "year_label", "total_assets"))
 
 
+@query
+def load_versions_touched(spark, sf):
+    """A batch of one fiscal year: the rows of every year, and whether its files are new ones."""
+    orders = table(spark, sf, "orders")
+    root = scratch_path(spark, "warehouse")
+    first = versions.load_version(spark, monthly_batch(spark, sf, orders), root, buckets=2).version
+    one_year = monthly_batch(spark, sf, orders.filter(F.year("o_orderdate") == 1995))
+    later = {"fact_balance_sheet": one_year["fact_balance_sheet"]}
+    second = versions.load_version(spark, later, root).version
+    name = "fact_balance_sheet"
+    parts = [
+        (p.part, p.rows, p.folder != first.partitions(name)[at].folder)
+        for at, p in second.partitions(name).items()
+    ]
+    listed = spark.createDataFrame(parts, "part string, rows bigint, rewritten boolean")
+    rows = second.stored_rows(name).withColumns(versions.partition_columns(name, second.buckets))
+    counted = rows.groupBy("part").agg(F.count(F.lit(1)).alias("counted"))
+    sums = listed.groupBy("part").agg(F.sum("rows").alias("rows"), F.bool_or("rewritten").alias("rewritten"))
+    return sums.join(counted, "part").select(F.col("part").cast("bigint").alias("fiscal_year"), "rows", "counted", "rewritten")
+
+
 @query
 def score_job(spark, sf):
     """Health scores, taken into the warehouse with the id of their label."""
-    house = Warehouse(spark, sf, keep=True)
+    house = roles.warehouse(spark, sf)
     scores = scoring.run(
         spark,
         {
@@ -1252,7 +1345,7 @@ def score_job(spark, sf):
     )
     batch = {
         "dim_company": house.companies.select("symbol", "company_name"),
-        "fact_ml_scores": scores.filter(F.col("overall_score").isNotNull()),
+        "fact_ml_scores": scores,
     }
     loaded = load.load_warehouse(spark, batch, scratch_path(spark, "scored"))
     return plain(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statera.plans import conform
-from statera.session import stored
+from statera.session import run_dir, stored
 from statera.sources import ORDINAL
 
 
@@ -192,7 +192,7 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
 class Warehouse:
     """Clean dimensions and facts of the given tables.
 
-    ``keep`` stores the two facts that others build on, for queries that read several facts.
+    ``keep`` stores the facts, for queries that read several of them.
     """
 
     def __init__(self, spark: SparkSession, sf: str, keep: bool = False):
@@ -200,10 +200,9 @@ class Warehouse:
             df = df.drop(ORDINAL)
             return stored(df) if keep else df
 
-        # Two small tables that every fact is joined with.
-        parsed = stored(labels(spark, sf), "labels")
-        self.years = stored(conform.build_year_dimension([], parsed=parsed), "years")
-        periods = stored(conform.label_periods(parsed, self.years), "periods")
+        # One small table that every fact is joined with.
+        periods = stored(conform.numbered_labels(labels(spark, sf)), "labels")
+        self.years = conform.year_dimension_of(periods)
         self.companies = companies(spark, sf)
         self.balance_sheet = fact(
             conform.normalize_balance_sheet(
@@ -215,9 +214,22 @@ class Warehouse:
                 raw_profit_loss(spark, sf), self.years, self.balance_sheet, periods
             )
         )
-        self.cash_flow = conform.normalize_cash_flow(
-            raw_cash_flow(spark, sf), self.years, self.profit_loss, periods
-        ).drop(ORDINAL)
+        self.cash_flow = fact(
+            conform.normalize_cash_flow(
+                raw_cash_flow(spark, sf), self.years, self.profit_loss, periods
+            )
+        )
+
+
+_houses: dict[tuple[str, str], Warehouse] = {}
+
+
+def warehouse(spark: SparkSession, sf: str) -> Warehouse:
+    """The clean warehouse of a folder, built once for as long as the session keeps its tables."""
+    own = (run_dir(spark), sf)
+    if own not in _houses:
+        _houses[own] = Warehouse(spark, sf, keep=True)
+    return _houses[own]
 
 
 def raw_analysis(spark: SparkSession, sf: str, ordinal: bool = False) -> DataFrame:

@@ -1,6 +1,8 @@
 """DataFrame operators: every one takes its column names as parameters."""
 
 from statera.operators.audit import (
+    AuditRule,
+    audit_in_one_pass,
     foreign_key_audit,
     not_null_audit,
     orphans,
@@ -8,10 +10,17 @@ from statera.operators.audit import (
 )
 from statera.operators.latest import keep_first, latest_coalesced, latest_per_entity
 from statera.operators.lookup import band_lookup, label_lookup, lookup_with_default
-from statera.operators.measures import measures, price_statistics
+from statera.operators.measures import (
+    measure_sums,
+    measures,
+    measures_of,
+    newer_rows,
+    price_statistics,
+    replaced_sums,
+)
 from statera.operators.nesting import nest_children
-from statera.operators.paging import ordered, page, page_by_position
-from statera.operators.position import ordered_position, surrogate_key
+from statera.operators.paging import ordered, ordered_terms, page, page_by_position, page_by_ranges
+from statera.operators.position import dimension_key, ordered_position, surrogate_key
 from statera.operators.projection import keep_existing, rename_all, rename_first, with_defaults
 from statera.operators.quantiles import bounded_scores, exact_quantiles
 from statera.operators.search import search
@@ -20,9 +29,12 @@ from statera.operators.textrows import split_to_rows
 from statera.operators.upsert import insert_if_absent, upsert
 
 __all__ = [
+    "AuditRule",
     "add_missing_entities",
+    "audit_in_one_pass",
     "band_lookup",
     "bounded_scores",
+    "dimension_key",
     "distinct_values",
     "exact_quantiles",
     "first_seen",
@@ -34,17 +46,23 @@ __all__ = [
     "latest_coalesced",
     "latest_per_entity",
     "lookup_with_default",
+    "measure_sums",
     "measures",
+    "measures_of",
     "nest_children",
+    "newer_rows",
     "not_null_audit",
     "ordered",
     "ordered_position",
+    "ordered_terms",
     "orphans",
     "page",
     "page_by_position",
+    "page_by_ranges",
     "price_statistics",
     "rename_all",
     "rename_first",
+    "replaced_sums",
     "search",
     "split_to_rows",
     "surrogate_key",

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statera.functions.ratios import round_half_even
+from statera.operators.latest import first_by
 
 SLICE = "__slice"
+SUMMED = ("sales", "net_profit", "free_cash_flow")
+AVERAGED = ("net_profit_margin_pct", "debt_to_equity")
 
 
 def measures(wide: DataFrame, latest: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -25,6 +28,10 @@ def measures(wide: DataFrame, latest: DataFrame, by: Sequence[str] = ()) -> Data
         F.avg("debt_to_equity").alias("average_debt_to_equity"),
         F.sum("free_cash_flow").alias("free_cash_flow"),
     )
+    return _with_latest(over_all, latest, by)
+
+
+def _with_latest(over_all: DataFrame, latest: DataFrame, by: list[str]) -> DataFrame:
     newest = latest.groupBy(*by).agg(F.max("eps").alias("latest_eps"))
     if not by:
         # Two one-row results: the newest figure enters as a scalar subquery.
@@ -34,6 +41,53 @@ def measures(wide: DataFrame, latest: DataFrame, by: Sequence[str] = ()) -> Data
     return over_all.join(right, same, "left").drop(*[f"__{k}" for k in by])
 
 
+def measure_sums(wide: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per group what the measures are made of: sums, and how many values the means are of.
+
+    One row per group, to be stored: ``measures_of`` gives the measures by the same or fewer
+    columns from these rows alone, and ``replaced_sums`` brings them up to date.
+    """
+    return wide.groupBy(*by).agg(
+        *[F.sum(c).alias(f"sum_{c}") for c in (*SUMMED, *AVERAGED)],
+        *[F.count(c).alias(f"count_{c}") for c in AVERAGED],
+    )
+
+
+def replaced_sums(
+    stored: DataFrame, fresh: DataFrame, column: str, values: Sequence[object]
+) -> DataFrame:
+    """Stored sums in which the groups with these values of ``column`` come from ``fresh``.
+
+    After a load of some partitions, of some years say, ``fresh`` is summed up from these alone.
+    """
+    changed = F.coalesce(F.col(column).isin(*values), F.lit(False))
+    if any(value is None for value in values):
+        changed = changed | F.col(column).isNull()
+    return stored.filter(~changed).unionByName(fresh.filter(changed))
+
+
+def newer_rows(
+    stored: DataFrame, batch: DataFrame, entity: str, order: Sequence[Column]
+) -> DataFrame:
+    """The latest row of every entity, of its stored one and that of a batch."""
+    return first_by(stored.unionByName(batch), [entity], list(order))
+
+
+def measures_of(sums: DataFrame, latest: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``measures`` from stored sums and the stored latest row per entity."""
+    by = list(by)
+    over_all = sums.groupBy(*by).agg(
+        F.sum("sum_sales").alias("total_sales"),
+        F.sum("sum_net_profit").alias("total_net_profit"),
+        *[
+            F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}")).alias(name)
+            for c, name in zip(AVERAGED, ("average_margin_pct", "average_debt_to_equity"), strict=True)
+        ],
+        F.sum("sum_free_cash_flow").alias("free_cash_flow"),
+    )
+    return _with_latest(over_all, latest, by)
+
+
 def price_statistics(
     df: DataFrame,
     entity: str,

@@ -69,3 +69,15 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[Column]) -> DataFram
         (F.col(name) + 1).cast("int").alias(name),
         *[column for column in df.columns if column != name],
     )
+
+
+def dimension_key(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
+    """Number the rows of a small dimension 1..N in the given total order, in one task.
+
+    For periods, sectors and the like, whose distinct rows one task sorts; a table that may grow
+    with the facts takes ``surrogate_key``.
+    """
+    number = F.row_number().over(Window.orderBy(*order))
+    return df.select(
+        number.alias(name), *[column for column in df.columns if column != name]
+    )

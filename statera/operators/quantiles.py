@@ -4,11 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statera.functions.scores import scale_between
-from statera.operators.position import ordered_position
+
+
+#: Bits of a value's place that are counted at a time: 65,536 counts per value looked for, at most.
+DIGIT = 16
+
+
+def sortable_bits(value: Column) -> Column:
+    """A bigint that orders as the double does, from its sign, exponent and fraction.
+
+    The eight bytes of the IEEE 754 number, read as a whole number and mirrored where negative; 0.0
+    and -0.0 are equal. Null for null; NaN has no place among numbers and must be left out.
+    """
+    size = F.abs(value)
+    # log2 may miss the exponent by one next to a power of two; scaling by powers of two is exact.
+    guess = F.floor(F.log2(size))
+    low = F.pow(F.lit(2.0), guess)
+    exponent = guess + F.when(size < low, -1).when(size >= low * 2, 1).otherwise(0)
+    normal = size >= 2.0**-1022
+    # In two steps, since 2 to the 1074 is no double.
+    scaled = size * F.pow(F.lit(2.0), 52 - F.greatest(exponent, F.lit(-500)))
+    scaled = scaled * F.when(exponent < -500, F.pow(F.lit(2.0), -500 - exponent)).otherwise(1.0)
+    fraction = scaled.cast("bigint") - F.lit(1 << 52)
+    below_normal = (size * 2.0**537 * 2.0**537).cast("bigint")
+    bits = (
+        F.when(size == 0, F.lit(0).cast("bigint"))
+        .when(size == float("inf"), F.lit(0x7FF << 52))
+        .when(normal, F.shiftleft((exponent + 1023).cast("bigint"), 52) + fraction)
+        .otherwise(below_normal)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
 
 
 def exact_quantiles(
@@ -16,8 +45,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per column with values, and the quantiles ``q0, q1, ...`` between its neighbours.
 
-    Linear interpolation, nulls skipped. Equal values are counted first, so a value that fills a
-    third of a column is one row; the distinct values are then placed in order across all tasks.
+    Linear interpolation, nulls and NaN skipped. The values are found by selection, with no sort
+    and nothing stored: the highest ``DIGIT`` bits of all values are counted, which tells the bits
+    of the value of a rank and how many values lie below; of the values with those bits the next
+    ones are counted, and so on, four times in all. So ``df`` is read four times; what is shuffled
+    are counts, 65,536 per rank and step at most.
     """
     cells = df.select(
         F.explode(
@@ -29,38 +61,55 @@ def exact_quantiles(
             )
         ).alias("cell")
     ).select("cell.*")
-    counts = (
-        cells.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("metric", "value")
-        .agg(F.count("*").alias("n"))
+    cells = cells.filter(F.col("value").isNotNull() & ~F.isnan("value")).select(
+        "metric", "value", sortable_bits(F.col("value")).alias("bits")
     )
-    placed = ordered_position(counts, [F.col("value")], ["metric"], weight="n", name="before")
-    # One row per column of the input, so broadcasting it is always safe.
-    totals = F.broadcast(placed.groupBy("metric").agg(F.sum("n").alias("total")))
-    placed = placed.join(totals, "metric")
 
-    def at(rank: Column) -> Column:
-        holds = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-        return F.max(F.when(holds, F.col("value")))
+    # The ranks asked for: the value at or below each quantile's place, and the next one.
+    def ranks(total: Column) -> Column:
+        rows = []
+        for i, p in enumerate(probabilities):
+            place = F.lit(float(p)) * (total - 1)
+            for kind, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
+                rows.append(F.struct(F.lit(f"{kind}{i}").alias("asked"), rank.alias("rank")))
+        return F.array(*rows)
+
+    counted = cells.groupBy("metric", F.shiftright("bits", 64 - DIGIT).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("value")
+    )
+    totals = Window.partitionBy("metric")
+    counted = counted.withColumn("total", F.sum("n").over(totals)).withColumn(
+        "before", F.sum("n").over(totals.orderBy("prefix")) - F.col("n")
+    )
+    found = _holding(counted.withColumn("r", F.explode(ranks(F.col("total")))).select("*", "r.*").drop("r"))
+    for shift in range(64 - 2 * DIGIT, -1, -DIGIT):
+        # A few rows per column and probability, whatever the size of the input.
+        asked = F.broadcast(found.select("metric", "asked", "rank", "total", "prefix"))
+        matching = cells.withColumn("prefix", F.shiftright("bits", shift + DIGIT)).join(
+            asked, ["metric", "prefix"]
+        )
+        counted = matching.groupBy(
+            "metric", "asked", "rank", "total", F.shiftright("bits", shift).alias("prefix")
+        ).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"))
+        before = F.sum("n").over(Window.partitionBy("metric", "asked").orderBy("prefix")) - F.col("n")
+        found = _holding(counted.withColumn("before", before))
 
     picked = []
     for i, p in enumerate(probabilities):
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        picked += [
-            at(F.floor(place)).alias(f"low{i}"),
-            at(F.ceil(place)).alias(f"high{i}"),
-            F.max(place - F.floor(place)).alias(f"part{i}"),
-        ]
-    ends = placed.groupBy("metric").agg(*picked)
-    return ends.select(
-        "metric",
-        *[
-            (
-                F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * F.col(f"part{i}")
-            ).alias(f"q{i}")
-            for i in range(len(probabilities))
-        ],
-    )
+        place = F.lit(float(p)) * (F.max("total") - 1)
+        low, high = (F.max(F.when(F.col("asked") == f"{k}{i}", F.col("value"))) for k in ("low", "high"))
+        # Apart where both are the same infinity.
+        picked.append(
+            F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place))).alias(f"q{i}")
+        )
+    return found.groupBy("metric").agg(*picked)
+
+
+def _holding(counted: DataFrame) -> DataFrame:
+    """The count that holds the rank asked for, and the rank within it."""
+    inside = F.col("rank") - F.col("before")
+    held = counted.filter((inside >= 0) & (inside < F.col("n")))
+    return held.withColumn("rank", inside).drop("before", "n")
 
 
 def approximate_quantiles(
@@ -92,8 +141,8 @@ def bounded_scores(
 
     ``scores`` maps a new column to its metric and whether a higher value is better. The bounds
     (one row per metric) enter the plan as one scalar subquery; nothing runs before the result is
-    asked for but the storing of the counted values. ``df`` is read twice, so hand in something
-    stored. ``accuracy`` switches to approximate quantiles.
+    asked for. ``df`` is read five times, so hand in something stored. ``accuracy`` switches to
+    approximate quantiles.
     """
     metrics = list(dict.fromkeys(metric for metric, _ in scores.values()))
     if accuracy is None:

@@ -41,11 +41,25 @@ def upsert(
     return merged.unionByName(unkeyed, allowMissingColumns=True).select(*target.columns)
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``target`` with the rows of ``incoming`` whose key it lacks; null keys are always added."""
+def insert_if_absent(
+    target: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str],
+    order: Sequence[Column] | None = None,
+) -> DataFrame:
+    """``target`` with the rows of ``incoming`` whose key it lacks; null keys are always added.
+
+    Of rows that share a key the first in ``order`` is added, by default the one with the least
+    other columns, nulls first; so reruns agree.
+    """
     key = list(key)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-    rows = incoming.filter(has_key).dropDuplicates(key)
+    others = [c for c in incoming.columns if c not in key]
+    rows = incoming.filter(has_key)
+    if others:
+        rows = first_by(rows, key, list(order or [F.col(c).asc_nulls_first() for c in others]))
+    else:
+        rows = rows.dropDuplicates(key)
     added = _append_new(target, rows, key, target)
     return added.unionByName(incoming.filter(~has_key), allowMissingColumns=True)
 

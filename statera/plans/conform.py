@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statera.fixed_values import (
@@ -32,6 +32,7 @@ from statera.functions import (
 from statera.functions.periods import PERIOD_FIELDS, parse_period, with_period
 from statera.operators import (
     add_missing_entities,
+    dimension_key,
     distinct_values,
     first_seen,
     keep_existing,
@@ -39,7 +40,6 @@ from statera.operators import (
     lookup_with_default,
     rename_all,
     split_to_rows,
-    surrogate_key,
 )
 from statera.operators.projection import optional
 from statera.schemas import MONEY, TABLES
@@ -62,6 +62,10 @@ RAW_TABLES = {
 YEAR_COLUMNS = ("year_id", *PERIOD_FIELDS)
 
 
+def fiscal_order() -> list[Column]:
+    return [F.col("sort_order").asc_nulls_last(), F.col("year_label").asc()]
+
+
 def cleaned(
     df: DataFrame, numbers: Sequence[str] = (), others: Mapping[str, Column] | None = None
 ) -> DataFrame:
@@ -102,7 +106,7 @@ def build_year_dimension(
     """Distinct period labels of all tables, numbered in fiscal order.
 
     Where two raw labels give the same period, the one read first decides its flags. ``parsed``
-    takes labels that ``parsed_labels`` has found already.
+    takes labels that ``parsed_labels`` has found already. The distinct labels meet in one task.
     """
     parsed = parsed if parsed is not None else parsed_labels(frames, year)
     others = [name for name in PERIOD_FIELDS if name != "year_label"]
@@ -111,8 +115,25 @@ def build_year_dimension(
         .agg(F.min_by(F.struct(*others), "__seen").alias("p"))
         .select("year_label", "p.*")
     )
-    order = [F.col("sort_order").asc_nulls_last(), F.col("year_label").asc()]
-    return surrogate_key(labels, "year_id", order)
+    return dimension_key(labels, "year_id", fiscal_order())
+
+
+def numbered_labels(parsed: DataFrame) -> DataFrame:
+    """What ``label_periods`` gives with the dimension of the same labels, in one pass.
+
+    Every raw label with its ``year_id`` and the fields of its period; ``year_dimension_of`` makes
+    the dimension of it. The distinct labels meet in one task.
+    """
+    others = [name for name in PERIOD_FIELDS if name != "year_label"]
+    first = F.first(F.struct(*others)).over(Window.partitionBy("year_label").orderBy("__seen"))
+    labels = parsed.select("raw_label", "year_label", first.alias("p")).select("raw_label", "year_label", "p.*")
+    rank = F.dense_rank().over(Window.orderBy(*fiscal_order()))
+    return labels.select("raw_label", rank.alias("year_id"), *PERIOD_FIELDS)
+
+
+def year_dimension_of(labels: DataFrame) -> DataFrame:
+    """The period dimension of labels that ``numbered_labels`` made."""
+    return labels.drop("raw_label").distinct()
 
 
 def label_periods(parsed: DataFrame, dim_year: DataFrame) -> DataFrame:
@@ -354,7 +375,7 @@ def normalize_documents(df: DataFrame) -> DataFrame:
 def build_dim_sector(mapping: DataFrame, sector: str = "sector") -> DataFrame:
     names = mapping.select(F.col(sector).alias("sector_name")).distinct()
     names = names.filter(F.col("sector_name").isNotNull())
-    numbered = surrogate_key(names, "sector_id", [F.col("sector_name").asc()])
+    numbered = dimension_key(names, "sector_id", [F.col("sector_name").asc()])
     return numbered.select(
         "sector_id",
         "sector_name",
@@ -420,9 +441,8 @@ def run(
     statements = [raw[n] for n in ("balancesheet", "profitandloss", "cashflow") if n in raw]
     dim_year = labels = None
     if statements:
-        parsed = stored(parsed_labels(statements), "labels")
-        dim_year = store("dim_year", build_year_dimension(statements, parsed=parsed))
-        labels = stored(label_periods(parsed, dim_year), "periods")
+        labels = stored(numbered_labels(parsed_labels(statements)), "labels")
+        dim_year = store("dim_year", year_dimension_of(labels))
     companies, _ = normalize_companies(raw["companies"], lookup)
     companies = store("dim_company", complete_companies(companies, raw, lookup))
     mapping = store("sector_mapping", companies.select("symbol", "sector", "sub_sector"))

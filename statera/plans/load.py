@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 
 from statera.fixed_values import HEALTH_BANDS
 from statera.operators import (
+    AuditRule,
+    audit_in_one_pass,
+    dimension_key,
     foreign_key_audit,
     insert_if_absent,
     keep_existing,
     label_lookup,
-    not_null_audit,
     surrogate_key,
-    unique_audit,
     upsert,
 )
-from statera.schemas import TABLES
+from statera.schemas import TABLES, Table
 from statera.sources.files import ORDINAL
 from statera.sources.sinks import conform, laid_out, refuse_reading, write_tables
 
@@ -57,19 +58,29 @@ def merge_table(
     Of a key that the batch repeats the last row by the source's ordinal counts; a batch without
     ordinals that repeats a key with other values fails.
     """
-    spec = TABLES[name]
+    typed = typed_batch(name, TABLES[name], incoming, labels)
+    target = stored if stored is not None else empty_table(spark, name)
+    return merge_typed(TABLES[name], target, typed)
+
+
+def typed_batch(name: str, spec: Table, incoming: DataFrame, labels: DataFrame) -> DataFrame:
+    """The columns of a batch that the table takes, in its types, and the ordinal if there is one."""
     if name == "fact_ml_scores" and "health_label_id" not in incoming.columns:
         incoming = label_lookup(incoming, labels, "health_label", "health_label_id")
     columns = [c for c in spec.load_columns if c in incoming.columns]
     carry = [ORDINAL] if ORDINAL in incoming.columns else []
-    typed = conform(incoming.select(*columns, *carry), spec, partial=True, carry=carry)
-    target = stored if stored is not None else empty_table(spark, name)
+    return conform(incoming.select(*columns, *carry), spec, partial=True, carry=carry)
+
+
+def merge_typed(spec: Table, target: DataFrame, typed: DataFrame) -> DataFrame:
+    """``target`` after a batch that ``typed_batch`` made."""
+    columns = [c for c in typed.columns if c != ORDINAL]
     if set(columns) <= set(spec.conflict):
         merged = insert_if_absent(target, typed.select(*columns), spec.conflict)
-    elif carry:
-        merged = upsert(target, typed, spec.conflict, [F.col(c) for c in (*carry, *columns)])
+    elif ORDINAL in typed.columns:
+        merged = upsert(target, typed, spec.conflict, [F.col(c) for c in (ORDINAL, *columns)])
     else:
-        merged = upsert(target, _each_key_once(typed, spec.conflict), spec.conflict)
+        merged = upsert(target, each_key_once(typed, spec.conflict), spec.conflict)
     for key in spec.generated:
         merged = number_new_rows(merged, key, [F.col(c) for c in spec.conflict])
     absent = {c: v for c, v in spec.defaults.items() if c not in columns}
@@ -78,7 +89,7 @@ def merge_table(
     return conform(merged, spec)
 
 
-def _each_key_once(batch: DataFrame, key: Sequence[str]) -> DataFrame:
+def each_key_once(batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """The distinct rows of a batch; the job fails where two of them have the same key."""
     rows = batch.distinct()
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
@@ -99,11 +110,11 @@ def merged_years(stored: DataFrame | None, incoming: DataFrame) -> DataFrame:
     batch = keep_existing(incoming, [c for c in spec.columns if c != "year_id"])
     if stored is not None:
         kept = stored.drop("year_id")
-        batch = upsert(kept, _each_key_once(batch, ["year_label"]), ["year_label"])
+        batch = upsert(kept, each_key_once(batch, ["year_label"]), ["year_label"])
     else:
-        batch = _each_key_once(batch, ["year_label"])
+        batch = each_key_once(batch, ["year_label"])
     order = [F.col("sort_order").asc_nulls_last(), F.col("year_label").asc()]
-    return conform(surrogate_key(batch, "year_id", order), spec)
+    return conform(dimension_key(batch, "year_id", order), spec)
 
 
 def renumbered(fact: DataFrame, old: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -153,51 +164,26 @@ def warehouse_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     One row per rule: the table, the rule, and how many rows (of a key: how many key values)
     violate it. References to tables that are not given are left out; a null reference in a
-    column that may be null is none.
+    column that may be null is none. Every table is read once, for all rules.
     """
-    reports = []
-    references = {}
+    rules = []
     for name, df in tables.items():
         spec = TABLES[name]
-        for key in spec.unique:
-            repeated = unique_audit(df, key).agg(F.count("*").alias("violations"))
-            reports.append((name, f"unique({', '.join(key)})", repeated))
-        required = [c for c in spec.required if c in df.columns]
-        if required:
-            nulls = not_null_audit(df, required)
-            reports.append((name, None, nulls))
-        for ref in spec.foreign_keys:
-            if ref.parent in tables and ref.column in df.columns:
-                child = df if ref.column in spec.required else df.dropna(subset=[ref.column])
-                parent = tables[ref.parent]
-                references[f"{name}.{ref.column}"] = (
-                    child,
-                    [ref.column],
-                    parent,
-                    [ref.parent_column],
-                )
-    rows = []
-    for name, rule, report in reports:
-        label = F.lit(rule) if rule else F.concat(F.lit("not_null("), "column", F.lit(")"))
-        count = F.col("violations") if rule else F.col("nulls")
-        rows.append(
-            report.select(
-                F.lit(name).alias("table_name"),
-                label.alias("rule"),
-                count.cast("bigint").alias("violations"),
-            )
-        )
-    if references:
-        rows.append(
-            foreign_key_audit(references).select(
-                F.substring_index("check", ".", 1).alias("table_name"),
-                F.concat(
-                    F.lit("reference("), F.substring_index("check", ".", -1), F.lit(")")
-                ).alias("rule"),
-                "violations",
+        rules += [AuditRule(name, f"unique({', '.join(key)})", key) for key in spec.unique]
+        rules += [
+            AuditRule(name, f"not_null({c})", [c], required=True)
+            for c in spec.required
+            if c in df.columns
+        ]
+        rules += [
+            AuditRule(
+                name, f"reference({ref.column})", [ref.column], ref.parent, [ref.parent_column],
+                null_violates=ref.column in spec.required,
             )
-        )
-    return reduce(DataFrame.unionByName, rows)
+            for ref in spec.foreign_keys
+            if ref.parent in tables and ref.column in df.columns
+        ]
+    return audit_in_one_pass(tables, rules)
 
 
 class Load(NamedTuple):

@@ -78,7 +78,10 @@ def run(
     computed_at: Column | None = None,
     aligned: bool = True,
 ) -> DataFrame:
-    """Score the clean facts and write ``fact_ml_scores`` below ``out``; returns what is written."""
+    """Score the clean facts and write ``fact_ml_scores`` below ``out``; returns what is written.
+
+    A company without any metric has no overall score, which the warehouse requires; it is left out.
+    """
     out = out or scratch_path(spark, "scores")
     scores = compute_health_scores(
         clean["fact_profit_loss"],
@@ -87,5 +90,5 @@ def run(
         computed_at,
         aligned,
     )
-    write_tables({"fact_ml_scores": scores}, out)
+    write_tables({"fact_ml_scores": scores.filter(F.col("overall_score").isNotNull())}, out)
     return spark.read.parquet(f"{out}/fact_ml_scores")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from statera.functions.cleaning import strip_space
 from statera.session import scratch_path
+from statera.sources.records import read_records, sql_lines
 
 HEAD = r"(?is)INSERT\s+INTO\s+`?(\w+)`?\s*\(([^)]*)\)\s*VALUES\s*(.*)"
 # A row in brackets; a value may hold one more pair, as NOW() does.
@@ -32,7 +33,7 @@ def _without_comments(text: Column) -> Column:
 def _whole(text: Column) -> Column:
     """The text, unless one of its strings is still open at the end: then the job fails.
 
-    This happens where a string holds the statements' terminator.
+    This happens at the end of a broken file, or where a string holds a given terminator.
     """
     quotes = F.length(text) - F.length(F.replace(text, F.lit("'"), F.lit("")))
     said = F.concat(F.lit("a string does not end in: "), F.substring(text, 1, 200))
@@ -67,25 +68,23 @@ def _value(cell: Column) -> Column:
     return F.when(F.upper(text) != "NULL", text)
 
 
-def find_terminator(spark: SparkSession, path: str) -> str:
-    """What ends a statement: a semicolon and the line end that the first line has."""
-    first = spark.read.text(path, lineSep="\n").limit(1).collect()
-    return ";\r\n" if first and first[0].value.endswith("\r") else ";\n"
-
-
 def read_rows(
     spark: SparkSession, path: str, tables: Sequence[str], terminator: str | None = None
 ) -> DataFrame:
     """One row per row inserted into ``tables``: table name and a map from column to text.
 
-    The file is cut at ``terminator`` (by default a semicolon and the file's line end), so that
-    tasks share it; a statement is one record. Records without a statement for the tables are left
-    out before anything is cut up. Comments go. The job fails, rather than lose rows, where a
-    statement ends inside a string or has no row.
+    A statement ends with a semicolon at a line's end that is in no string and no comment; tasks
+    share a file, and a statement goes from one to the next where it lies across their blocks. With
+    ``terminator`` the file is simply cut there. Records without a statement for the tables are
+    left out before anything is cut up. Comments go. The job fails, rather than lose rows, where a
+    string is open at the end or a statement has no row.
     """
     names = "|".join(tables)
     wanted = F.col("value").rlike(rf"(?i)INSERT\s+INTO\s+`?(?:{names})`?\s*\(")
-    lines = spark.read.text(path, lineSep=terminator or find_terminator(spark, path))
+    if terminator:
+        lines = spark.read.text(path, lineSep=terminator)
+    else:
+        lines = read_records(spark, path, sql_lines)
     bare = _whole(_without_comments(_mask_escapes(F.col("value"))))
     records = lines.filter(wanted).select(
         F.explode(F.split(_mask_quoted(bare), ";")).alias("statement")

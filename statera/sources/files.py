@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statera.functions.cleaning import none_if_token, strip_space
+from statera.sources.records import csv_lines, read_records
 
 ORDINAL = "__ordinal"
 
@@ -41,11 +42,27 @@ def read_raw_csv(
 ) -> DataFrame:
     """All-string table from CSV with headers.
 
-    Spark splits large files. Quoted line breaks need ``multiline``, which reads a file in one
-    task. ``ordinal`` adds the reading order of rows.
+    Spark splits large files. ``multiline`` admits line breaks in quoted cells; the files are then
+    read twice, by as many tasks. ``ordinal`` adds the reading order of rows.
     """
     reader = spark.read.options(**CSV_OPTIONS, header=True, inferSchema=False, multiLine=multiline)
-    return tidy(reader.csv(path), ordinal)
+    if not multiline:
+        return tidy(reader.csv(path), ordinal)
+    # Spark's reader gives the header's names; the first record of each file is its header.
+    names = reader.csv(path).columns
+    records = read_records(spark, path, csv_lines)
+    header = (F.col("block") == 0) & (F.col("row") == 0)
+    filled = records.filter(~header & (strip_space(F.col("value")) != ""))
+    quoted = ("`" + name.replace("`", "``") + "` STRING" for name in names)
+    # What is left of a line end of two characters is no part of the last cell.
+    value = F.regexp_replace("value", r"\r\z", "")
+    cells = F.from_csv(value, ", ".join(quoted), {**CSV_OPTIONS, "multiLine": "true"})
+    parsed = filled.select("file", "block", "row", cells.alias("cells"))
+    named = [
+        none_if_token(F.col("cells")[name]).alias(name.strip().lower()) for name in names
+    ]
+    place = F.struct("file", "block", "row").alias(ORDINAL)
+    return parsed.select(*named, *([place] if ordinal else []))
 
 
 def read_clean_csv(

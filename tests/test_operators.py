@@ -2,6 +2,7 @@
 
 import random
 import statistics
+import struct
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from statera import operators as op
 from statera.fixed_values import HEALTH_BANDS
-from statera.operators.quantiles import approximate_quantiles
+from statera.operators.paging import ordering_columns
+from statera.operators.quantiles import approximate_quantiles, sortable_bits
 
 
 def rows_of(df, *order):
@@ -127,6 +129,44 @@ def test_exact_quantiles_with_a_hot_value(spark):
     assert [r["metric"] for r in rough] == ["a"]
 
 
+def test_sortable_bits(spark):
+    """They order as the numbers do, and are those of the IEEE 754 format."""
+    rng = random.Random(9)
+    edges = [0.0, -0.0, 1.0, 0.1, 2.0**52, 2.0**53 - 1, 5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308]
+    edges += [float("inf"), 1 + 2.0**-52, 2 - 2.0**-52, 2.0**-537, 2.0**-538, 2.0**1023]
+    edges += [struct.unpack("<d", struct.pack("<q", rng.randrange(1 << 63)))[0] for _ in range(2000)]
+    values = [v for x in edges for v in (x, -x) if x == x]
+    got = spread(spark, [(v,) for v in values], "v double").select("v", sortable_bits(F.col("v")).alias("b")).collect()
+    for r in got:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["b"] == (-bits if r["v"] < 0 else bits)
+
+
+def test_exact_quantiles_of_odd_columns(spark):
+    rng = random.Random(4)
+    inf = float("inf")
+    columns = {
+        "tiny": [rng.uniform(-1, 1) * 5e-320 for _ in range(101)],
+        "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(101)],
+        "close": [1 + k * 2.0**-52 for k in range(101)],
+        "ends": [-inf] * 3 + [inf] * 3 + [1.0] * 95,
+        "one": [7.0] + [None] * 100,
+    }
+    rows = list(zip(*columns.values(), strict=True))
+    df = spread(spark, rows, ", ".join(f"{name} double" for name in columns))
+    found = op.exact_quantiles(df, list(columns), [0.0, 0.05, 0.5, 1.0]).collect()
+    got = {r["metric"]: list(r)[1:] for r in found}
+    for name in ("tiny", "wide", "close"):
+        assert got[name] == [brute_quantile(columns[name], p) for p in (0.0, 0.05, 0.5, 1.0)]
+    assert got["ends"] == [-inf, 1.0, 1.0, inf] and got["one"] == [7.0] * 4
+
+
+def test_quantiles_store_and_sort_nothing(spark):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    plan = op.exact_quantiles(df, ["x"], [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "InMemory" not in plan and "rangepartitioning" not in plan
+
+
 def test_bounded_scores(spark):
     df = spark.createDataFrame(
         [(float(i), 5.0 if i < 3 else None, None) for i in range(1, 11)],
@@ -311,3 +351,33 @@ def test_audits(spark):
     same(report, [("c", 3), ("d", 0)])
     same(op.unique_audit(child, ["s"]), [("z", 2)])
     same(op.not_null_audit(child, ["s", "y"]), [("s", 1), ("y", 1)])
+
+
+@pytest.mark.parametrize("most", [40, 10_000])
+def test_pages_by_ranges(spark, most):
+    rng = random.Random(8)
+    rows = [
+        (i, rng.choice([None, float("nan"), *range(4)]), rng.choice([None, "", "é", "b", "z" * 3]), i % 3 == 0)
+        for i in range(700)
+    ]
+    rows = [(i, None if v is None else float(v), t, b) for i, v, t, b in rows]
+    df = spread(spark, rows, "id int, v double, t string, b boolean")
+    for terms, numbers in ((["-v", "t", "id"], (1, 9, 71)), (["t", "-v", "-b", "-id"], (2, 70))):
+        order = ordering_columns(terms)
+        whole = [r["id"] for r in df.orderBy(*order).collect()]
+        for number in numbers:
+            got = op.page_by_ranges(df, terms, number, 10, most=most)
+            assert [r["id"] for r in got.collect()] == whole[(number - 1) * 10 : number * 10]
+
+
+def test_pages_by_ranges_of_ties_and_nothing(spark):
+    df = spread(spark, [(1, i) for i in range(200)], "v int, i int")
+    assert op.page_by_ranges(df, ["v"], 20, 10, most=20).count() == 10
+    assert op.page_by_ranges(df.limit(0), ["v"]).count() == 0
+
+
+def test_dimension_key(spark):
+    df = spread(spark, [("b", 2), ("a", 2), ("c", None), ("d", 1)], "name string, place int")
+    numbered = op.dimension_key(df, "id", [F.col("place").asc_nulls_last(), F.col("name")])
+    assert {(r["name"], r["id"]) for r in numbered.collect()} == {("d", 1), ("a", 2), ("b", 3), ("c", 4)}
+    assert numbered.columns == ["id", "name", "place"]

@@ -101,7 +101,7 @@ def test_dump_with_comments_and_other_line_ends(spark, tmp_path):
 @pytest.mark.parametrize(
     "text, said",
     [
-        ("INSERT INTO t (a) VALUES ('1'), ('a;\nb'), ('3');\n", "does not end"),
+        ("INSERT INTO t (a) VALUES ('1'), ('a;\nb), (3);\n", "does not end"),
         ("INSERT INTO t (a) VALUES ;\n", "no row"),
     ],
 )
@@ -112,6 +112,15 @@ def test_dump_fails_rather_than_lose_rows(spark, tmp_path, text, said):
         read_dump(spark, str(path), {"t": ["a"]})["t"].collect()
 
 
+def test_a_given_terminator_cuts_wherever_it_stands(spark, tmp_path):
+    path = tmp_path / "dump.sql"
+    path.write_text("INSERT INTO t (a) VALUES ('1'), ('a;\nb'), ('3');\n")
+    rows = read_dump(spark, str(path), {"t": ["a"]})["t"].collect()
+    assert [r["a"] for r in rows] == ["1", "a;\nb", "3"]
+    with pytest.raises(Exception, match="does not end"):
+        read_dump(spark, str(path), {"t": ["a"]}, terminator=";\n")["t"].collect()
+
+
 def test_dump_with_a_long_text(spark, tmp_path):
     """A long value with many escapes must neither be cut nor overflow a matcher's stack."""
     text = "it\\'s (long), really; " * 20000
