@@ -244,12 +244,19 @@ def encode_pieces(
 
 
 def digests() -> list[Column]:
-    """Of the columns of ``encode_pieces``: how many pieces and source bytes, and two hashes."""
-    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    """Of the columns of ``encode_pieces``: how many pieces and source bytes, and three hashes.
+
+    The spans' hash is that of all begins and then all ends, comma-joined, with a semicolon between.
+    """
+
+    def joined(name: str) -> Column:
+        return F.array_join(F.col(name).cast("array<string>"), ",")
+
     last = F.when(F.size("ends") > 0, F.element_at("ends", -1)).otherwise(0)
     return [
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2(joined("ids"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         last.cast("bigint").alias("n_bytes"),
+        F.sha2(F.concat_ws(";", joined("begins"), joined("ends")), 256).alias("spans_sha256"),
     ]

@@ -48,7 +48,10 @@ def test_rows(spark):
         ids = own.encode(text or "")
         joined = ",".join(map(str, ids)).encode()
         parts = hashlib.sha256(joined).hexdigest(), hashlib.sha256(own.decode(ids).encode()).hexdigest()
-        return key, len(ids), *parts, len((text or "").encode())
+        _, begins, ends = codec(PATH).encode(text or "")
+        spans = ";".join(",".join(map(str, part.tolist())) for part in (begins, ends))
+        spans_sha256 = hashlib.sha256(spans.encode()).hexdigest()
+        return key, len(ids), *parts, len((text or "").encode()), spans_sha256
 
     assert sorted(map(str, map(tuple, got))) == sorted(str(row(r[0], r[1])) for r in ROWS)
     assert encode_pieces(frame(spark).limit(0), PATH).count() == 0
