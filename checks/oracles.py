@@ -584,6 +584,8 @@ def items(text: str, flag: str) -> str:
         unnest({ITEMS.format(text=text)}) AS item FROM documents"""
 
 
+WIDE_VIEW = f"{WAREHOUSE}, {WIDE.strip()} SELECT {WIDE_COLUMNS} FROM wide"
+
 SECTOR_YEAR = measures("sub_sector, fiscal_year")
 
 LOADED = f"""{WAREHOUSE}, {LAST_GROWTH}, {REMARK_ROWS},
@@ -711,7 +713,8 @@ ORACLES: dict[str, str] = {
             THEN {label_ladder('c_acctbal / 100')} END AS band FROM customer""",
     "label_lookup": """SELECT c_custkey, 'NATION_' || (c_custkey % 30) AS health_label,
         CASE WHEN c_custkey % 30 < 25 THEN c_custkey % 30 END AS health_label_id FROM customer""",
-    "wide_financials": f"{WAREHOUSE}, {WIDE.strip()} SELECT {WIDE_COLUMNS} FROM wide",
+    "wide_financials": WIDE_VIEW,
+    "wide_colocated": WIDE_VIEW,
     "measures_total": measures(""),
     "measures_by_sector": measures("sector"),
     "measures_by_sector_year": SECTOR_YEAR,

@@ -13,7 +13,7 @@ from checks.roles import Warehouse, cents, table
 from statera import functions as fn
 from statera import operators as op
 from statera.fixed_values import HEALTH_BANDS
-from statera.plans import conform, load, scoring, serve, versions
+from statera.plans import colocated, conform, load, scoring, serve, versions
 from statera.schemas import TABLES
 from statera.session import scratch_path, stored
 from statera.sources import (
@@ -371,6 +371,27 @@ def wide_financials(spark, sf):
     return plain(wide_view(wide(roles.warehouse(spark, sf))))
 
 
+@query
+def wide_colocated(spark, sf):
+    """The wide view over facts that lie by symbol, which it joins without a shuffle."""
+    house = roles.warehouse(spark, sf)
+    laid = colocated.colocate(
+        spark,
+        {
+            "dim_company": house.companies,
+            "fact_profit_loss": house.profit_loss,
+            "fact_balance_sheet": house.balance_sheet,
+            "fact_cash_flow": house.cash_flow,
+        },
+        buckets=4,
+    )
+    view = serve.wide_financials(
+        laid["dim_company"], laid["fact_profit_loss"], house.years,
+        laid["fact_balance_sheet"], laid["fact_cash_flow"],
+    )
+    return plain(wide_view(view))
+
+
 def measure_rows(spark, sf, by):
     """Measures over the wide view with money as decimals, so that sums are exact."""
     view = stored(wide(roles.warehouse(spark, sf)))

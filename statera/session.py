@@ -16,6 +16,8 @@ RECOMMENDED = {
     # Let AQE split a skewed join even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Let joins by symbol and period use tables that lie by symbol.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

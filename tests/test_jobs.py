@@ -6,7 +6,8 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
-from statera.plans import conform, load, scoring, serve
+from statera.operators import latest_per_entity
+from statera.plans import colocated, conform, load, scoring, serve
 from statera.sources import ORDINAL, read_raw_csv
 from tests.test_operators import brute_quantile, same
 
@@ -507,3 +508,31 @@ def test_views(house):
     }
     newest = by(serve.latest_financials(wide), "symbol")
     assert newest["TCS",]["year_label"] == "TTM" and newest["TCS",]["sort_year"] == 5
+
+
+def test_colocated_facts_meet_without_a_shuffle(spark, house):
+    t = house[0]
+    names = ("dim_company", "fact_profit_loss", "fact_balance_sheet", "fact_cash_flow", "dim_year")
+    laid = colocated.colocate(spark, {name: t[name] for name in names}, buckets=3)
+    assert laid["dim_year"] is t["dim_year"]
+    kept = {
+        name: spark.conf.get(name)
+        for name in (colocated.SETTING, "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    }
+    spark.conf.set(colocated.SETTING, "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        view = lambda t: serve.wide_financials(
+            t["dim_company"], t["fact_profit_loss"], F.broadcast(t["dim_year"]), t["fact_balance_sheet"], t["fact_cash_flow"]
+        )
+        plan = view(laid)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" in plan
+        assert view(t)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") > 3
+        newest = latest_per_entity(laid["fact_profit_loss"], "symbol", "year_id")
+        assert "Exchange" not in newest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    same(view(laid), [tuple(r) for r in view(t).collect()])
+
