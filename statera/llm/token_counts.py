@@ -34,6 +34,18 @@ def pre_tokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+#: Texts by which a tokenizer shows whether it looks across white space.
+PROBES = ("a b", " a", "a ", "a  b", "a\nb", "a \n b", "\t\ta", "It's 1 2", "a\x0b\x0cb  ", ". .", "de la de la", "(a) (b)")
+
+
+@functools.lru_cache(maxsize=2)
+def parts_apart(path: str) -> bool:
+    """Whether a text has as many tokens as its parts between white space have together."""
+    own = tokenizer(path)
+    count = lambda text: len(own.encode(text, add_special_tokens=False).ids)
+    return all(count(text) == sum(map(count, text.split())) for text in PROBES)
+
+
 class Lengths(dict):
     """Tokens per pre-token: a table of frequent ones, and a cache that starts anew when full."""
 
@@ -99,9 +111,9 @@ def count_tokens(
     """(id, n_bytes, n_tokens, over_limit) of every row: tokens as the library counts them.
 
     No marks of begin or end are added, special strings in a text count as the library's default
-    has it, nothing is truncated. A text is cut at ASCII white space, across which the tokenizer's
-    normaliser and pattern do not look; ``tokenizer_path`` must name such a tokenizer, on every
-    node. Lengths of frequent parts come from a broadcast table of ``table_size`` entries of up to
+    has it, nothing is truncated. ``tokenizer_path`` must name the tokenizer on every node. A text is
+    cut at ASCII white space if the tokenizer does not look across it, which is tried out on loading;
+    with others whole texts are encoded. Lengths of frequent parts come from a broadcast table of ``table_size`` entries of up to
     32 bytes (2 MB), others are encoded once and kept in a bounded cache of the worker.
 
     Null and empty texts have 0 bytes and 0 tokens. Repeated rows give equal rows, an empty table
@@ -109,7 +121,8 @@ def count_tokens(
     """
     spark = docs.sparkSession
     own = tokenizer(tokenizer_path)
-    frequent = frequent_pre_tokens(docs, text_col, table_size)
+    apart = parts_apart(tokenizer_path)
+    frequent = frequent_pre_tokens(docs, text_col, table_size) if apart else []
     encoded = own.encode_batch(
         [part.decode("utf-8", "surrogatepass") for part in frequent], add_special_tokens=False
     )
@@ -121,12 +134,13 @@ def count_tokens(
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = Lengths(tokenizer_path, table.value)
         of = lengths.__getitem__
+        whole = lambda text: len(tokenizer(tokenizer_path).encode(text, add_special_tokens=False).ids)
         for batch in batches:
             n_bytes, n_tokens = [], []
             for text in batch.column(1):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 n_bytes.append(len(data))
-                n_tokens.append(sum(map(of, data.split())))
+                n_tokens.append(sum(map(of, data.split())) if apart else whole(text.as_py() or ""))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())],
                 names=[id_col, "n_bytes", "n_tokens"],

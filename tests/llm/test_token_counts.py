@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from statera.llm.token_counts import Lengths, count_tokens, pre_tokens, tokenizer
+from statera.llm.token_counts import Lengths, count_tokens, parts_apart, pre_tokens, tokenizer
 from tests.llm.helpers import ROWS, frame
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -36,3 +36,12 @@ def test_parts_between_white_space_are_apart(text):
 def test_special_strings_and_odd_spaces(text):
     lengths = Lengths(PATH, {})
     assert sum(lengths[part] for part in pre_tokens(text)) == counted(text)
+
+
+def test_a_tokenizer_that_looks_across_white_space(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert parts_apart(PATH) and not parts_apart(path)
+    got = count_tokens(frame(spark), path).collect()
+    whole = lambda text: len(tokenizer(path).encode(text or "", add_special_tokens=False).ids)
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got) == sorted((str(r[0]), whole(r[1])) for r in ROWS)
+
