@@ -128,6 +128,9 @@ def fit_quality(
     Of ``labels`` (id, label 0 or 1) the ``rows`` with the smallest hash of their id count, nulls
     do not. Their ids are broadcast (``rows`` entries at most), so no text is shuffled but those
     of the sample, which one task fits; the driver gets the weights that are not 0.
+
+    Null and empty texts have no features and fit the bias alone. Rows that repeat, or that share a
+    labelled id, are fitted each on its own. Without a labelled row every weight is 0.
     """
     chosen = (
         labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label"))

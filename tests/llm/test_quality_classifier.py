@@ -60,3 +60,37 @@ def test_scores_are_dot_products():
     expected = [weights[f].sum() * 20 / max(1, len(f)) + weights[-1] for f in found]
     assert settings.score(weights, found) == pytest.approx(1 / (1 + np.exp(-np.clip(expected, -35, 35))))
     assert [len(f) for f in found] == [14, 0, 0, 2]
+
+
+def test_updates_are_those_of_a_loop_over_coordinates():
+    """Follow the regularised leader as its paper has it, one coordinate at a time."""
+    settings = Ftrl(alpha=0.3, beta=0.5, l1=0.02, l2=0.1, scale=3.0, epochs=2)
+    chance = np.random.default_rng(7)
+    rows = [(chance.integers(0, 12, size), int(label)) for size, label in zip((5, 0, 9, 3, 7), (1, 0, 0, 1, 1))]
+    bias, z, n = 1 << 18, {}, {}
+
+    def weight(i):
+        own = z.get(i, 0.0)
+        if abs(own) <= settings.l1:
+            return 0.0
+        sign = 1.0 if own > 0 else -1.0
+        return -(own - sign * settings.l1) / ((settings.beta + n.get(i, 0.0) ** 0.5) / settings.alpha + settings.l2)
+
+    for _ in range(settings.epochs):
+        for found, label in rows:
+            x = {bias: 1.0}
+            for i in found.tolist():
+                x[i] = x.get(i, 0.0) + settings.scale / len(found)
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * x[i] for i in x)))
+            for i in x:
+                g = (p - label) * x[i]
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / settings.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    got = settings.fit(rows)
+    expected = np.zeros(len(got))
+    for i in z:
+        expected[i] = weight(i)
+    assert got == pytest.approx(expected) and np.count_nonzero(expected) > 8
+
