@@ -1031,7 +1031,7 @@ def dump_ingest(spark, sf):
 def banner_read(spark, sf):
     """Files of 1000 parts below banner and header, with an empty column and empty rows.
 
-    The header comes again further down; there it is a row like any other, which the query drops.
+    The header comes again further down; there it is a row like any other, whose texts are no numbers.
     """
     number = F.floor(F.col("p_partkey").cast("bigint") / 1000)
     text = part_text(spark, sf).withColumn("file", number)
