@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from statera.functions.scores import scale_between
 
 
-#: Bits of a value's place that are counted at a time: 65,536 counts per value looked for, at most.
-DIGIT = 16
+#: Bits that are left out at each step of a selection; so 22, 22 and 20 are counted at a time.
+LEFT_OUT = (42, 20, 0)
 
 
 def sortable_bits(value: Column) -> Column:
@@ -46,10 +46,10 @@ def exact_quantiles(
     """One row per column with values, and the quantiles ``q0, q1, ...`` between its neighbours.
 
     Linear interpolation, nulls and NaN skipped. The values are found by selection, with no sort
-    and nothing stored: the highest ``DIGIT`` bits of all values are counted, which tells the bits
-    of the value of a rank and how many values lie below; of the values with those bits the next
-    ones are counted, and so on, four times in all. So ``df`` is read four times; what is shuffled
-    are counts, 65,536 per rank and step at most.
+    and nothing stored: the highest 22 bits of all values are counted, which tells the bits of the
+    value of a rank and how many values lie below; of the values with those bits the next ones are
+    counted, and then the last. So ``df`` is read three times. What is shuffled are counts: in the
+    first step 1,024 for each power of two that the values span, later four million at most.
     """
     cells = df.select(
         F.explode(
@@ -74,7 +74,7 @@ def exact_quantiles(
                 rows.append(F.struct(F.lit(f"{kind}{i}").alias("asked"), rank.alias("rank")))
         return F.array(*rows)
 
-    counted = cells.groupBy("metric", F.shiftright("bits", 64 - DIGIT).alias("prefix")).agg(
+    counted = cells.groupBy("metric", F.shiftright("bits", LEFT_OUT[0]).alias("prefix")).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("value")
     )
     totals = Window.partitionBy("metric")
@@ -82,17 +82,17 @@ def exact_quantiles(
         "before", F.sum("n").over(totals.orderBy("prefix")) - F.col("n")
     )
     found = _holding(counted.withColumn("r", F.explode(ranks(F.col("total")))).select("*", "r.*").drop("r"))
-    for shift in range(64 - 2 * DIGIT, -1, -DIGIT):
+    for before, shift in zip(LEFT_OUT, LEFT_OUT[1:]):
         # A few rows per column and probability, whatever the size of the input.
         asked = F.broadcast(found.select("metric", "asked", "rank", "total", "prefix"))
-        matching = cells.withColumn("prefix", F.shiftright("bits", shift + DIGIT)).join(
+        matching = cells.withColumn("prefix", F.shiftright("bits", before)).join(
             asked, ["metric", "prefix"]
         )
         counted = matching.groupBy(
             "metric", "asked", "rank", "total", F.shiftright("bits", shift).alias("prefix")
         ).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"))
-        before = F.sum("n").over(Window.partitionBy("metric", "asked").orderBy("prefix")) - F.col("n")
-        found = _holding(counted.withColumn("before", before))
+        so_far = F.sum("n").over(Window.partitionBy("metric", "asked").orderBy("prefix"))
+        found = _holding(counted.withColumn("before", so_far - F.col("n")))
 
     picked = []
     for i, p in enumerate(probabilities):
@@ -141,7 +141,7 @@ def bounded_scores(
 
     ``scores`` maps a new column to its metric and whether a higher value is better. The bounds
     (one row per metric) enter the plan as one scalar subquery; nothing runs before the result is
-    asked for. ``df`` is read five times, so hand in something stored. ``accuracy`` switches to
+    asked for. ``df`` is read four times, so hand in something stored. ``accuracy`` switches to
     approximate quantiles.
     """
     metrics = list(dict.fromkeys(metric for metric, _ in scores.values()))

@@ -45,7 +45,7 @@ def sql_lines(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     states, ends = [], []
     for opened in ("", "'", "/*"):
         text = pc.binary_join_element_wise(pa.scalar(opened), lines, "")
-        left = pc.replace_substring_regex(text, _CLOSED, "")
+        left = pc.replace_substring_regex(text, _CLOSED, " ")
         string, comment = (
             pc.find_substring(left, mark).to_numpy(zero_copy_only=False) for mark in ("'", "/*")
         )
