@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statera.llm.common import most_frequent
+from statera.llm.common import byte_groups, most_frequent
 from statera.llm.shingles import lowered_words, mixed
 from statera.session import stored
 
@@ -31,8 +31,9 @@ CLASS_ROWS, PLACE_ROWS = 1 << 13, 1 << 14
 FEATURES = 4
 #: Floats of a table that travel in one row.
 PART = 1024
-#: Tokens that are stepped through together.
+#: Tokens that are stepped through together, and bytes of text that are scored together.
 STEP = 8192
+SCORED = 400_000
 END = b"\n"  # no word has it
 RARE, BEGIN = -1, -2
 _OFF = -30.0
@@ -178,7 +179,7 @@ class Model:
     def _softmax(table: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
         sums = table[first]
         for row in rows:
-            sums = sums + table[row]
+            sums += np.take(table, row, axis=0, mode="clip")
         sums -= sums.max(axis=1, keepdims=True)
         np.exp(sums, out=sums)
         sums /= sums.sum(axis=1, keepdims=True)
@@ -226,16 +227,39 @@ class Model:
 
     @staticmethod
     def _step(table, rows, error, seen, rate):
-        flat = rows.ravel()
+        flat = rows.astype(np.uint16).ravel()  # short keys are sorted digit by digit
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
         starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        gradient = np.add.reduceat(error[order % rows.shape[1]], starts, axis=0)
-        places = ordered[starts]
+        by_size, gradient = segment_sums(error, order % rows.shape[1], starts)
+        places = ordered[starts[by_size]]
         seen[places] += np.einsum("ij,ij->i", gradient, gradient)
         table[places] -= (rate / np.sqrt(seen[places] + 1e-8))[:, None] * gradient
 
 
+def segment_sums(
+    values: np.ndarray, index: np.ndarray, starts: np.ndarray, many: int = 24
+) -> tuple[np.ndarray, np.ndarray]:
+    """(stretches, longest first; their sums) of ``values[index]`` from each start to the next.
+
+    First the first rows of all stretches, then the second rows are added to those that have one,
+    and so on; what is left of long stretches is summed one by one.
+    """
+    sizes = np.diff(np.append(starts, len(index)))
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes = starts[order], sizes[order]
+    sums = np.take(values, index[starts], axis=0, mode="clip")
+    for step in range(1, many):
+        live = int(np.searchsorted(-sizes, -step, "left"))  # longer than step
+        if not live:
+            break
+        sums[:live] += np.take(values, index[starts[:live] + step], axis=0, mode="clip")
+    for i in range(int(np.searchsorted(-sizes, -many, "left"))):
+        rest = index[starts[i] + many : starts[i] + sizes[i]]
+        sums[i] += np.take(values, rest, axis=0, mode="clip").sum(axis=0)
+    return order, sums
+
+
 class Seen:
     """Squared gradients of every row, as far as one task has seen them."""
 
@@ -246,11 +270,13 @@ class Seen:
 
 def _batches_of(texts: Iterator[np.ndarray], tokens: int = 65_536) -> Iterator[list[np.ndarray]]:
     held: list[np.ndarray] = []
+    total = 0
     for text in texts:
         held.append(text)
-        if sum(map(len, held)) >= tokens:
+        total += len(text)
+        if total >= tokens:
             yield held
-            held = []
+            held, total = [], 0
     if held:
         yield held
 
@@ -340,8 +366,7 @@ def score_texts(
         tail_logs = logs.copy()
         tail_logs[: corpus.head] = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = batch.slice(at, 64)
+            for rows in byte_groups(batch, 1, SCORED):
                 texts = [ranks.of(text.as_py()) for text in rows.column(1)]
                 tokens, hashed = model.contexts(texts)
                 own = model.log10(tokens, hashed)

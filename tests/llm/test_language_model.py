@@ -135,3 +135,65 @@ def test_rows_of_places_without_context_learn_too():
     skewed = [np.zeros(40, np.int64)]
     model.learn(*model.contexts(skewed), lm.Seen(), 0.3)
     assert (model.by_place[0] != first[0]).any()
+
+
+@pytest.mark.parametrize("many", [1, 3, 24])
+def test_segment_sums(many):
+    rng = np.random.default_rng(many)
+    values = rng.integers(-9, 9, (50, 3)).astype(np.float32)
+    rows = rng.choice([0, 1, 1, 2, 2, 2, 2, *range(3, 30)], 200)
+    index = rng.integers(0, 50, 200)
+    order = np.argsort(rows, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(rows[order]) != 0))
+    stretches, sums = lm.segment_sums(values, index[order], starts, many)
+    for stretch, got in zip(stretches, sums, strict=True):
+        own = rows == rows[order][starts[stretch]]
+        assert (got == values[index[own]].sum(axis=0)).all()
+    assert sorted(stretches) == list(range(len(starts)))
+
+
+def test_steps_follow_the_gradient():
+    """A step is the slope of the summed logarithms, as small differences tell it."""
+    corpus = counted(["a b c a b d a c e f g"] * 3)
+    model = lm.Model.of_counts(corpus)
+    chance = np.random.default_rng(2)
+    vector = model.vector.astype(np.float64) + chance.normal(0, 0.1, len(model.vector))
+    tokens, hashed = lm.Model.contexts([lm.Ranks(corpus).of("a b c d a b zz e")])
+    stepped, seen = lm.Model(corpus, vector.copy()), lm.Seen()
+    # So much seen already that every row steps by the same small share of its slope.
+    seen.by_class[:], seen.by_place[:] = 1e12, 1e12
+    stepped.learn(tokens, hashed, seen, rate=1.0)
+    moved = np.flatnonzero(stepped.vector != vector)
+    assert len(moved) > 200
+    for at in chance.choice(moved, 40, replace=False):
+        sides = []
+        for shift in (1e-4, -1e-4):
+            shifted = vector.copy()
+            shifted[at] += shift
+            sides.append(lm.Model(corpus, shifted).log10(tokens, hashed).sum() * math.log(10))
+        slope = (sides[0] - sides[1]) / 2e-4
+        assert (stepped.vector[at] - vector[at]) * 1e6 == pytest.approx(slope, abs=2e-3)
+
+
+def test_tables_of_tasks_are_averaged_by_their_tokens(spark):
+    """One round over two tasks is the mean of what each learns alone, weighed by tokens."""
+    texts = ["a b a c " * 5, "b c d"]
+    corpus = counted(texts)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    # One row per partition.
+    got = lm.train(docs.repartitionByRange(2, "doc_id"), corpus, F.lit(0), rounds=1)
+    alone, weights = [], []
+    for text in texts:
+        model = lm.Model.of_counts(corpus)
+        tokens, hashed = model.contexts([lm.Ranks(corpus).of(text)])
+        model.learn(tokens, hashed, lm.Seen(), 0.3)
+        alone.append(model.vector.astype(np.float64))
+        weights.append(len(tokens))
+    assert got == pytest.approx(np.average(alone, axis=0, weights=weights), abs=1e-5)
+
+
+def test_batches_hold_whole_texts():
+    texts = [np.zeros(n) for n in (3, 5, 0, 9, 1, 1)]
+    sizes = [[len(t) for t in group] for group in lm._batches_of(iter(texts), 8)]
+    assert sizes == [[3, 5], [0, 9], [1, 1]]
+
