@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from statera.llm.common import bound, words
 
-#: A likeness has a standard error of 0.072 at most, at one half.
-SAMPLES = 48
+#: A likeness has a standard error of 0.089 at most, at one half.
+SAMPLES = 32
 #: Hexadecimal digits of a sample in a fingerprint.
 DIGITS = 8
 
