@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statera.llm.common import bound, match_spans
+from statera.session import stored
 
 ASSIGN_VALUE = r"[A-Za-z0-9+/_.=-]+"
 #: Letters of the key words stand in either case.
@@ -305,9 +306,11 @@ def corpus_model(docs: DataFrame, text_col: str = "text") -> RandomStringModel:
     """The models of a corpus: its own labelled strings, and the made ones beside them.
 
     A corpus may hold hardly a random string, and hardly a name with digits in it; the made samples
-    see to it that both models know digits.
+    see to it that both models know digits. The samples, which are read twice, are written to the
+    shared folder.
     """
-    return train(labelled_samples(docs, text_col).unionByName(made_samples(docs.sparkSession)))
+    own = labelled_samples(docs, text_col).unionByName(made_samples(docs.sparkSession))
+    return train(stored(own, "samples"))
 
 
 def joined(spans: Column | str) -> Column:
