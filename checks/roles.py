@@ -8,6 +8,8 @@ Money is added up in whole cents, so totals do not depend on the order of rows.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,7 +129,8 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
         cents("l_tax").alias("t"),
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # A few bytes per order, each key once: looked up in a table per task, the lines go unsorted.
+    return lines.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def raw_profit_loss(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,9 +164,12 @@ def raw_profit_loss(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_cash_flow(spark: SparkSession, sf: str) -> DataFrame:
     p, d, t, flag = F.col("p"), F.col("d"), F.col("t"), F.col("l_returnflag")
+    lines = order_lines(spark, sf).withColumn("month", month_of("l_shipdate"))
     sums = (
-        order_lines(spark, sf)
-        .groupBy("o_custkey", month_of("l_shipdate").alias("month"))
+        # A company has hardly two lines a month, so sums per map task would save no row, and their
+        # table and the join's sorted rows do not fit a task together.
+        lines.repartition("o_custkey", "month")
+        .groupBy("o_custkey", "month")
         .agg(
             F.sum(F.when(flag != "R", p)).alias("operating"),
             F.sum(F.when(flag == "A", -p * t)).alias("investing"),
@@ -181,43 +187,59 @@ def raw_cash_flow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw period labels; the months alone are read, not the statements built on them."""
+    """Raw period labels; the months alone are read, not the statements built on them.
+
+    A month's place is its least key. It also keeps the months distinct before they are formatted:
+    Spark drops a distinct below an aggregate that does not mind repeats.
+    """
     frames = []
-    for name, date in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
-        months = table(spark, sf, name).select(month_of(date).alias("month")).distinct()
-        frames.append(months.select(period_text("month").alias("year")))
+    for name, date, key in (
+        ("orders", "o_orderdate", "o_orderkey"),
+        ("lineitem", "l_shipdate", "l_orderkey"),
+    ):
+        months = table(spark, sf, name).groupBy(month_of(date).alias("month"))
+        months = months.agg(F.min(key).cast("bigint").alias(ORDINAL))
+        frames.append(months.select(period_text("month").alias("year"), ORDINAL))
     return conform.parsed_labels(frames)
 
 
 class Warehouse:
-    """Clean dimensions and facts of the given tables.
+    """Clean dimensions and facts of the given tables; a fact is made when it is first asked for.
 
-    ``keep`` stores the facts, for queries that read several of them.
+    ``keep`` stores the facts, for queries that read several of them. Without it they are plans, so
+    that a query for one company or period reads what it needs.
     """
 
     def __init__(self, spark: SparkSession, sf: str, keep: bool = False):
-        def fact(df: DataFrame) -> DataFrame:
-            df = df.drop(ORDINAL)
-            return stored(df) if keep else df
-
+        self.spark, self.sf, self.keep = spark, sf, keep
         # One small table that every fact is joined with.
-        periods = stored(conform.numbered_labels(labels(spark, sf)), "labels")
-        self.years = conform.year_dimension_of(periods)
+        self.periods = stored(conform.numbered_labels(labels(spark, sf)), "labels")
+        self.years = conform.year_dimension_of(self.periods)
         self.companies = companies(spark, sf)
-        self.balance_sheet = fact(
-            conform.normalize_balance_sheet(
-                raw_balance_sheet(spark, sf), self.years, self.companies, periods
-            )
+
+    def _fact(self, df: DataFrame) -> DataFrame:
+        df = df.drop(ORDINAL)
+        return stored(df) if self.keep else df
+
+    @cached_property
+    def balance_sheet(self) -> DataFrame:
+        raw = raw_balance_sheet(self.spark, self.sf)
+        return self._fact(
+            conform.normalize_balance_sheet(raw, self.years, self.companies, self.periods)
         )
-        self.profit_loss = fact(
-            conform.normalize_profit_loss(
-                raw_profit_loss(spark, sf), self.years, self.balance_sheet, periods
-            )
+
+    @cached_property
+    def profit_loss(self) -> DataFrame:
+        raw = raw_profit_loss(self.spark, self.sf)
+        return self._fact(
+            conform.normalize_profit_loss(raw, self.years, self.balance_sheet, self.periods)
         )
-        self.cash_flow = fact(
-            conform.normalize_cash_flow(
-                raw_cash_flow(spark, sf), self.years, self.profit_loss, periods
-            )
+
+    @cached_property
+    def cash_flow(self) -> DataFrame:
+        raw = raw_cash_flow(self.spark, self.sf)
+        return self._fact(
+            conform.normalize_cash_flow(raw, self.years, self.profit_loss, self.periods)
         )
 
 
