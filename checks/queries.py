@@ -892,8 +892,7 @@ def company_detail_parts(spark, sf):
     return list_rows(detail.lists)
 
 
-def snapshot_of(spark, sf, wanted=None) -> serve.Detail:
-    house = roles.warehouse(spark, sf)
+def snapshot_of(spark, sf, house: Warehouse, wanted=None) -> serve.Detail:
     return serve.snapshot(
         house.companies,
         filings(spark, sf),
@@ -949,18 +948,19 @@ def snapshot_rows(shot: serve.Detail) -> DataFrame:
 @query
 def snapshot(spark, sf):
     """One row per company: itself, its latest statements and its latest score."""
-    return snapshot_rows(snapshot_of(spark, sf))
+    return snapshot_rows(snapshot_of(spark, sf, roles.warehouse(spark, sf)))
 
 
 @query
 def snapshot_lists(spark, sf):
     """The lists that go with the snapshot, every field of every entry."""
-    return list_rows(snapshot_of(spark, sf).lists)
+    return list_rows(snapshot_of(spark, sf, roles.warehouse(spark, sf)).lists)
 
 
 @query
 def snapshot_of_one(spark, sf):
-    return snapshot_rows(snapshot_of(spark, sf, "c7"))
+    # The facts are plans, below which Spark looks for the symbol.
+    return snapshot_rows(snapshot_of(spark, sf, Warehouse(spark, sf), "c7"))
 
 
 # Sources and sinks: the given tables written as text and read back
