@@ -36,6 +36,10 @@ def test_snapshot_of_one_company_stores_no_fact(spark):
     assert facts_stored_by(spark, QUERIES["snapshot_of_one"]) == 0
 
 
+def test_list_of_one_company_stores_no_fact(spark):
+    assert facts_stored_by(spark, QUERIES["profit_loss_list"]) == 0
+
+
 def test_months_are_distinct_before_they_are_formatted(spark):
     plan = optimized(roles.labels(spark, SF))
     assert plan.count("Aggregate [trunc(") + plan.count("Aggregate [_groupingexpression") == 2
