@@ -953,8 +953,11 @@ def snapshot(spark, sf):
 
 @query
 def snapshot_lists(spark, sf):
-    """The lists that go with the snapshot, every field of every entry."""
-    return list_rows(snapshot_of(spark, sf, roles.warehouse(spark, sf)).lists)
+    """The lists that go with the snapshot, every field of every entry.
+
+    No fact is part of them, so none is stored.
+    """
+    return list_rows(snapshot_of(spark, sf, Warehouse(spark, sf)).lists)
 
 
 @query

@@ -32,6 +32,10 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lists_of_the_snapshot_store_no_fact(spark):
+    assert facts_stored_by(spark, QUERIES["snapshot_lists"]) == 0
+
+
 def test_snapshot_of_one_company_stores_no_fact(spark):
     assert facts_stored_by(spark, QUERIES["snapshot_of_one"]) == 0
 
