@@ -2,8 +2,11 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from checks import roles
 from checks.queries import QUERIES
+from statera.plans import colocated
 from statera.session import run_dir
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +65,13 @@ def test_lines_meet_their_orders_unsorted(spark):
 def test_cash_flows_are_summed_after_the_shuffle_only(spark):
     plan = optimized(roles.raw_cash_flow(spark, SF))
     assert "RepartitionByExpression [o_custkey" in plan
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", 100)
+    facts = spark.range(450).select(F.concat(F.lit("C"), "id").alias("symbol"), "id")
+    laid = colocated.colocate(spark, {"fact": facts}, buckets=2)["fact"]
+    assert len(laid.inputFiles()) == 5
+    assert sorted(r["id"] for r in laid.collect()) == list(range(450))
+    few = colocated.colocate(spark, {"fact": facts.limit(50)}, buckets=2)["fact"]
+    assert len(few.inputFiles()) == 2
