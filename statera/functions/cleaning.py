@@ -37,7 +37,9 @@ def to_number(text: Column) -> Column:
     The cast itself skips white space at the ends. It is tried on numbers only, since a cast that
     fails costs many times one that succeeds.
     """
-    bare = F.translate(text.cast("string"), ",%", "")
+    # Replacing works on bytes; translate looks up every character.
+    nothing = F.lit("")
+    bare = F.replace(F.replace(text.cast("string"), F.lit(","), nothing), F.lit("%"), nothing)
     return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
 
 

@@ -39,11 +39,17 @@ def first_seen(
     """
     parts = []
     for number, df in enumerate(frames):
-        place = F.col(ordinal) if ordinal in df.columns else default_ordinal
-        parts.append(
-            df.filter(F.col(value).isNotNull())
-            .groupBy(value)
-            .agg(F.min(F.struct(F.lit(number).alias("table"), place.alias("place"))).alias("__seen"))
-        )
+        known = df.filter(F.col(value).isNotNull())
+        if ordinal in df.columns:
+            # The least of a plain number is found in a hash table; that of a struct sorts all rows.
+            # A row without an ordinal comes first.
+            place = F.when(~F.col("__open"), F.col("__place"))
+            least = known.groupBy(value).agg(
+                F.min(ordinal).alias("__place"), F.bool_or(F.col(ordinal).isNull()).alias("__open")
+            )
+        else:
+            place, least = default_ordinal, known.select(value).distinct()
+        seen = F.struct(F.lit(number).alias("table"), place.alias("place"))
+        parts.append(least.select(value, seen.alias("__seen")))
     union = reduce(DataFrame.unionByName, parts)
     return union.groupBy(value).agg(F.min("__seen").alias("__seen"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from checks import roles
 from checks.queries import QUERIES
 from checks.roles import Warehouse
+from statera.functions import to_number
+from statera.operators import first_seen
 from statera.plans import colocated
 from statera.session import run_dir
 
@@ -77,3 +79,22 @@ def test_buckets_follow_the_rows(spark, monkeypatch):
     assert sorted(r["id"] for r in laid.collect()) == list(range(450))
     few = colocated.colocate(spark, {"fact": facts.limit(50)}, buckets=2)["fact"]
     assert len(few.inputFiles()) == 2
+
+
+def test_first_seen_sorts_no_rows(spark):
+    rows = [("a", 3), ("a", 1), ("b", None), ("b", 2), (None, 0)]
+    first = spark.createDataFrame(rows, "year string, place bigint")
+    second = spark.createDataFrame([("a", 0), ("c", 7)], "year string, place bigint")
+    found = first_seen([first, second], "year", "place")
+    seen = {r["year"]: tuple(r["__seen"]) for r in found.collect()}
+    assert seen == {"a": (0, 1), "b": (0, None), "c": (1, 7)}
+    plan = first_seen([first], "year", "place")._jdf.queryExecution().executedPlan().toString()
+    # Only the last step, over distinct values, has structs to compare.
+    assert plan.count("HashAggregate(keys=[year") >= 2
+
+
+def test_numbers_are_cleaned_by_bytes(spark):
+    texts = ["1,234.50", " -5% ", ",,1%%", "", "%", "1.5e3", "\u0661", "n/a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(to_number(F.col("t")).alias("n"))
+    assert [r["n"] for r in df.collect()] == [1234.5, -5.0, 1.0, None, None, 1500.0, None, None, None]
+    assert "translate(" not in optimized(df)
