@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -171,11 +173,19 @@ def score_list(
     return _listed(named, SCORE_LIST, filters, ordering, number, size)
 
 
-class Detail(NamedTuple):
-    """One row per company, and its lists by symbol, list and part (see ``nest_children``)."""
+@dataclass(frozen=True)
+class Detail:
+    """One row per company, and its lists by symbol, list and part (see ``nest_children``).
+
+    Numbering the entries of the lists stores them, so that is done when they are first asked for.
+    """
 
     companies: DataFrame
-    lists: DataFrame
+    made_lists: Callable[[], DataFrame]
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        return self.made_lists()
 
 
 class UnknownSymbol(LookupError):
@@ -205,7 +215,7 @@ def company_detail(
             df.filter(F.col("symbol") == symbol) for df in (companies, documents, pros_cons)
         )
     lists = {"documents": (documents, DOCUMENT_FIELDS), "pros_cons": (pros_cons, REMARK_FIELDS)}
-    return Detail(companies, _lists_of(companies, lists, part_rows))
+    return Detail(companies, lambda: _lists_of(companies, lists, part_rows))
 
 
 def _lists_of(
@@ -274,7 +284,7 @@ def snapshot(
     named = with_label_name(newest.join(names, "symbol"), labels)
     score = named.select("symbol", F.struct(*named.columns).alias("latest_ml_score"))
     return Detail(
-        result.join(score, "symbol", "left"), _lists_of(companies, lists, part_rows)
+        result.join(score, "symbol", "left"), lambda: _lists_of(companies, lists, part_rows)
     )
 
 

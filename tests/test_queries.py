@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from checks import roles
-from checks.queries import QUERIES
+from checks.queries import QUERIES, snapshot_of
 from checks.roles import Warehouse
 from statera.functions import to_number
 from statera.operators import first_seen
@@ -42,6 +42,14 @@ def test_lists_of_the_snapshot_store_no_fact(spark):
     assert facts_stored_by(spark, QUERIES["snapshot_lists"]) == 0
 
 
+def test_companies_of_a_snapshot_store_no_list(spark):
+    folder = run_dir(spark).removeprefix("file:")
+    shot = snapshot_of(spark, SF, Warehouse(spark, SF))
+    before = set(os.listdir(folder))
+    assert shot.companies.count() == 150 and set(os.listdir(folder)) == before
+    assert shot.lists is shot.lists and set(os.listdir(folder)) > before
+
+
 def test_snapshot_of_one_company_stores_no_fact(spark):
     assert facts_stored_by(spark, QUERIES["snapshot_of_one"]) == 0
 
