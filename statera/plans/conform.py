@@ -385,15 +385,24 @@ def build_dim_sector(mapping: DataFrame, sector: str = "sector") -> DataFrame:
 
 
 def complete_companies(
-    companies: DataFrame, raw: Mapping[str, DataFrame], sectors: DataFrame
+    companies: DataFrame,
+    raw: Mapping[str, DataFrame],
+    sectors: DataFrame,
+    facts: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Add a stub company, named by its symbol, for each symbol only other tables mention."""
+    """Add a stub company, named by its symbol, for each symbol only other tables mention.
+
+    ``facts`` are the clean statements that are written already, by the name of their raw table.
+    They hold every symbol of it, so only that column of theirs is read and the raw table is not.
+    """
     sources = []
     for name, df in raw.items():
         column = "company_id" if "company_id" in df.columns else None
         if column is None and name == "companies" and "id" in df.columns:
             column = "id"
-        if column:
+        if column and name in (facts or {}):
+            sources.append((facts[name], F.col("symbol")))
+        elif column:
             sources.append((df, normalize_symbol(F.col(column))))
     if not sources:
         return companies
@@ -444,26 +453,28 @@ def run(
         labels = stored(numbered_labels(parsed_labels(statements)), "labels")
         dim_year = store("dim_year", year_dimension_of(labels))
     companies, _ = normalize_companies(raw["companies"], lookup)
-    companies = store("dim_company", complete_companies(companies, raw, lookup))
-    mapping = store("sector_mapping", companies.select("symbol", "sector", "sub_sector"))
-    store("dim_sector", build_dim_sector(mapping))
-    balance_sheet = profit_loss = None
+    facts: dict[str, DataFrame] = {}
+    # A stub has no face value, so balance sheets need the known companies only.
     if "balancesheet" in raw:
-        balance_sheet = store(
+        facts["balancesheet"] = store(
             "fact_balance_sheet",
-            normalize_balance_sheet(
-                raw["balancesheet"], dim_year, companies, labels
-            ),
+            normalize_balance_sheet(raw["balancesheet"], dim_year, companies, labels),
         )
     if "profitandloss" in raw:
-        profit_loss = store(
+        facts["profitandloss"] = store(
             "fact_profit_loss",
-            normalize_profit_loss(raw["profitandloss"], dim_year, balance_sheet, labels),
+            normalize_profit_loss(
+                raw["profitandloss"], dim_year, facts.get("balancesheet"), labels
+            ),
         )
     if "cashflow" in raw:
-        store(
-            "fact_cash_flow", normalize_cash_flow(raw["cashflow"], dim_year, profit_loss, labels)
+        facts["cashflow"] = store(
+            "fact_cash_flow",
+            normalize_cash_flow(raw["cashflow"], dim_year, facts.get("profitandloss"), labels),
         )
+    full = store("dim_company", complete_companies(companies, raw, lookup, facts))
+    mapping = store("sector_mapping", full.select("symbol", "sector", "sub_sector"))
+    store("dim_sector", build_dim_sector(mapping))
     if "analysis" in raw:
         store("fact_analysis", normalize_analysis(raw["analysis"], value_mode))
     if "prosandcons" in raw:

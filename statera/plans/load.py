@@ -42,8 +42,9 @@ def health_labels(spark: SparkSession) -> DataFrame:
     return conform(raw, "dim_health_label")
 
 
-def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[name].struct())
+def empty_table(spark: SparkSession, spec: Table) -> DataFrame:
+    """A table without rows, which Spark sees in the plan: merging into it joins nothing."""
+    return spark.createDataFrame([], spec.struct()).limit(0)
 
 
 def merge_table(
@@ -59,7 +60,7 @@ def merge_table(
     ordinals that repeats a key with other values fails.
     """
     typed = typed_batch(name, TABLES[name], incoming, labels)
-    target = stored if stored is not None else empty_table(spark, name)
+    target = stored if stored is not None else empty_table(spark, TABLES[name])
     return merge_typed(TABLES[name], target, typed)
 
 

@@ -99,10 +99,10 @@ class Version:
         """Rows as they are stored, of the partitions ``wanted``, or of all."""
         found = self.partitions(name)
         folders = [p.folder for at, p in sorted(found.items()) if wanted is None or at in wanted]
-        schema = stored_table(name).struct()
+        spec = stored_table(name)
         if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
+            return load.empty_table(self.spark, spec)
+        return self.spark.read.schema(spec.struct()).parquet(*folders)
 
     def years(self) -> DataFrame:
         """The period dimension with its keys, numbered in fiscal order.

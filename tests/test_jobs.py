@@ -6,7 +6,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
-from statera.operators import latest_per_entity
+from statera.operators import distinct_values, latest_per_entity
 from statera.plans import colocated, conform, load, scoring, serve
 from statera.sources import ORDINAL, read_raw_csv
 from tests.test_operators import brute_quantile, same
@@ -122,6 +122,22 @@ def test_companies_and_stubs(clean):
     ]
 
 
+def test_symbols_of_statements_come_from_the_clean_ones(spark, raw, monkeypatch):
+    read = []
+
+    def watched(sources, name):
+        read.extend(path for df, _ in sources for path in df.inputFiles())
+        return distinct_values(sources, name)
+
+    monkeypatch.setattr(conform, "distinct_values", watched)
+    folder, _ = conform.run(spark, raw)
+    companies = spark.read.parquet(f"{folder}/dim_company")
+    assert {r["symbol"] for r in companies.collect()} == {"TCS", "ATGL", "NEW"}
+    for name, fact in (("balancesheet", "balance_sheet"), ("profitandloss", "profit_loss"), ("cashflow", "cash_flow")):
+        assert not any(f"{name}.csv" in path for path in read)
+        assert any(f"fact_{fact}/" in path for path in read)
+
+
 def test_balance_sheet(clean):
     rows = by(clean["fact_balance_sheet"], "symbol", "year_label")
     assert len(rows) == 3
@@ -270,6 +286,15 @@ def test_tables_are_laid_out_by_key(house):
     assert rows == sorted(rows)
 
 
+def test_a_first_batch_joins_nothing(spark, house):
+    """There is nothing to merge it into, so its rows are shuffled once, to tell repeated keys."""
+    batch = house[1]["fact_cash_flow"].drop("year_label").withColumn(ORDINAL, F.col("year_id"))
+    merged = load.merge_table(spark, "fact_cash_flow", None, batch, load.health_labels(spark))
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window [") == 1
+    same(merged.select("symbol", "year_id"), [tuple(r) for r in batch.select("symbol", "year_id").collect()])
+
+
 def test_load_is_idempotent(spark, house, tmp_path):
     stored, incoming = house
     again = load.load_warehouse(spark, incoming, str(tmp_path), stored).tables

@@ -54,6 +54,11 @@ def first(spark, tmp_path_factory):
     return root, loaded.version
 
 
+def test_partitions_that_are_not_there_join_nothing(spark, first):
+    none = first[1].stored_rows("fact_profit_loss", [])
+    assert none.count() == 0 and "LogicalRDD" not in none._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_keys_order_as_periods_do(spark):
     rows = [(20224, "Mar 2022"), (20224, "FY22"), (-5, "old"), (999999, "TTM"), (20232, "Sep 2023"), (7, "x")]
     df = spark.createDataFrame(rows, "sort_order int, year_label string")
