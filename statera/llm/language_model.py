@@ -31,12 +31,16 @@ CLASS_ROWS, PLACE_ROWS = 1 << 13, 1 << 14
 FEATURES = 4
 #: Floats of a table that travel in one row.
 PART = 1024
-#: Tokens that are stepped through together, and bytes of text that are scored together.
+#: Tokens that are stepped through together; as many rows of floats as the processor's cache holds;
+#: and bytes of text that are scored together.
 STEP = 8192
+BLOCK = 1024
 SCORED = 400_000
 END = b"\n"  # no word has it
 RARE, BEGIN = -1, -2
 _OFF = -30.0
+#: Sums between plus and minus this have exponentials that a float holds, sums of those too.
+PLAIN = 60.0
 
 
 def word_code(word: bytes) -> int:
@@ -176,15 +180,41 @@ class Model:
         return (own % np.uint64(PLACE_ROWS - CLASSES)).astype(np.int64) + CLASSES
 
     @staticmethod
-    def _softmax(table: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        sums = table[first]
+    def _sums(table: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Of every token the sum of its rows; less its greatest where exp might leave the floats."""
+        sums = np.take(table, first, axis=0, mode="clip")
+        held = np.empty_like(sums)
         for row in rows:
-            sums += np.take(table, row, axis=0, mode="clip")
-        sums -= sums.max(axis=1, keepdims=True)
-        np.exp(sums, out=sums)
-        sums /= sums.sum(axis=1, keepdims=True)
+            sums += np.take(table, row, axis=0, mode="clip", out=held)
+        if len(sums) and not (sums.min() > -PLAIN and sums.max() < PLAIN):
+            sums -= sums.max(axis=1, keepdims=True)
         return sums
 
+    @classmethod
+    def _softmax(cls, table: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        out = np.empty((len(first), table.shape[1]), table.dtype)
+        for at in range(0, len(first), BLOCK):
+            part = slice(at, at + BLOCK)
+            sums = cls._sums(table, first[part], rows[:, part])
+            np.exp(sums, out=sums)
+            sums *= 1 / np.einsum("ij->i", sums)[:, None]
+            out[part] = sums
+        return out
+
+    @classmethod
+    def _log10_of(
+        cls, table: np.ndarray, first: np.ndarray, rows: np.ndarray, asked: np.ndarray
+    ) -> np.ndarray:
+        """The logarithm of one column's share of the softmax in every row, 1e-30 at least."""
+        out = np.empty(len(first))
+        for at in range(0, len(first), BLOCK):
+            part = slice(at, at + BLOCK)
+            sums = cls._sums(table, first[part], rows[:, part])
+            own = sums[np.arange(len(sums)), asked[part]].astype(np.float64)
+            np.exp(sums, out=sums)
+            out[part] = own * np.log10(np.e) - np.log10(np.einsum("ij->i", sums))
+        return np.maximum(out, -30.0)
+
     def classes_of(self, tokens: np.ndarray) -> np.ndarray:
         inside = (tokens >= 0) & (tokens < self.corpus.head)
         return np.where(inside, tokens // WIDTH, CLASSES)
@@ -196,15 +226,14 @@ class Model:
             part = slice(at, at + STEP)
             of_class = self.classes_of(tokens[part])
             zero = np.zeros(len(of_class), np.int64)
-            p = self._softmax(self.by_class, zero, self.class_rows(hashed[:, part]))
-            out[part] = np.log10(np.maximum(p[np.arange(len(p)), of_class], 1e-30))
+            rows = self.class_rows(hashed[:, part])
+            out[part] = self._log10_of(self.by_class, zero, rows, of_class)
             head = np.flatnonzero(of_class < CLASSES)
             if len(head):
                 own = of_class[head]
                 rows = self.place_rows(hashed[:, part][:, head], own)
-                p = self._softmax(self.by_place, own, rows)
                 place = tokens[part][head] % WIDTH
-                out[at + head] += np.log10(np.maximum(p[np.arange(len(p)), place], 1e-30))
+                out[at + head] += self._log10_of(self.by_place, own, rows, place)
         return out
 
     def learn(self, tokens: np.ndarray, hashed: np.ndarray, seen: Seen, rate: float) -> None:
@@ -217,7 +246,11 @@ class Model:
             error = self._softmax(self.by_class, zero, rows)
             error[np.arange(len(error)), of_class] -= 1
             head = np.flatnonzero(of_class < CLASSES)
-            self._step(self.by_class, np.concatenate([zero[None], rows]), error, seen.by_class, rate)
+            self._step(self.by_class, rows, error, seen.by_class, rate)
+            # The first row is every token's: its slope needs no sorting.
+            slope = error.sum(axis=0)
+            seen.by_class[0] += slope @ slope
+            self.by_class[0] -= rate / np.sqrt(seen.by_class[0] + 1e-8) * slope
             if len(head):
                 own = of_class[head]
                 rows = self.place_rows(hashed[:, part][:, head], own)
@@ -234,7 +267,10 @@ class Model:
         by_size, gradient = segment_sums(error, order % rows.shape[1], starts)
         places = ordered[starts[by_size]]
         seen[places] += np.einsum("ij,ij->i", gradient, gradient)
-        table[places] -= (rate / np.sqrt(seen[places] + 1e-8))[:, None] * gradient
+        gradient *= (rate / np.sqrt(seen[places] + 1e-8))[:, None]
+        stepped = np.take(table, places, axis=0, mode="clip")
+        stepped -= gradient
+        table[places] = stepped
 
 
 def segment_sums(

@@ -95,6 +95,24 @@ def test_frequency_model_is_the_unigram_model():
     assert model.log10(seen, hashed) == pytest.approx(expected, abs=1e-4)
 
 
+@pytest.mark.parametrize("size", [1.0, 30.0, 300.0])
+def test_shares_are_those_of_the_plain_softmax(size, monkeypatch):
+    """In blocks, and whether or not the sums are small enough to take no greatest off."""
+    monkeypatch.setattr(lm, "BLOCK", 7)
+    chance = np.random.default_rng(4)
+    table = chance.normal(0, size, (40, 9)).astype(np.float32)
+    first, rows = chance.integers(0, 40, 50), chance.integers(0, 40, (4, 50))
+    asked = chance.integers(0, 9, 50)
+    sums = table.astype(np.float64)[np.concatenate([first[None], rows])].sum(axis=0)
+    logs = sums - np.logaddexp.reduce(sums, axis=1, keepdims=True)
+    assert lm.Model._softmax(table, first, rows) == pytest.approx(np.exp(logs), abs=1e-4)
+    own = np.maximum(logs[np.arange(50), asked] / math.log(10), -30)
+    got = lm.Model._log10_of(table, first, rows, asked)
+    assert got == pytest.approx(own, rel=1e-4, abs=1e-4)
+    none = lm.Model._softmax(table, first[:0], rows[:, :0])
+    assert none.shape == (0, 9)
+
+
 def counted(texts):
     """The counts of some texts, and the ranks of their words."""
     counts = Counter(w for text in texts for w in tokens(text))
