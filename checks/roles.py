@@ -120,24 +120,31 @@ def raw_balance_sheet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with their company and the months of order and shipment."""
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey",
-        "l_shipdate",
+        month_of("l_shipdate").alias("ship_month"),
         "l_returnflag",
         cents("l_extendedprice").alias("p"),
         cents("l_discount").alias("d"),
         cents("l_tax").alias("t"),
     )
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", month_of("o_orderdate").alias("order_month")
+    )
     # A few bytes per order, each key once: looked up in a table per task, the lines go unsorted.
-    return lines.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.drop("l_orderkey", "o_orderkey")
 
 
-def raw_profit_loss(spark: SparkSession, sf: str) -> DataFrame:
+def raw_profit_loss(
+    spark: SparkSession, sf: str, lines: DataFrame | None = None
+) -> DataFrame:
+    """Profit and loss by company and month of order; ``lines`` are stored ``order_lines``."""
     p, d, t, flag = F.col("p"), F.col("d"), F.col("t"), F.col("l_returnflag")
+    lines = lines if lines is not None else order_lines(spark, sf)
     sums = (
-        order_lines(spark, sf)
-        .groupBy("o_custkey", month_of("o_orderdate").alias("month"))
+        lines.groupBy("o_custkey", F.col("order_month").alias("month"))
         .agg(
             F.sum(F.when(flag == "R", 0).otherwise(p) * 100).alias("sales"),
             F.sum(p * (t + 60)).alias("expenses"),
@@ -162,15 +169,19 @@ def raw_profit_loss(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_cash_flow(spark: SparkSession, sf: str, sums_by_task: bool = True) -> DataFrame:
+def raw_cash_flow(
+    spark: SparkSession, sf: str, sums_by_task: bool = True, lines: DataFrame | None = None
+) -> DataFrame:
     """Cash flows by company and month of shipment.
 
     A company has hardly two lines a month, so sums per map task save no row of the whole table and
     their hash table fills the task; without ``sums_by_task`` lines are summed after the shuffle
     only. Whoever asks for a few columns, months or companies say, is better off with them.
+    ``lines`` are stored ``order_lines``.
     """
     p, d, t, flag = F.col("p"), F.col("d"), F.col("t"), F.col("l_returnflag")
-    lines = order_lines(spark, sf).withColumn("month", month_of("l_shipdate"))
+    lines = lines if lines is not None else order_lines(spark, sf)
+    lines = lines.drop("order_month").withColumnRenamed("ship_month", "month")
     if not sums_by_task:
         lines = lines.repartition("o_custkey", "month")
     sums = (
@@ -222,6 +233,11 @@ class Warehouse:
         self.years = conform.year_dimension_of(self.periods)
         self.companies = companies(spark, sf)
 
+    @cached_property
+    def lines(self) -> DataFrame | None:
+        """Two statements are made of the order lines: where facts are stored, so are these."""
+        return stored(order_lines(self.spark, self.sf), "lines") if self.keep else None
+
     def _fact(self, df: DataFrame) -> DataFrame:
         df = df.drop(ORDINAL)
         return stored(df) if self.keep else df
@@ -235,14 +251,14 @@ class Warehouse:
 
     @cached_property
     def profit_loss(self) -> DataFrame:
-        raw = raw_profit_loss(self.spark, self.sf)
+        raw = raw_profit_loss(self.spark, self.sf, self.lines)
         return self._fact(
             conform.normalize_profit_loss(raw, self.years, self.balance_sheet, self.periods)
         )
 
     @cached_property
     def cash_flow(self) -> DataFrame:
-        raw = raw_cash_flow(self.spark, self.sf, sums_by_task=False)
+        raw = raw_cash_flow(self.spark, self.sf, sums_by_task=False, lines=self.lines)
         return self._fact(
             conform.normalize_cash_flow(raw, self.years, self.profit_loss, self.periods)
         )

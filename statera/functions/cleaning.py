@@ -43,12 +43,23 @@ def to_number(text: Column) -> Column:
     return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
 
 
+def _last_name(name: str, aliases: Mapping[str, str]) -> str:
+    """What an alias comes to, as it may lead to one that stands after it."""
+    for old, new in aliases.items():
+        name = new if name == old else name
+    return name
+
+
 def normalize_symbol(text: Column, aliases: Mapping[str, str] = SYMBOL_ALIASES) -> Column:
     """Trimmed upper-case ticker with old names replaced; null stays null."""
     symbol = F.upper(strip_space(text.cast("string")))
-    for old, new in aliases.items():
-        symbol = F.when(symbol == old, F.lit(new)).otherwise(symbol)
-    return symbol
+    if not aliases:
+        return symbol
+    names = F.create_map(
+        *[F.lit(part) for old in aliases for part in (old, _last_name(old, aliases))]
+    )
+    # Spark works out what both sides share once; it would not for the branches of a condition.
+    return F.coalesce(F.try_element_at(names, symbol), symbol)
 
 
 def clean_text(text: Column) -> Column:

@@ -195,6 +195,31 @@ def first_per_period(df: DataFrame) -> DataFrame:
     return keep_first(keyed, ["symbol", "year_key"], reading_order(df))
 
 
+def first_in_period(
+    df: DataFrame, dim_year: DataFrame, labels: DataFrame | None = None
+) -> DataFrame:
+    """``attach_year_id`` and ``first_per_period`` of a statement table.
+
+    With ``labels`` rows are shuffled with their period's id alone; those that stay take its fields
+    from the few periods there are. Only a label without an id goes along, since nothing else has it.
+    """
+    if labels is None or "year" not in df.columns:
+        return first_per_period(attach_year_id(df, dim_year, labels=labels))
+    known = [name for name in PERIOD_FIELDS if name in labels.columns]
+    nameless = F.when(F.col("year_id").isNull(), optional(labels, "year_label"))
+    ids = labels.select("raw_label", "year_id", nameless.cast("string").alias("__label"))
+    keyed = df.drop(*YEAR_COLUMNS).join(ids, F.col("year") == F.col("raw_label"), "left")
+    first = first_per_period(keyed.drop("year", "raw_label"))
+    periods = labels.filter(F.col("year_id").isNotNull())
+    periods = periods.select(F.col("year_id").alias("__id"), *known).distinct()
+    filled = {"year_label": F.coalesce("year_label", "__label")} if "year_label" in known else {}
+    for flag in ("is_ttm", "is_half_year"):
+        if flag in known:
+            filled[flag] = F.coalesce(flag, F.lit(False))
+    joined = first.join(periods, F.col("year_id") == F.col("__id"), "left")
+    return joined.withColumns(filled).drop("__id", "__label")
+
+
 def with_other_fact(df: DataFrame, other: DataFrame | None, name: str) -> DataFrame:
     """Add a column of another fact of the same symbol and period."""
     if other is None:
@@ -237,8 +262,7 @@ def normalize_balance_sheet(
 ) -> DataFrame:
     df = rename_all(df, BALANCE_SHEET_HEADERS)
     money = [c for c, kind in TABLES["fact_balance_sheet"].columns.items() if kind == MONEY]
-    df = attach_year_id(cleaned(df, money), dim_year, labels=labels)
-    df = first_per_period(df)
+    df = first_in_period(cleaned(df, money), dim_year, labels)
     if "face_value" in companies.columns:
         faces = companies.select("symbol", F.col("face_value").cast("double"))
         df = df.drop("face_value").join(faces, "symbol", "left")
@@ -264,8 +288,8 @@ def normalize_profit_loss(
 ) -> DataFrame:
     df = rename_all(df, PROFIT_LOSS_HEADERS)
     given = [c for c in TABLES["fact_profit_loss"].columns if c not in ("symbol", "year_id")]
-    df = attach_year_id(cleaned(df, given), dim_year, labels=labels)
-    df = with_other_fact(first_per_period(df), balance_sheet, "total_assets")
+    df = first_in_period(cleaned(df, given), dim_year, labels)
+    df = with_other_fact(df, balance_sheet, "total_assets")
     sales, profit = optional(df, "sales"), optional(df, "net_profit")
     assets = optional(df, "total_assets")
     df = df.withColumns(
@@ -290,8 +314,8 @@ def normalize_cash_flow(
 ) -> DataFrame:
     given = ["operating_activity", "investing_activity", "financing_activity", "net_cash_flow"]
     df = cleaned(rename_all(df, {"symbol": SYMBOL_NAMES}), given)
-    df = attach_year_id(df, dim_year, labels=labels)
-    df = with_other_fact(first_per_period(df), profit_loss, "net_profit")
+    df = first_in_period(df, dim_year, labels)
+    df = with_other_fact(df, profit_loss, "net_profit")
     operating = optional(df, "operating_activity")
     df = df.withColumns(
         {

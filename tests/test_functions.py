@@ -172,3 +172,14 @@ def test_row_arithmetic(spark):
 )
 def test_health_label(spark, score, label):
     assert one(spark, fn.health_label, score, "double") == label
+
+
+def test_symbols_are_trimmed_once(spark):
+    aliases = {"A": "B", "B": "C", "X": "A"}
+    texts = [" a", "b ", "x", "\u3000c", "AGTL", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(fn.normalize_symbol(F.col("t"), aliases).alias("s"))
+    assert [r["s"] for r in got.collect()] == ["C", "C", "A", "C", "AGTL", None]
+    assert [r[0] for r in df.select(fn.normalize_symbol(F.col("t"), {})).collect()][:3] == ["A", "B", "X"]
+    # No branch of a condition repeats it, which Spark would work out anew.
+    assert "CASE WHEN" not in got._jdf.queryExecution().optimizedPlan().toString()

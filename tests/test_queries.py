@@ -9,8 +9,9 @@ from checks.queries import QUERIES, snapshot_of
 from checks.roles import Warehouse
 from statera.functions import to_number
 from statera.operators import first_seen
-from statera.plans import colocated
+from statera.plans import colocated, conform
 from statera.session import run_dir
+from statera.sources import ORDINAL
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,3 +107,45 @@ def test_numbers_are_cleaned_by_bytes(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(to_number(F.col("t")).alias("n"))
     assert [r["n"] for r in df.collect()] == [1234.5, -5.0, 1.0, None, None, 1500.0, None, None, None]
     assert "translate(" not in optimized(df)
+
+
+def test_lines_meet_their_orders_once(spark):
+    house = Warehouse(spark, SF, keep=True)
+    given = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert house.lines.count() == given and not any(SF in path for path in house.lines.inputFiles())
+    # Both statements are made of the stored lines.
+    for raw in (roles.raw_profit_loss, roles.raw_cash_flow):
+        df = raw(spark, SF, lines=house.lines)
+        assert "Join" not in optimized(df)
+        assert sorted(df.collect()) == sorted(raw(spark, SF).collect())
+    assert Warehouse(spark, SF).lines is None
+
+
+def test_statements_are_shuffled_without_the_fields_of_their_period(spark):
+    facts = Warehouse(spark, SF)
+    for df in (facts.balance_sheet, facts.profit_loss, facts.cash_flow):
+        lines = optimized(df.select("symbol", "year_id", "year_label", "sort_order")).splitlines()
+        ranked = [i for i, line in enumerate(lines) if "Window [row_number" in line]
+        below = [line for line in lines[ranked[-1] :] if "Project" in line]
+        assert ranked and not any("sort_order" in line for line in below)
+
+
+def test_first_row_of_a_period_with_the_fields_of_its_label(spark):
+    rows = [
+        ("A", "Mar 2020", 2, 1.0), ("A", "2020", 1, 2.0), ("A", "Jun 2021", 3, 3.0),
+        ("A", "Dec 2022", 5, 4.0), ("A", "no such", 4, 5.0), ("B", None, 6, 6.0),
+        (None, "TTM", 8, 7.0), (None, "TTM", 7, 8.0), ("B", "Sep 2020 half", 9, 9.0),
+    ]
+    df = spark.createDataFrame(rows, f"symbol string, year string, {ORDINAL} bigint, v double")
+    parsed = conform.parsed_labels([df])
+    numbered = conform.numbered_labels(parsed)
+    years = conform.year_dimension_of(numbered)
+    # A dimension that lacks some labels leaves them without an id, but with what they say.
+    part = years.filter(F.col("year_label") != "Dec 2022")
+    for labels, dim in ((numbered, years), (conform.label_periods(parsed, part), part)):
+        got = conform.first_in_period(df, dim, labels)
+        want = conform.first_per_period(conform.attach_year_id(df, dim, labels=labels))
+        assert sorted(got.columns) == sorted(want.columns)
+        key = lambda row: (str(row["symbol"]), row["year_key"])
+        expected = sorted(want.select(*got.columns).collect(), key=key)
+        assert sorted(got.collect(), key=key) == expected and len(expected) >= 6
