@@ -13,6 +13,7 @@ from checks.roles import Warehouse, cents, table
 from statera import functions as fn
 from statera import operators as op
 from statera.fixed_values import HEALTH_BANDS
+from statera.operators.measures import MEASURED
 from statera.plans import colocated, conform, load, scoring, serve, versions
 from statera.schemas import TABLES
 from statera.session import scratch_path, stored
@@ -392,9 +393,15 @@ def wide_colocated(spark, sf):
     return plain(wide_view(view))
 
 
+def measured_view(spark, sf, by) -> DataFrame:
+    """The columns of the wide view that measures are made of; what is stored Spark cannot prune."""
+    view = wide(roles.warehouse(spark, sf))
+    return stored(view.select("symbol", "year_id", *by, *MEASURED))
+
+
 def measure_rows(spark, sf, by):
     """Measures over the wide view with money as decimals, so that sums are exact."""
-    view = stored(wide(roles.warehouse(spark, sf)))
+    view = measured_view(spark, sf, by)
     exact = view.withColumns(
         {
             name: F.col(name).cast("decimal(24,4)")
@@ -423,10 +430,10 @@ def measures_by_sector_year(spark, sf):
 @query
 def measures_merged(spark, sf):
     """The measures by sector and year, from sums that a load of one more year has brought up to date."""
-    view = stored(wide(roles.warehouse(spark, sf))).withColumns(
+    by = ["sub_sector", "fiscal_year"]
+    view = measured_view(spark, sf, by).withColumns(
         {name: F.col(name).cast("decimal(24,4)") for name in ("sales", "net_profit", "free_cash_flow")}
     )
-    by = ["sub_sector", "fiscal_year"]
     late = F.col("fiscal_year") == 1996
     before, year = view.filter(~late | F.col("fiscal_year").isNull()), view.filter(late)
     first = stored(op.measure_sums(before, by))

@@ -13,6 +13,8 @@ from statera.operators.latest import first_by
 SLICE = "__slice"
 SUMMED = ("sales", "net_profit", "free_cash_flow")
 AVERAGED = ("net_profit_margin_pct", "debt_to_equity")
+#: What the measures read of the wide view, beside its keys and groups.
+MEASURED = (*SUMMED, *AVERAGED, "eps")
 
 
 def measures(wide: DataFrame, latest: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -149,3 +149,14 @@ def test_first_row_of_a_period_with_the_fields_of_its_label(spark):
         key = lambda row: (str(row["symbol"]), row["year_key"])
         expected = sorted(want.select(*got.columns).collect(), key=key)
         assert sorted(got.collect(), key=key) == expected and len(expected) >= 6
+
+
+def test_measures_store_only_what_they_read(spark):
+    roles.warehouse(spark, SF).cash_flow  # the facts are stored before
+    folder = run_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    for name in ("measures_by_sector", "measures_merged"):
+        assert QUERIES[name](spark, SF).count() > 0
+    new = [set(spark.read.parquet(f"{folder}/{n}").columns) for n in set(os.listdir(folder)) - before]
+    views = [columns for columns in new if {"symbol", "year_id"} <= columns]
+    assert len(views) >= 2 and not any(columns & {"company_name", "total_assets"} for columns in views)
